@@ -79,7 +79,7 @@ def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (1, 2, 3),
     cap: int = 3,
-    block_words: int = 64,
+    block_words: int = 16,
     shard_words: int = 16384,
     seed: int = 17,
 ) -> DataFrame:
