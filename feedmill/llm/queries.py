@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import byte_bpe, exact_dedup, mixing, simhash
 from .common import table
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -19,7 +25,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("size").alias("group_size"), same.alias("kept"), F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op6_mix_sources, op8_exact_dedup)}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.drop("text")
+
+
+QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_mix_sources, op8_exact_dedup, op10_byte_bpe)}
 
 ORACLE = {
     "op8_exact_dedup": """
