@@ -6,10 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, mixing, simhash
+from . import byte_bpe, exact_dedup, mixing, quality, simhash, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    out = toxicity.score(docs, model).withColumn("held_out", toxicity.held_out())
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -19,6 +26,13 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = quality.measured(table(spark, sf_dir, "documents"))
+    net, _ = quality.train(texts, table(spark, sf_dir, "labels"), ~quality.held_out())
+    out = quality.score(texts, net).withColumn("held_out", quality.held_out())
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.dedup(table(spark, sf_dir, "documents"))
     same = (F.col("keep.file") == F.col("file")) & (F.col("keep.row") == F.col("row"))
@@ -31,7 +45,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_mix_sources, op8_exact_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op10_byte_bpe)}
 
 ORACLE = {
     "op8_exact_dedup": """
