@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, mixing, quality, simhash, token_counts, topk_search, toxicity
+from . import byte_bpe, exact_dedup, html_text, mixing, quality, simhash, token_counts, topk_search, toxicity
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "html")).drop("html")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -53,7 +57,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_html_text, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe)}
 
 ORACLE = {
     "op9_topk_search": """
