@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, html_text, mixing, quality, simhash, token_counts, topk_search, toxicity
-from .common import table
+from . import byte_bpe, exact_dedup, html_text, lm_scoring, mixing, quality, simhash, token_counts, topk_search, toxicity
+from .common import bucket, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = bucket(F.col("doc_id"), 5) == 1
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = lm_scoring.score(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -57,7 +64,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_html_text, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_lm_scoring, op3_token_counts, op4_html_text, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe)}
 
 ORACLE = {
     "op9_topk_search": """

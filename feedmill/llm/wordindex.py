@@ -46,10 +46,10 @@ def _frame(pid: int, block: int, kind: int, body: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([block], pa.int64()), pa.array([kind], pa.int32()), pa.array([body], pa.binary())], ["pid", "block", "kind", "body"])
 
 
-def _block(block: int, parts: int, ids: list, flags: list, texts: list[bytes], tokens: Callable[[bytes], list[bytes]]) -> Iterator[pa.RecordBatch]:
+def _block(block: int, parts: int, ids: list, tags: list, flags: list, texts: list[bytes], tokens: Callable[[bytes], list[bytes]]) -> Iterator[pa.RecordBatch]:
     found = [tokens(x) for x in texts]
     counts = np.array([len(x) for x in found], np.int64)
-    yield _frame(block % parts, block, META, _pack(ids, flags, [len(x) for x in texts], counts))
+    yield _frame(block % parts, block, META, _pack(ids, tags, flags, [len(x) for x in texts], counts))
     coded = pa.array([w for x in found for w in x], pa.binary()).dictionary_encode()
     del found
     words = coded.dictionary.to_pylist()
@@ -73,19 +73,20 @@ def _deal(parts: int, tokens: Callable[[bytes], list[bytes]]):
     def rows(batches):
         task, number = TaskContext.get(), 0
         first = (task.partitionId() if task else 0) << 20
-        ids, flags, texts, size = [], [], [], 0
+        ids, tags, flags, texts, size = [], [], [], [], 0
         for batch in batches:
-            for i, text, flag in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for i, tag, text, flag in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 text = text or b""
                 if texts and (size + len(text) > BLOCK_BYTES or len(texts) >= BLOCK_DOCS):
-                    yield from _block(first + number, parts, ids, flags, texts, tokens)
-                    ids, flags, texts, size, number = [], [], [], 0, number + 1
+                    yield from _block(first + number, parts, ids, tags, flags, texts, tokens)
+                    ids, tags, flags, texts, size, number = [], [], [], [], 0, number + 1
                 ids.append(i)
+                tags.append(tag)
                 flags.append(bool(flag))
                 texts.append(text)
                 size += len(text)
         if texts:
-            yield from _block(first + number, parts, ids, flags, texts, tokens)
+            yield from _block(first + number, parts, ids, tags, flags, texts, tokens)
 
     return rows
 
@@ -120,7 +121,7 @@ def _value(parts: int, make_weigh, width: int):
 
 
 def _sum_up(width: int):
-    fields = [("doc_id", pa.int64()), ("flag", pa.bool_()), ("n_bytes", pa.int64()), ("n_words", pa.int64()), *((f"v{k}", pa.float64()) for k in range(width)), ("total", pa.float64()), ("distinct", pa.int64())]
+    fields = [("doc_id", pa.int64()), ("tag", pa.int64()), ("flag", pa.bool_()), ("n_bytes", pa.int64()), ("n_words", pa.int64()), *((f"v{k}", pa.float64()) for k in range(width)), ("total", pa.float64()), ("distinct", pa.int64())]
     schema = pa.schema(fields)
 
     def rows(batches):
@@ -134,33 +135,33 @@ def _sum_up(width: int):
                     total, distinct = total + t, distinct + d
                 else:
                     sums.setdefault(block, []).append(_unpack(body))
-        for block, (ids, flags, sizes, counts) in meta.items():
+        for block, (ids, tags, flags, sizes, counts) in meta.items():
             out = np.zeros((width, len(ids)))
             for docs, *values in sums.pop(block, []):
                 for k, v in enumerate(values):
                     out[k, docs] += v
             n = len(ids)
-            columns = [ids, flags, sizes, counts, *out, np.zeros(n), np.zeros(n, np.int64)]
+            columns = [ids, tags, flags, sizes, counts, *out, np.zeros(n), np.zeros(n, np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
         nothing = [pa.array([None], f.type) for f in schema]
         yield pa.RecordBatch.from_arrays([*nothing[:-2], pa.array([total]), pa.array([distinct], pa.int64())], schema=schema)
 
-    return rows, "doc_id long, flag boolean, n_bytes long, n_words long, " + "".join(f"v{k} double, " for k in range(width)) + "total double, distinct long"
+    return rows, "doc_id long, tag long, flag boolean, n_bytes long, n_words long, " + "".join(f"v{k} double, " for k in range(width)) + "total double, distinct long"
 
 
 def sums_by_document(docs: DataFrame, tokens: Callable[[bytes], list[bytes]], make_weigh: Callable[[], Callable], width: int) -> DataFrame:
-    """``docs``: doc_id long, text binary, flag boolean, from a source that gives
+    """``docs``: doc_id long, tag long, text binary, flag boolean, from a source that gives
     the same rows in the same order when read again.
 
     ``tokens`` cuts a text into words.  ``make_weigh()`` gives in each task a
     function of distinct words and their counts in flagged documents, which
     returns ``width`` values for each word.  The result has a row for each
-    document (doc_id, flag, n_bytes, n_words, v0 ...: sums of frequency times
+    document (doc_id, tag, flag, n_bytes, n_words, v0 ...: sums of frequency times
     value), and rows with n_bytes null, whose total and distinct sum up to the
     words in flagged documents and the distinct ones among them.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("doc_id", "text", "flag").mapInArrow(_deal(parts, tokens), FRAME)
+    dealt = docs.select("doc_id", "tag", "text", "flag").mapInArrow(_deal(parts, tokens), FRAME)
     valued = dealt.repartitionById(parts, "pid").mapInArrow(_value(parts, make_weigh, width), FRAME)
     rows, schema = _sum_up(width)
     home = "cast(pmod((block >> 20) * 7 + (block & 1048575), {0}) as int)".format(parts)
