@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, scratch, shared_dir
+from .common import ascii_lower, cut, scratch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
@@ -91,9 +91,12 @@ def dedup(
     result.  Other columns of ``docs`` are not looked at.  Texts that share a
     digest without being equal are told apart by their bytes.
     """
-    spark = docs.sparkSession
-    shared_dir(spark)
-    rows = located(docs)
+    return dedup_located(located(docs), digest, files_per_batch)
+
+
+def dedup_located(rows: DataFrame, digest: Callable[[Column], Column] = sha256_of, files_per_batch: int | None = None) -> DataFrame:
+    """``dedup`` for rows that have ``_fm_file`` and ``_fm_row`` already."""
+    spark = rows.sparkSession
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_fm_file").alias("file"), F.col("_fm_row").alias("row"), text.alias("text"))
     spool = scratch(spark, "spool")
@@ -116,6 +119,11 @@ def dedup(
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     rows = located(docs)
-    stay = dedup(rows.drop("_fm_file", "_fm_row")).where("keep.file = file and keep.row = row")
-    stay = stay.select(F.col("file").alias("_fm_file"), F.col("row").alias("_fm_row"))
-    return rows.join(stay, ["_fm_file", "_fm_row"], "left_semi").drop("_fm_file", "_fm_row")
+    gone = dedup_located(rows).where("keep.file <> file or keep.row <> row")
+    return without(rows, gone.select("file", "row"))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Located rows but those at ``gone`` (file, row)."""
+    at = gone.select(F.col("file").alias("_fm_file"), F.col("row").alias("_fm_row"))
+    return rows.join(at, ["_fm_file", "_fm_row"], "left_anti").drop("_fm_file", "_fm_row")

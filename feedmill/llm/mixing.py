@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
+from .exact_dedup import located
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -82,8 +83,9 @@ def mix(
     block_words: int = 16,
     shard_words: int = 16384,
     seed: int = 17,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Adds to each row of doc_id, source, text its share in the mix: size,
+    """For each row its share in the mix: doc_id, the columns ``carry``, source, size,
     source_size, target, taken, passes (whole readings), part_from and part
     (words of the last, partial reading: ``part`` words from word
     ``part_from`` of the row on, going on from its start where the row ends).
@@ -94,7 +96,7 @@ def mix(
     doc_id, then doc_id, then the text's hash; rows alike in all of these are
     alike in any order.  An empty table gives an empty result.
     """
-    base = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_fm_text")))
+    base = cut(docs.select(*carry, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_fm_text")))
     sizes = cut(targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, float(cap)))
     total = sizes.agg(F.sum("source_size")).first()[0] or 0
     shards = max(1, -(-total // shard_words))
@@ -125,4 +127,22 @@ def mix(
     got = got.withColumn("part", first + again).withColumn("part_from", F.when(first > 0, lo1 - F.col("at")).otherwise(0))
     got = got.withColumn("taken", F.col("passes") * F.col("size") + F.col("part"))
     got = got.join(F.broadcast(sizes.select(null_safe.alias("party"), "source_size", "target")), "party")
-    return got.select("doc_id", "source", "size", "source_size", "target", "taken", "passes", "part_from", "part", "shard")
+    return got.select("doc_id", *carry, "source", "size", "source_size", "target", "taken", "passes", "part_from", "part", "shard")
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each whole pass of
+    a text, and one with the words of its last, partial pass, joined by spaces.
+    n_chars, where there is one, is that of the text given."""
+    rows = located(docs)
+    at = ["_fm_file", "_fm_row"]
+    share = mix(rows, carry=tuple(at), **options).where("taken > 0").select(*at, "passes", "part_from", "part")
+    found = rows.join(share, at)
+    copies = F.explode(F.sequence(F.when(F.col("part") > 0, F.lit(0)).otherwise(F.lit(1)).cast("long"), F.col("passes")))
+    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
+    ring = F.slice(F.concat(words, words), (F.col("part_from") + 1).cast("int"), F.col("part").cast("int"))
+    found = found.withColumn("_fm_copy", copies).withColumn("text", F.when(F.col("_fm_copy") == 0, F.array_join(ring, " ")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        found = found.withColumn("n_chars", F.when(F.col("_fm_copy") == 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
+from .exact_dedup import located, without
 
 BITS = 64
 #: Members of a key, from which on it is linked through points.
@@ -254,9 +255,10 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp (signed 64 bits), component_id,
-    the smallest doc_id that the row reaches over links, itself included.
+def near_duplicates(docs: DataFrame, words: int = 3, tau: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, the columns ``carry``, fp (signed 64
+    bits), component_id, the smallest doc_id that the row reaches over links,
+    itself included, and root, a fingerprint that stands for the component.
 
     Null and empty texts and texts without words have fingerprint zero and are
     linked like any other.  Rows with a null doc_id link texts like others; a
@@ -264,11 +266,22 @@ def near_duplicates(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFrame:
     stay.  An empty table gives an empty result; other columns are not read.
     """
     small_batches(docs.sparkSession)
-    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprints(F.col("text"), words).alias("fp")))
+    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, fingerprints(F.col("text"), words).alias("fp")))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = components(links(distinct, tau)).withColumnRenamed("node", "fp")
     rooted = cut(distinct.join(found, "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = rooted.join(ids, "root").select("fp", "component_id")
-    known = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(cut(known), "fp").select("doc_id", "fp", "component_id")
+    linked = rooted.join(ids, "root").select("fp", "component_id", "root")
+    known = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return rows.join(cut(known), "fp").select("doc_id", *carry, "fp", "component_id", "root")
+
+
+def first_of_each(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component
+    the one with the smallest doc_id; of rows with the same doc_id the one with
+    the first locator; null doc_ids come first."""
+    rows = located(docs)
+    found = cut(near_duplicates(rows, words, tau, ("_fm_file", "_fm_row")).select("root", F.struct("doc_id", F.col("_fm_file").alias("file"), F.col("_fm_row").alias("row")).alias("at")))
+    stay = found.groupBy("root").agg(F.min("at").alias("at"))
+    gone = found.select("at.file", "at.row").join(stay.select("at.file", "at.row"), ["file", "row"], "left_anti")
+    return without(rows, gone)
