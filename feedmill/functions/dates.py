@@ -77,13 +77,13 @@ def article(text: Column) -> Column:
 
 
 def listing(text: Column, as_of: Column, back: int = 730, ahead: int = 365) -> Column:
-    """Days since the date from ``-ahead`` to ``back``."""
-    out = F.when(F.lit(False), F.lit(None).cast("timestamp"))
+    """Days since the date from ``-ahead`` (other forms: from 0) to ``back``."""
+    out, stated = F.when(F.lit(False), F.lit(None).cast("timestamp")), F.lit(False)
     for there, value in _forms(text):
-        out = out.when(there, value)
+        out, stated = out.when(there, value), stated | there
     out = out.otherwise(_slashed(text, True))
     age = F.floor((F.unix_timestamp(as_of) - F.unix_timestamp(out)) / 86400)
-    return F.when((age >= -ahead) & (age <= back), out)
+    return F.when((age >= F.when(stated, -ahead).otherwise(0)) & (age <= back), out)
 
 
 def iso_or_unknown(c: Column) -> Column:

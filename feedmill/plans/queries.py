@@ -207,7 +207,7 @@ def date_normalize_article(spark, sf):
 
 
 @query(f"""WITH a AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN NULL WHEN 3 THEN date_trunc('day', o_orderdate) + INTERVAL 37230 SECOND ELSE date_trunc('day', o_orderdate) END AS t FROM orders)
-    SELECT o_orderkey, CASE WHEN floor((epoch(TIMESTAMP '2000-01-01') - epoch(t)) / 86400) BETWEEN -365 AND 730 THEN {_TS.format('t')} ELSE 'unknown' END AS at FROM a""")
+    SELECT o_orderkey, CASE WHEN floor((epoch(TIMESTAMP '2000-01-01') - epoch(t)) / 86400) BETWEEN CASE WHEN o_orderkey % 6 = 4 THEN 0 ELSE -365 END AND 730 THEN {_TS.format('t')} ELSE 'unknown' END AS at FROM a""")
 def date_normalize_listing(spark, sf):
     found = dates.listing(F.col("said"), F.lit("2000-01-01 00:00:00").cast("timestamp"))
     return _order_texts(spark, sf).select("o_orderkey", dates.iso_or_unknown(found).alias("at"))
@@ -508,3 +508,91 @@ def union_candidates(spark, sf):
 def first_schema(spark, sf):
     cats = F.array(F.lit("none"), F.when(F.col("lang") == "en", "flow").when(F.col("lang") == "de", "legal").otherwise("empty"), F.lit("empty"))
     return _t(spark, sf, "documents").select("doc_id", lookup.first_schema(cats, {"legal": "s-legal", "flow": "s-flow"}).alias("schema"))
+
+
+# Queries through page trees, letter statistics and streams.
+
+
+@query()
+def page_links(spark, sf):
+    """Links with resolved addresses and dates, through one parse of each page."""
+    from datetime import UTC, datetime
+
+    from ..functions.page import with_page
+
+    p = with_page(_t(spark, sf, "pages"), datetime(2024, 1, 31, tzinfo=UTC))
+    return p.select("page_id", F.explode("page.links").alias("l")).select("page_id", "l.pos", "l.text", "l.url", "l.date")
+
+
+@query()
+def page_texts(spark, sf):
+    """Clean text, reading view and article text of each page."""
+    from datetime import UTC, datetime
+
+    from ..functions.page import with_page
+
+    p = with_page(_t(spark, sf, "pages"), datetime(2024, 1, 31, tzinfo=UTC))
+    return p.select("page_id", F.md5(F.col("page.clean").cast("binary")).alias("clean_md5"), F.length("page.reading").alias("n_reading"), F.length("page.article").alias("n_article"), "page.is_listing", "page.confidence")
+
+
+@query()
+def language_detect(spark, sf):
+    from ..functions.language import language
+
+    return _t(spark, sf, "documents").select("doc_id", "lang", language(F.col("text")).alias("found"))
+
+
+@query()
+def listing_near_copies(spark, sf):
+    """Greedy near copies among the articles of each page, by letters alike."""
+    import pandas as pd
+
+    from ..functions.page import drop_near_copies
+
+    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("pos").to_dict("records")
+        return pd.DataFrame(drop_near_copies(rows), columns=["conv_id", "pos", "date", "title"])
+
+    c = _t(spark, sf, "conversations").select("conv_id", F.col("turn").alias("pos"), F.col("role").alias("date"), F.col("text").alias("title"))
+    return c.groupBy("conv_id").applyInPandas(keep, "conv_id long, pos long, date string, title string").drop("title", "date")
+
+
+@query("""WITH d AS (SELECT DISTINCT event_id, ts, event_type FROM events) SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM d GROUP BY 1, 2""")
+def stream_dedup_events(spark, sf):
+    """Distinct events by day, read as a stream."""
+    import tempfile
+
+    from ..streaming.runner import events_by_day
+
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedmill-stream-")
+    at = f"{shared}/events-{spark.sparkContext.applicationId}-{abs(hash(sf))}-{spark.sql('SELECT uuid()').first()[0]}"
+    return events_by_day(spark, f"{sf}/events.parquet", f"{at}/checkpoint", f"{at}/out").withColumn("day", F.col("day").cast("string"))
+
+
+@query()
+def pipeline_end_to_end(spark, sf):
+    """The whole feed pipeline over the pages, with recorded answers; its
+    rejects and items, counted."""
+    import tempfile
+    from datetime import UTC, datetime
+
+    from ..config import Category, Config, Preparation, Source
+    from ..operators.state import StateStore
+    from ..pipeline import Inputs, run
+    from ..provider import Replay
+
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedmill-run-")
+    store = StateStore(spark, f"{shared}/state-{spark.sql('SELECT uuid()').first()[0]}")
+    as_of = datetime(2024, 1, 31, tzinfo=UTC)
+    pages = _t(spark, sf, "pages")
+    hub = pages.where("page_id = 0").select("url", "html").first()
+    cfg = Config("1", (Category("flow", ("tion", "ment")), Category("legal", ("license", "heit"))), (Source(hub["url"], ("flow", "legal"), discovery_method="rss"),), preparation=Preparation(min_prepared_chars=200))
+    entry = F.concat(F.lit("<item><title>Article number "), F.col("page_id").cast("string"), F.lit("</title><link>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</link><description>tion</description><pubDate>Tue, 30 Jan 2024 10:00:00 +0000</pubDate></item>"))
+    body = pages.select(entry.alias("e")).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.array_sort(F.collect_list("e")), ""), F.lit("</channel></rss>")).cast("binary").alias("xml"))
+    feeds = body.select(F.lit(hub["url"]).alias("source_url"), F.lit(0).alias("feed_ord"), F.lit(200).alias("http_status"), "xml")
+    fetched = pages.select("url", F.when(F.col("page_id") % 10 == 3, 401).otherwise(200).alias("http_status"), F.col("html").alias("static_html"), F.lit(None).cast("string").alias("rendered_html"), F.lit(None).cast("string").alias("crawled_html"), F.lit("static").alias("fetch_method"))
+    dims = ", ".join(f'"{d}": {{0}}' for d in scoring.DIMENSIONS)
+    k = (F.col("page_id") % 4).cast("string")
+    answer = F.concat(F.lit('{"title": "T", "summary": "S", "relevance_dimensions": {'), *[x for i, d in enumerate(dims.split("{0}")[:-1]) for x in (F.lit(d), k)], F.lit("}}"))
+    answers = pages.select(F.concat(F.lit("web:"), F.col("url")).alias("source_key"), answer.alias("answer"))
+    return run(spark, cfg, Inputs(feeds=feeds, fetched=fetched), as_of, store, Replay(answers)).metrics
