@@ -3,9 +3,10 @@
 In each partition the distinct words of a batch become token-position rows.  A
 recursive query joins neighbouring tokens to the merge table and contracts each
 word's leftmost pair of least rank until no pair is left.  Ordered aggregation
-joins the ids of each text and decodes them to its bytes again.  It runs over
-sorted rows in one thread, which is several times as fast as sorting within
-each aggregate; as decoding must give the text back, any other order is noticed.
+joins the ids of each text and decodes them to its bytes again.  Aggregates over
+sorted rows are several times as fast as ones that sort, but may take rows in
+another order when memory is short; so each also lists the positions as it met
+them, and where these don't rise the aggregates are run again with an order.
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ WITH RECURSIVE token(step, word, pos, next_pos, id, next_id, pair) AS (
         ) b ON b.word = t.word AND t.pos <> b.gone
     ) n LEFT JOIN merges m ON m.l = n.id AND m.r = n.next_id
 )
-SELECT word, count(*), string_agg(id::VARCHAR, ' '), string_agg(chars, '') FROM (
-    SELECT t.word, t.id, v.chars FROM token t
+SELECT word, count(*)::INTEGER AS n, string_agg(id::VARCHAR, ' '{order}) AS ids, string_agg(chars, ''{order}) AS chars, list(pos{order}) AS seen FROM (
+    SELECT t.word, t.pos, t.id, v.chars FROM token t
     JOIN (SELECT word, max(step) AS step FROM token GROUP BY word) z ON z.word = t.word AND z.step = t.step
     JOIN vocabulary v ON v.id = t.id ORDER BY t.word, t.pos
 ) GROUP BY word
@@ -61,8 +62,8 @@ SELECT word, count(*), string_agg(id::VARCHAR, ' '), string_agg(chars, '') FROM
 #: seen: doc, pos, word.  Of each text the number of its ids, the ids in order,
 #: and the bytes that they stand for, each byte as the character of its number.
 JOIN_UP = """
-SELECT doc, sum(n)::BIGINT, string_agg(ids, ' '), string_agg(chars, '')
-FROM (SELECT s.doc, k.n, k.ids, k.chars FROM seen s JOIN known k ON k.word = s.word ORDER BY s.doc, s.pos) GROUP BY doc
+SELECT doc, sum(n)::BIGINT AS n, string_agg(ids, ' '{order}) AS ids, string_agg(chars, ''{order}) AS chars, list(pos{order}) AS seen
+FROM (SELECT s.doc, s.pos, k.n, k.ids, k.chars FROM seen s JOIN known k ON k.word = s.word ORDER BY s.doc, s.pos) GROUP BY doc
 """
 
 
@@ -129,7 +130,22 @@ class Coder:
             "next_id": pa.array(np.append(ids[1:], np.int32(0)), mask=last),
         }
         self.db.register("start", pa.table(columns))
-        self.db.execute("INSERT INTO known " + CONTRACT)
+        self.db.register("met", self._ordered(CONTRACT, "pos"))
+        self.db.execute("INSERT INTO known SELECT word, n, ids, chars FROM met")
+        self.db.unregister("met")
+
+    def _ordered(self, query: str, by: str) -> pa.Table:
+        """The query's rows, its aggregates in the order of ``by``."""
+        for order in ("", f" ORDER BY {by}"):
+            out = self.db.sql(query.format(order=order)).to_arrow_table().combine_chunks()
+            seen = out["seen"].combine_chunks()
+            if isinstance(seen, pa.ChunkedArray):
+                seen = pa.concat_arrays(seen.chunks) if seen.num_chunks else pa.array([], pa.list_(pa.int64()))
+            values, starts = seen.flatten().to_numpy(zero_copy_only=False), seen.offsets.to_numpy()
+            falls = np.flatnonzero(np.diff(values) <= 0) + 1
+            if np.isin(falls, starts).all():
+                return out.drop_columns(["seen"])
+        raise RuntimeError("aggregates are out of order")
 
     def code(self, texts: list[str]) -> tuple[list[int], list[str], list[bytes]]:
         """Of each text: the number of ids, the ids joined by a space, and the
@@ -148,7 +164,8 @@ class Coder:
             start = np.cumsum(counts) - counts
             doc = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
             self.db.register("seen", pa.table({"doc": doc, "pos": np.arange(len(doc)) - np.repeat(start, counts), "word": number}))
-            for i, *rest in self.db.execute(JOIN_UP).fetchall():
+            got = self._ordered(JOIN_UP, "pos")
+            for i, *rest in zip(*(got[c].to_pylist() for c in ("doc", "n", "ids", "chars"))):
                 n[i], ids[i], decoded[i] = rest[0], rest[1], rest[2].encode("latin-1")
             if decoded != [x.encode() for x in texts]:
                 raise RuntimeError("decoding does not give the texts back")
