@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import duckdb
 import numpy as np
@@ -25,8 +26,12 @@ from .common import small_batches
 
 #: Distinct words whose ids a task remembers; beyond that it starts anew.
 REMEMBERED = 600_000
-#: Distinct words in one recursive query.
-AT_ONCE = 60_000
+#: Distinct words, and rows over all steps, in one recursive query.
+AT_ONCE, ROWS = 60_000, 4_000_000
+#: Each step of the recursion writes a word anew, so a word's rows grow with the
+#: square of its length.  Words of more bytes than this are contracted by the
+#: same rule with a queue of pairs.
+LONG = 400
 #: Characters of text that are handled at once, if no single text is longer.
 CHUNK = 2_000_000
 
@@ -78,7 +83,7 @@ class Coder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         pairs = np.array([(ranks[w[:i]], ranks[w[i:]], rank) for w, rank in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks] or [(-1, -1, -1)], np.int32)
         self._load("merges", {"l": pairs[:, 0], "r": pairs[:, 1], "merged": pairs[:, 2]})
         self._load("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "chars": [w.decode("latin-1") for w in ranks]})
@@ -104,15 +109,41 @@ class Coder:
             number, ids, chars = zip(*whole)
             self.db.register("whole", pa.table({"word": pa.array(number, pa.int32()), "id": pa.array(ids, pa.int32()), "chars": chars}))
             self.db.execute("INSERT INTO known SELECT word, 1, id::VARCHAR, chars FROM whole")
-        todo = [(first + i, w) for i, w in enumerate(raw) if w not in self.ranks]
+        todo = [(first + i, w) for i, w in enumerate(raw) if w not in self.ranks and len(w) <= LONG]
         while todo:
-            # Long words count by their bytes, as each step rewrites the whole word.
-            n = size = 0
-            while n < min(len(todo), AT_ONCE) and (n == 0 or size + len(todo[n][1]) <= 16 * AT_ONCE):
-                size += len(todo[n][1])
+            n = rows = 0
+            while n < min(len(todo), AT_ONCE) and (n == 0 or rows + len(todo[n][1]) ** 2 // 2 <= ROWS):
+                rows += len(todo[n][1]) ** 2 // 2
                 n += 1
             part, todo = todo[:n], todo[n:]
             self._contract(part)
+        for i, w in enumerate(raw):
+            if len(w) > LONG and w not in self.ranks:
+                ids = self.queued(w)
+                self.db.execute("INSERT INTO known VALUES (?, ?, ?, ?)", [first + i, len(ids), " ".join(map(str, ids)), w.decode("latin-1")])
+
+    def queued(self, word: bytes) -> list[int]:
+        """Ids of one long word: the pair of least rank, leftmost, is contracted
+        until none is left; a queue holds the pairs by rank and position."""
+        ranks, n = self.ranks, len(word)
+        token: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue = [(r, i, 1, 1) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
+        heapify(queue)
+        while queue:
+            _, i, left, right = heappop(queue)
+            j = after[i]
+            if token[i] is None or j >= n or len(token[i]) != left or len(token[j]) != right:
+                continue  # one of the two has been contracted since
+            token[i] += token[j]
+            token[j] = None
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+            for a, b in ((before[i], i), (i, k)):
+                if a >= 0 and b < n and (r := ranks.get(token[a] + token[b])) is not None:
+                    heappush(queue, (r, a, len(token[a]), len(token[b])))
+        return [ranks[t] for t in token if t is not None]
 
     def _contract(self, part: list[tuple[int, bytes]]) -> None:
         data = np.frombuffer(b"".join(w for _, w in part), np.uint8)
