@@ -70,6 +70,6 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
     with open(path, "rb") as f:
         model = checked(f.read())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("tag"), F.col("text").cast("binary").alias("text"), F.lit(False).alias("flag"))
-    out = sums_by_document(rows, pre_tokens, lambda: piece_counter(model), 1).where("n_bytes is not null")
+    out = sums_by_document(rows, pre_tokens, lambda: piece_counter(model), 1)[0].where("n_bytes is not null")
     n = F.col("v0").cast("long")
     return out.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"))

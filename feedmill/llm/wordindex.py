@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .common import cut
+
 #: A block ends at so many bytes of text or documents.
 BLOCK_BYTES, BLOCK_DOCS = 16_000_000, 16_384
-META, POSTINGS, SUMS, TOTAL = 0, 1, 2, 3
+META, POSTINGS, SUMS, TOTAL, BESIDE = 0, 1, 2, 3, 4
 FRAME = "pid int, block long, kind int, body binary"
 
 
@@ -46,13 +48,15 @@ def _frame(pid: int, block: int, kind: int, body: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([block], pa.int64()), pa.array([kind], pa.int32()), pa.array([body], pa.binary())], ["pid", "block", "kind", "body"])
 
 
-def _block(block: int, parts: int, ids: list, tags: list, flags: list, texts: list[bytes], tokens: Callable[[bytes], list[bytes]]) -> Iterator[pa.RecordBatch]:
+def _block(block: int, parts: int, ids: list, tags: list, flags: list, texts: list[bytes], tokens: Callable[[bytes], list[bytes]], beside: Callable | None) -> Iterator[pa.RecordBatch]:
     found = [tokens(x) for x in texts]
     counts = np.array([len(x) for x in found], np.int64)
     yield _frame(block % parts, block, META, _pack(ids, tags, flags, [len(x) for x in texts], counts))
     coded = pa.array([w for x in found for w in x], pa.binary()).dictionary_encode()
     del found
     words = coded.dictionary.to_pylist()
+    if beside is not None:  # also for blocks without words
+        yield _frame(0, block, BESIDE, _pack(ids, tags, flags, *beside(words, coded.indices.to_numpy(), counts)))
     if not words:
         return
     n = len(texts)
@@ -69,8 +73,9 @@ def _block(block: int, parts: int, ids: list, tags: list, flags: list, texts: li
         yield _frame(int(pid[some[0]]), block, POSTINGS, _pack(b"".join(mine), _small(np.array([len(w) for w in mine])), _small(postings[some]), _small(doc[at]), _small(freq[at]), _small(flagged[some])))
 
 
-def _deal(parts: int, tokens: Callable[[bytes], list[bytes]]):
+def _deal(parts: int, tokens: Callable[[bytes], list[bytes]], make_beside: Callable[[], Callable] | None):
     def rows(batches):
+        beside = make_beside() if make_beside else None
         task, number = TaskContext.get(), 0
         first = (task.partitionId() if task else 0) << 20
         ids, tags, flags, texts, size = [], [], [], [], 0
@@ -78,7 +83,7 @@ def _deal(parts: int, tokens: Callable[[bytes], list[bytes]]):
             for i, tag, text, flag in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 text = text or b""
                 if texts and (size + len(text) > BLOCK_BYTES or len(texts) >= BLOCK_DOCS):
-                    yield from _block(first + number, parts, ids, tags, flags, texts, tokens)
+                    yield from _block(first + number, parts, ids, tags, flags, texts, tokens, beside)
                     ids, tags, flags, texts, size, number = [], [], [], [], 0, number + 1
                 ids.append(i)
                 tags.append(tag)
@@ -86,7 +91,7 @@ def _deal(parts: int, tokens: Callable[[bytes], list[bytes]]):
                 texts.append(text)
                 size += len(text)
         if texts:
-            yield from _block(first + number, parts, ids, tags, flags, texts, tokens)
+            yield from _block(first + number, parts, ids, tags, flags, texts, tokens, beside)
 
     return rows
 
@@ -149,20 +154,30 @@ def _sum_up(width: int):
     return rows, "doc_id long, tag long, flag boolean, n_bytes long, n_words long, " + "".join(f"v{k} double, " for k in range(width)) + "total double, distinct long"
 
 
-def sums_by_document(docs: DataFrame, tokens: Callable[[bytes], list[bytes]], make_weigh: Callable[[], Callable], width: int) -> DataFrame:
-    """``docs``: doc_id long, tag long, text binary, flag boolean, from a source that gives
-    the same rows in the same order when read again.
+def sums_by_document(docs: DataFrame, tokens: Callable[[bytes], list[bytes]], make_weigh: Callable[[], Callable], width: int, make_beside: Callable[[], Callable] | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """``docs``: doc_id long, tag long, text binary, flag boolean, from a source
+    that gives the same rows in the same order when read again.
 
     ``tokens`` cuts a text into words.  ``make_weigh()`` gives in each task a
     function of distinct words and their counts in flagged documents, which
-    returns ``width`` values for each word.  The result has a row for each
+    returns ``width`` values for each word.  The first result has a row for each
     document (doc_id, tag, flag, n_bytes, n_words, v0 ...: sums of frequency times
     value), and rows with n_bytes null, whose total and distinct sum up to the
     words in flagged documents and the distinct ones among them.
+
+    ``make_beside()`` gives in each task a function of a block's distinct words,
+    each word's number in turn and each document's number of words; what it
+    returns is packed, after the documents' ids, tags and flags, into the second
+    result, one row (body) for each block, kept in the shared folder.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("doc_id", "tag", "text", "flag").mapInArrow(_deal(parts, tokens), FRAME)
+    dealt = docs.select("doc_id", "tag", "text", "flag").mapInArrow(_deal(parts, tokens, make_beside), FRAME)
+    blocks = None
+    if make_beside is not None:
+        dealt = cut(dealt)
+        blocks = dealt.where(f"kind = {BESIDE}").select("body")
+        dealt = dealt.where(f"kind <> {BESIDE}")
     valued = dealt.repartitionById(parts, "pid").mapInArrow(_value(parts, make_weigh, width), FRAME)
     rows, schema = _sum_up(width)
-    home = "cast(pmod((block >> 20) * 7 + (block & 1048575), {0}) as int)".format(parts)
-    return valued.selectExpr(f"{home} as pid", "block", "kind", "body").repartitionById(parts, "pid").mapInArrow(rows, schema)
+    home = f"cast(pmod((block >> 20) * 7 + (block & 1048575), {parts}) as int)"
+    return valued.selectExpr(f"{home} as pid", "block", "kind", "body").repartitionById(parts, "pid").mapInArrow(rows, schema), blocks
