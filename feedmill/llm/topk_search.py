@@ -6,7 +6,8 @@ has length l only matters if theta <= |q| l, and a vector in it only if its
 cosine with q is at least t = theta / (|q| l).  Where t says little, vectors are
 pruned by length alone.  Where it says much, by coordinates: a unit vector p with
 cosine t or more to the unit vector q has each coordinate within
-q_f t +- sqrt((1 - q_f^2)(1 - t^2)), which is tried on q's largest coordinates.
+q_f t +- sqrt((1 - q_f^2)(1 - t^2)), without upper bound where q_f >= t and
+without lower one where q_f <= -t, which is tried on q's largest coordinates.
 What is left is verified by whole products.
 """
 
@@ -93,8 +94,10 @@ def _pairs(unit_q: np.ndarray, unit_p: np.ndarray, t: np.ndarray, coordinates: i
     for c in range(focus.shape[1]):
         qf = unit_q[np.arange(len(unit_q)), focus[:, c]]
         middle, half = qf * t, np.sqrt(np.maximum(0, (1 - qf**2) * (1 - t**2)))
+        low = np.where(qf <= -t, -1.0, middle - half) - 1e-9
+        high = np.where(qf >= t, 1.0, middle + half) + 1e-9
         p = unit_p[:, focus[:, c]].T
-        left &= (p >= (middle - half - 1e-9)[:, None]) & (p <= (middle + half + 1e-9)[:, None])
+        left &= (p >= low[:, None]) & (p <= high[:, None])
     return np.nonzero(left)
 
 
