@@ -41,12 +41,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float =
         sizes.withColumn("_fm_pos", F.row_number().over(order) - 1)
         .withColumn("weight", weight)
         .withColumn("_fm_full_at", cap * F.col("source_size") / F.col("weight"))
+        .withColumn("_fm_turn", F.row_number().over(fill))
         .withColumn("_fm_total", F.sum("source_size").over(all_rows))
         .withColumn("_fm_caps", F.sum(cap * F.col("source_size")).over(fill.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("_fm_weights", F.sum("weight").over(fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
         .withColumn("_fm_level", (F.col("_fm_total") - F.coalesce("_fm_caps", F.lit(0.0))) / F.col("_fm_weights"))
         # The first source that its cap does not stop fixes the level.
-        .withColumn("_fm_level", F.min(F.when(F.col("_fm_level") <= F.col("_fm_full_at"), F.struct("_fm_full_at", "_fm_level"))).over(all_rows)["_fm_level"])
+        .withColumn("_fm_level", F.min(F.when(F.col("_fm_level") <= F.col("_fm_full_at"), F.struct("_fm_full_at", "_fm_turn", "_fm_level"))).over(all_rows)["_fm_level"])
     )
     capped = F.least(cap * F.col("source_size"), F.col("_fm_level") * F.col("weight"))
     return w.select("source", "source_size", "weight", F.coalesce(capped, cap * F.col("source_size")).alias("target"))
