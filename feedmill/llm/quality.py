@@ -148,10 +148,12 @@ def non_negative_risk(prior: float):
 
 def tail_prior(trusted: np.ndarray, every: np.ndarray, least: float = 0.2) -> float:
     """Least ratio of upper tails, from two histograms of scores, over tails
-    that hold at least a part ``least`` of the trusted texts."""
+    that hold at least a part ``least`` of the trusted texts.  Small tails vary
+    by chance, so a tail's ratio counts as more by its own error."""
     p, u = np.cumsum(trusted[::-1]) / trusted.sum(), np.cumsum(every[::-1]) / every.sum()
     use = p >= least
-    return float(np.clip((u[use] / p[use]).min(), 0.05, 0.99))
+    ratio, error = u[use] / p[use], 1 / np.sqrt(p[use] * trusted.sum())
+    return float(np.clip(ratio[np.argmin(ratio * (1 + 2 * error))], 0.05, 0.99))
 
 
 def score_measures(column: Column, net: Network) -> Column:
