@@ -60,7 +60,7 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rank: int = 4, epochs: int = 40, rate: float = 0.3, l1: float = 1e-4, least: int = 3, screen: float = 3.5, seed: int = 5) -> Machine:
+def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rank: int = 4, epochs: int = 40, rate: float = 0.3, l1: float = 1e-3, least: int = 3, screen: float = 3.5, seed: int = 5) -> Machine:
     """Adagrad on weighted log loss over batches of texts; weights are drawn to
     zero (l1) and learn alone at first, factors join in the second half.  Terms in fewer than ``least`` examples are left out, and those
     whose first gradient is under ``screen`` times what chance gives: in long
@@ -79,9 +79,7 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, ran
     bias, w, v = np.log(mean / (1 - mean)), np.zeros(n), rng.normal(0, 0.01, (n, rank))
     places = []
     for x in examples:
-        at = np.searchsorted(terms, x)
-        at = at[at < n]
-        places.append(at[np.isin(terms[at], x)])
+        places.append(np.flatnonzero(np.isin(terms, x, assume_unique=True)))
     gw, gv, gb = np.full(n, 1e-4), np.full((n, rank), 1e-4), 1e-4
     for epoch in range(epochs if n else 0):
         order = rng.permutation(len(places))
