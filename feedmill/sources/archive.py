@@ -51,7 +51,10 @@ def write_document(items: DataFrame, path: str, at: datetime) -> str:
 def list_results(spark: SparkSession, path: str, limit: int = 100) -> DataFrame:
     """path, at, size_bytes, item_count of the newest documents; files whose
     names hold no time are left out."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "results_*.json").load(path)
+    fs, as_path = _fs(spark, path)
+    if not fs.globStatus(as_path(f"{path}/results_*.json")):
+        return spark.createDataFrame([], "path string, at timestamp, size_bytes long, item_count long")
+    files = spark.read.format("binaryFile").load(f"{path}/results_*.json")
     rows = files.select("path", filename_time(F.col("path")).alias("at"), F.col("length").alias("size_bytes"), F.get_json_object(F.col("content").cast("string"), "$.item_count").cast("long").alias("item_count"))
     return rows.where("at is not null").orderBy(F.col("at").desc()).limit(limit)
 
