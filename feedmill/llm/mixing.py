@@ -18,6 +18,8 @@ from .common import cut
 from .exact_dedup import located
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Sources up to which their sizes are broadcast; a row has under 200 bytes.
+BROADCAST_SOURCES = 50_000
 
 
 def n_words(text: Column) -> Column:
@@ -105,11 +107,14 @@ def mix(
     null_safe = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # "t" sorts after every "s..."
     spread = base.select("*", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(shards)).alias("shard"), null_safe.alias("party"))
     streams = spread.groupBy("shard", "party").agg(F.sum("size").alias("length"))
-    votes = streams.join(F.broadcast(sizes.select(null_safe.alias("party"), "source_size", "target")), "party")
+    own = sizes.select(null_safe.alias("party"), "source_size", "target")
+    votes = streams.join(F.broadcast(own) if sizes.count() <= BROADCAST_SOURCES else own, "party")
     votes = votes.withColumn("votes", F.when(F.col("source_size") > 0, F.col("target") * F.col("length") / F.col("source_size")).otherwise(0.0))
     each = Window.partitionBy("shard")
     votes = votes.withColumn("seats", F.round(F.sum("votes").over(each) / block_words).cast("long"))
-    quotas = cut(sainte_lague(votes.select("shard", "party", "votes", "seats"), "shard", "party", "votes", "seats"))
+    votes = cut(votes)
+    quotas = sainte_lague(votes.select("shard", "party", "votes", "seats"), "shard", "party", "votes", "seats")
+    quotas = cut(quotas.join(votes.select("shard", "party", "source_size", "target"), ["shard", "party"]))
 
     stream = Window.partitionBy("shard", "party")
     order = stream.orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "_fm_text", "size")
@@ -127,7 +132,6 @@ def mix(
     first, again = F.greatest(hi1 - lo1, F.lit(0)), F.greatest(hi2 - lo2, F.lit(0))
     got = got.withColumn("part", first + again).withColumn("part_from", F.when(first > 0, lo1 - F.col("at")).otherwise(0))
     got = got.withColumn("taken", F.col("passes") * F.col("size") + F.col("part"))
-    got = got.join(F.broadcast(sizes.select(null_safe.alias("party"), "source_size", "target")), "party")
     return got.select("doc_id", *carry, "source", "size", "source_size", "target", "taken", "passes", "part_from", "part", "shard")
 
 
