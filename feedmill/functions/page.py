@@ -75,13 +75,29 @@ class Reader:
 
     # Dates of links and their surroundings.
 
-    def _element_candidates(self, node: Node) -> Iterator[str | None]:
-        for item in self.linked_data(node):
-            yield from (item.get(f) for f in LD_FIELDS[:2])
-        for meta in [node.find("meta", property=HEAD_PROPERTIES[0]), *(node.find("meta", name=n) for n in META_NAMES)]:
-            if meta:
-                yield meta.get("content")
+    @staticmethod
+    def kinds(root: Node) -> frozenset[str]:
+        """Tags, attributes and date classes that a page has at all: what it
+        lacks needn't be looked for around each of its links."""
+        out: set[str] = set()
+        for x in root.walk():
+            out.add(x.tag)
+            out.update(f"@{a}" for a in x.attrs)
+            if c := x.attrs.get("class"):
+                out.update(f".{n}" for n in DATE_CLASSES if n in c.lower())
+        return frozenset(out)
+
+    def _element_candidates(self, node: Node, kinds: frozenset[str]) -> Iterator[str | None]:
+        if "script" in kinds:
+            for item in self.linked_data(node):
+                yield from (item.get(f) for f in LD_FIELDS[:2])
+        if "meta" in kinds:
+            for meta in [node.find("meta", property=HEAD_PROPERTIES[0]), *(node.find("meta", name=n) for n in META_NAMES)]:
+                if meta:
+                    yield meta.get("content")
         for attribute in DATA_ATTRIBUTES:
+            if f"@{attribute}" not in kinds:
+                continue
             yield next((x.get(attribute) for x in node.walk() if attribute in x.attrs), None)
         for selector in self.selectors:
             if (x := select_one(node, selector)) is not None:
@@ -92,11 +108,12 @@ class Reader:
                     yield from self._searched(around, self.patterns)
         whole = node.text()
         yield from self._searched(whole, self.patterns)
-        yield next((x.get("datetime") for x in node.find_all("time") if x.get("datetime")), None)
-        if (x := next((x for x in node.walk() if re.search(r"date(Published|Modified)", x.get("itemprop", ""), re.I)), None)) is not None:
+        if "time" in kinds:
+            yield next((x.get("datetime") for x in node.find_all("time") if x.get("datetime")), None)
+        if "@itemprop" in kinds and (x := next((x for x in node.walk() if re.search(r"date(Published|Modified)", x.get("itemprop", ""), re.I)), None)) is not None:
             yield from (x.get("datetime"), x.get("content"), x.text(strip=True))
         for name in DATE_CLASSES:
-            if (x := next((x for x in node.walk() if name in x.get("class", "").lower()), None)) is not None:
+            if f".{name}" in kinds and (x := next((x for x in node.walk() if name in x.get("class", "").lower()), None)) is not None:
                 yield x.get("datetime")
                 if len(own := x.text(strip=True)) < 50:
                     yield own
@@ -115,8 +132,12 @@ class Reader:
             if m:
                 yield m[0]
 
-    def element_date(self, node: Node) -> datetime | None:
-        return self._first(self._element_candidates(node))
+    def element_date(self, node: Node, kinds: frozenset[str] | None = None) -> datetime | None:
+        if kinds is None:
+            alone = Node("", {}, None)
+            alone.children = [node]
+            kinds = self.kinds(alone)
+        return self._first(self._element_candidates(node, kinds))
 
     def page_date(self, root: Node) -> datetime | None:
         def candidates():
@@ -130,7 +151,7 @@ class Reader:
 
         return self._first(candidates())
 
-    def link_date(self, a: Node, page: datetime | None, memory: dict[int, datetime | None]) -> datetime | None:
+    def link_date(self, a: Node, page: datetime | None, memory: dict[int, datetime | None], kinds: frozenset[str]) -> datetime | None:
         """Of the link itself, its neighbours, its parent and the parent's
         neighbours, and up to five elements around it; else the page's."""
         around: list[Node | str | None] = [a, a.sibling(-1), a.sibling(1), a.parent]
@@ -146,16 +167,16 @@ class Reader:
         for x in around:
             if isinstance(x, Node):
                 if id(x) not in memory:
-                    memory[id(x)] = self.element_date(x)
+                    memory[id(x)] = self.element_date(x, kinds)
                 if memory[id(x)]:
                     return memory[id(x)]
         return page
 
     def links(self, root: Node, url: str) -> list[dict]:
-        page, memory = self.page_date(root), {}
+        page, memory, kinds = self.page_date(root), {}, self.kinds(root)
         out = []
         for pos, a in enumerate(x for x in root.find_all("a") if "href" in x.attrs):
-            out.append({"pos": pos, "text": a.text(strip=True), "href": a.get("href"), "url": resolve(url, a.get("href")), "date": pydates.iso(self.link_date(a, page, memory))})
+            out.append({"pos": pos, "text": a.text(strip=True), "href": a.get("href"), "url": resolve(url, a.get("href")), "date": pydates.iso(self.link_date(a, page, memory, kinds))})
         return out
 
     # Dates and texts of articles.
@@ -248,7 +269,17 @@ class Reader:
         return next((t for s in selectors if (x := select_one(node, s)) is not None and (t := x.text(strip=True))), "")
 
     def container_counts(self, root: Node) -> dict[str, list[Node]]:
-        return {s: select(root, s) for s in CONTAINERS}
+        """Elements by container selector.  Selectors that need a class, role or
+        tag which the page doesn't have are not tried."""
+        nodes = list(root.walk())
+        classes, tags = " ".join(x.attrs.get("class", "") for x in nodes), {x.tag for x in nodes}
+        roles = {x.attrs.get("role") for x in nodes}
+
+        def may_match(selector: str) -> bool:
+            needed = re.findall(r"\.([\w-]+)|class\*='([^']+)'", selector)
+            return all((a or b) in classes for a, b in needed) and (needed or selector in tags or (selector.startswith("[role") and "article" in roles))
+
+        return {s: select(root, s) if may_match(s) else [] for s in CONTAINERS}
 
     def confidence(self, found: dict[str, list[Node]]) -> int:
         """From 0 to 100: containers 30, dates 25, titles 25, contents 15, like
@@ -352,8 +383,13 @@ ARTICLE = "struct<pos: int, title: string, date: string, content: string, url: s
 PAGE = f"struct<links: array<struct<pos: int, text: string, href: string, url: string, date: string>>, clean: string, reading: string, article: string, page_date: string, article_date: string, is_listing: boolean, confidence: int, articles: array<{ARTICLE}>>"
 
 
-def read_pages(html: Column, url: Column, as_of: datetime, selectors: tuple[str, ...] = (), patterns: tuple[str, ...] = (), max_age_days: int | None = None) -> Column:
-    """One struct for each page; a null page reads as an empty one."""
+#: Parts of what a page gives.
+PARTS = ("links", "texts", "dates", "listing")
+
+
+def read_pages(html: Column, url: Column, as_of: datetime, selectors: tuple[str, ...] = (), patterns: tuple[str, ...] = (), max_age_days: int | None = None, parts: tuple[str, ...] = PARTS) -> Column:
+    """One struct for each page; a null page reads as an empty one.  Only the
+    ``parts`` asked for are worked out, the others are null."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
@@ -366,12 +402,17 @@ def read_pages(html: Column, url: Column, as_of: datetime, selectors: tuple[str,
             out = []
             for page, at in zip(pages.to_pylist(), urls.to_pylist()):
                 root = parse(page)
-                found = reader.container_counts(root)
-                out.append({
-                    "links": reader.links(root, at or ""), "clean": reader.clean_text(root), "reading": reader.reading_text(root), "article": reader.article_text(root),
-                    "page_date": pydates.iso(reader.page_date(root)), "article_date": pydates.iso(reader.article_date(root, page or "")),
-                    "is_listing": reader.is_listing(root, found), "confidence": reader.confidence(found), "articles": reader.listing_articles(found, max_age_days),
-                })
+                row: dict = dict.fromkeys(f.name for f in kind)
+                if "links" in parts:
+                    row |= {"links": reader.links(root, at or "")}
+                if "texts" in parts:
+                    row |= {"clean": reader.clean_text(root), "reading": reader.reading_text(root), "article": reader.article_text(root)}
+                if "dates" in parts:
+                    row |= {"page_date": pydates.iso(reader.page_date(root)), "article_date": pydates.iso(reader.article_date(root, page or ""))}
+                if "listing" in parts:
+                    found = reader.container_counts(root)
+                    row |= {"is_listing": reader.is_listing(root, found), "confidence": reader.confidence(found), "articles": reader.listing_articles(found, max_age_days)}
+                out.append(row)
             yield pa.array(out, kind)
 
     return read(html, url)

@@ -12,7 +12,7 @@ BROADCAST_ROWS = 100_000
 
 def small(dim: DataFrame) -> DataFrame:
     """``dim``, broadcast if it is small enough."""
-    return F.broadcast(dim) if len(dim.limit(BROADCAST_ROWS + 1).collect()) <= BROADCAST_ROWS else dim
+    return F.broadcast(dim) if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else dim
 
 
 def page_of(key: Column) -> Column:

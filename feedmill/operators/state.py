@@ -70,10 +70,10 @@ class StateStore:
         current; also for empty runs, which move the last run on."""
         now = self.current()
         seq = (now[2] if now else 0) + 1
-        bad = records.where(~F.col("status").isin(*STATUSES)).limit(1).collect()
-        if bad:
-            raise ValueError(f"status {bad[0]['status']!r} is not known")
-        fresh = records.withColumn("seq", F.lit(seq).cast("long")).select([c.split()[0] for c in SCHEMA.split(", ")])
+        known = F.col("status").isin(*STATUSES)
+        # Checked while it is written, so that the records are made once.
+        checked = F.when(known, F.col("status")).otherwise(F.raise_error(F.concat(F.lit("status is not known: "), F.col("status"))))
+        fresh = records.withColumn("status", checked).withColumn("seq", F.lit(seq).cast("long")).select([c.split()[0] for c in SCHEMA.split(", ")])
         version = f"v{seq}-{uuid.uuid4().hex[:8]}"
         latest(self.read().unionByName(fresh), ["source_key"], "seq").write.parquet(f"{self.path}/{version}")
         self.spark.createDataFrame([(version, as_of, seq)], "version string, last_run timestamp, seq long").write.mode("append").parquet(f"{self.path}/runs")

@@ -59,7 +59,7 @@ def as_time(as_of: datetime) -> Column:
 def scan_listing(pages: DataFrame, source: Source, as_of: datetime, max_age_days: int) -> DataFrame:
     """Links of a source's page: filters, early stop, one row for each URL."""
     variant = "browser" if source.discovery_method in ("browser", "playwright") else "static"
-    read = with_page(pages.where(F.col("url") == source.url), as_of, selectors=source.date_selectors, patterns=source.date_patterns)
+    read = with_page(pages.where(F.col("url") == source.url), as_of, selectors=source.date_selectors, patterns=source.date_patterns, parts=("links",))
     rows = read.select(F.col("url").alias("source_url"), F.explode("page.links").alias("l")).select("source_url", "l.pos", "l.text", "l.url", parse_iso(F.col("l.date")).alias("date"))
     rows = rows.where(urls.link_ok(F.col("url"), F.col("text"), F.col("source_url"), variant))
     old = F.col("date") < as_time(as_of) - F.make_dt_interval(F.lit(max_age_days))
@@ -125,7 +125,7 @@ def extract(cfg: Config, items: DataFrame, fetched: DataFrame, as_of: datetime)
     """Items with page, html and, where they fail, a reason."""
     got = resolve_tiers(fetched).select("url", "html", "extraction_method", F.col("reason").alias("fetch_reason"))
     joined = items.join(got, "url", "left")
-    read = with_page(joined, as_of, max_age_days=cfg.article_max_age_days)
+    read = with_page(joined, as_of, max_age_days=cfg.article_max_age_days, parts=("texts", "dates", "listing"))
     inline = F.col("url").isin([s.url for s in cfg.web_sources if s.listings_type == "inline"])
     return read.withColumn("is_listing", inline | (F.col("page.is_listing") & (F.size("page.articles") > 0))).withColumn("reason", F.when(F.col("html").isNull(), F.coalesce("fetch_reason", F.lit("no_content"))))
 
@@ -177,7 +177,7 @@ def run(spark: SparkSession, cfg: Config, inputs: Inputs, as_of: datetime, store
     at = as_time(as_of)
     state = store.read()
     found = discover(spark, cfg, inputs, as_of, store.last_run(as_of))
-    judged = freshness.guardrail(found, F.col("published"), urls.dated(F.col("url")), at, cfg.article_max_age_days)
+    judged = freshness.guardrail(found, F.col("published"), urls.dated(F.col("url")), at, cfg.article_max_age_days).persist()
     fresh = skip_processed(judged.where("verdict = 'fresh'"), state)
     stale = reject(judged.where("verdict <> 'fresh'"), "discovery", F.col("verdict"), F.col("fresh_at"), F.lit("filtered"))
 
@@ -217,6 +217,7 @@ def run(spark: SparkSession, cfg: Config, inputs: Inputs, as_of: datetime, store
     rejects = stale
     for r in (failed, gated, parents, thin, late):
         rejects = rejects.unionByName(r)
+    rejects = rejects.persist()
     ok = items.select("source_key", F.lit("success").alias("status"), F.lit(None).cast("string").alias("reason"), F.col("fresh_at").cast("string").alias("article_date"))
     status = F.when(F.col("kind") == "filtered", "filtered").otherwise(F.concat("stage", F.lit("_failed")))
     bad = rejects.where("stage <> 'discovery'").select("source_key", status.alias("status"), "reason", "article_date")

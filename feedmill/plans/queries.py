@@ -130,11 +130,11 @@ def url_host_counts(spark, sf):
     return candidates.by_host(_t(spark, sf, "pages"), urls.host(F.col("url")))
 
 
-@query(f"""WITH a AS (SELECT page_id, url, {_NORM.format('url')} AS n FROM pages), s AS (SELECT {_NORM.format('url')} AS n FROM pages WHERE page_id = 0)
+@query(f"""WITH a AS (SELECT page_id, url, {_NORM.format('url')} AS n FROM pages), s AS (SELECT arg_min({_NORM.format('url')}, page_id) AS n FROM pages)
     SELECT page_id FROM a WHERE NOT (n IN (SELECT n FROM s))""")
 def hub_filter(spark, sf):
     p = _t(spark, sf, "pages")
-    hub = p.where("page_id = 0").select(F.col("url").alias("hub"))
+    hub = p.agg(F.min_by("url", "page_id").alias("hub"))  # one row
     return p.join(F.broadcast(hub), urls.is_hub_link(F.col("url"), F.col("hub"), F.lit(False)), "left_anti").select("page_id")
 
 
@@ -146,12 +146,12 @@ def source_lookup_prefix(spark, sf):
     return lookup.source_by_url(_t(spark, sf, "pages"), dim, F.col("url")).select("page_id", "source_url")
 
 
-@query("""WITH s AS (SELECT url AS source_url, page_id AS ord FROM pages WHERE page_id < 100)
-    SELECT p.page_id, s.source_url FROM pages p JOIN s ON regexp_replace(s.source_url, '/+$', '') = regexp_replace(p.url, '/+$', '')
-    WHERE NOT EXISTS (SELECT 1 FROM s z WHERE regexp_replace(z.source_url, '/+$', '') = regexp_replace(p.url, '/+$', '') AND z.ord > s.ord)""")
+@query("""WITH s AS (SELECT arg_max(url, page_id) AS source_url FROM pages GROUP BY regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9_+.-]*://([^/?#]*)', 1))
+    SELECT p.page_id, s.source_url FROM pages p JOIN s ON regexp_replace(s.source_url, '/+$', '') = regexp_replace(p.url, '/+$', '')""")
 def source_lookup_exact(spark, sf):
+    """Sources are the newest page of each host; pages that are a source."""
     p = _t(spark, sf, "pages")
-    dim = p.where("page_id < 100").select(F.col("url").alias("source_url"), F.col("page_id").cast("int").alias("source_ord"))
+    dim = p.groupBy(urls.host(F.col("url")).alias("h")).agg(F.max_by("url", "page_id").alias("source_url"), F.max("page_id").cast("int").alias("source_ord")).drop("h")
     bare = lambda c: F.regexp_replace(c, "/+$", "")
     out = lookup.source_by_url(p, dim, F.col("url"))
     return out.where(bare(F.col("source_url")) == bare(F.col("url"))).select("page_id", "source_url")
@@ -498,10 +498,11 @@ def markdown_links(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", F.explode(links(doc)).alias("l")).select("doc_id", "l.text", "l.url").where(F.length("text") >= 4).drop("text")
 
 
-@query("""SELECT doc_id, 'web:' || doc_id AS source_key, 'web' AS origin FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'web:' || doc_id, 'email' FROM documents WHERE doc_id % 3 = 0""")
+@query("""SELECT doc_id, 'web:' || doc_id AS source_key, 'web' AS origin FROM documents WHERE lang IN ('en', 'de') UNION ALL SELECT doc_id, 'web:' || doc_id, 'email' FROM documents WHERE lang IN ('de', 'fr')""")
 def union_candidates(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", F.concat(F.lit("web:"), F.col("doc_id").cast("string")).alias("source_key"))
-    return d.where("doc_id % 2 = 0").withColumn("origin", F.lit("web")).unionByName(d.where("doc_id % 3 = 0").withColumn("origin", F.lit("email")), allowMissingColumns=True)
+    d = _t(spark, sf, "documents").select("doc_id", "lang", F.concat(F.lit("web:"), F.col("doc_id").cast("string")).alias("source_key"))
+    pick = lambda *langs: d.where(F.col("lang").isin(*langs)).drop("lang")
+    return pick("en", "de").withColumn("origin", F.lit("web")).unionByName(pick("de", "fr").withColumn("origin", F.lit("email")), allowMissingColumns=True)
 
 
 @query("SELECT doc_id, CASE lang WHEN 'en' THEN 's-flow' WHEN 'de' THEN 's-legal' END AS schema FROM documents")
@@ -520,7 +521,7 @@ def page_links(spark, sf):
 
     from ..functions.page import with_page
 
-    p = with_page(_t(spark, sf, "pages"), datetime(2024, 1, 31, tzinfo=UTC))
+    p = with_page(_t(spark, sf, "pages"), datetime(2024, 1, 31, tzinfo=UTC), parts=("links",))
     return p.select("page_id", F.explode("page.links").alias("l")).select("page_id", "l.pos", "l.text", "l.url", "l.date")
 
 
@@ -531,7 +532,7 @@ def page_texts(spark, sf):
 
     from ..functions.page import with_page
 
-    p = with_page(_t(spark, sf, "pages"), datetime(2024, 1, 31, tzinfo=UTC))
+    p = with_page(_t(spark, sf, "pages"), datetime(2024, 1, 31, tzinfo=UTC), parts=("texts", "listing"))
     return p.select("page_id", F.md5(F.col("page.clean").cast("binary")).alias("clean_md5"), F.length("page.reading").alias("n_reading"), F.length("page.article").alias("n_article"), "page.is_listing", "page.confidence")
 
 
