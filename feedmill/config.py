@@ -90,6 +90,23 @@ class Config:
     def schemas(self) -> dict[str, str]:
         return {c.name: c.relevance_schema.schema_id for c in self.categories if c.relevance_schema}
 
+    def to_dict(self) -> dict:
+        """What ``from_dict`` reads, without values that are the defaults."""
+        put = lambda d: {k: v for k, v in d.items() if v not in (None, (), [], {}, "")}
+
+        def source(s: Source) -> dict:
+            base = Source(s.url)
+            own = {k: getattr(s, k) for k in ("listings_type", "discovery_method", "fetch_method", "rss_feed_url", "sitemap_url", "rss_date_extraction", "item_selector") if getattr(s, k) != getattr(base, k)}
+            rules = put({"include_patterns": list(s.include), "exclude_patterns": list(s.exclude)})
+            dated = put({"css_selectors": list(s.date_selectors), "regex_patterns": list(s.date_patterns)})
+            return put({"url": s.url, "categories": list(s.categories), **own, "extraction_rules": rules, "date_extraction_pattern": dated, "browser_actions": list(s.browser_actions)})
+
+        categories = [put({"name": c.name, "keywords": list(c.keywords), "relevance_schema": put(dict(c.relevance_schema.__dict__) | {"practice_areas": list(c.relevance_schema.practice_areas)}) if c.relevance_schema else None}) for c in self.categories]
+        folders = [put({"folder_path": f.folder_path, "archive_folder": f.archive_folder, "categories": list(f.categories)}) for f in self.email_folders]
+        prep = {k: v for k, v in self.preparation.__dict__.items() if v != getattr(Preparation(), k)}
+        flags = ({"article_max_age_days": self.article_max_age_days} if self.article_max_age_days != 3 else {}) | ({} if self.keyword_filter_enabled else {"keyword_filter_enabled": False}) | ({"relevance_scoring_bonus_rule_enabled": True} if self.bonus_rule else {})
+        return put({"pipeline_version": self.pipeline_version, "categories": categories, "web_sources": [source(s) for s in self.web_sources], "email_folders": folders, "article_preparation": prep, "webhook_url": self.webhook_url}) | flags
+
     def for_site(self, site: str) -> Config:
         """Only the sources whose URL has ``site`` in it, dots and case aside."""
         plain = lambda s: s.lower().replace(".", "")

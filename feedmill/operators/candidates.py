@@ -40,3 +40,8 @@ def by_host(df: DataFrame, host: Column) -> DataFrame:
 def dated_share(df: DataFrame, date: Column) -> DataFrame:
     """Whole percent of rows with a date."""
     return df.agg(F.expr("count(*)").alias("n"), F.count(date).alias("dated")).withColumn("percent", F.when(F.col("n") > 0, F.expr("dated * 100 div n")))
+
+
+def dated_by_source(df: DataFrame, source: str, date: Column) -> DataFrame:
+    """Of each source's candidates the number and the share with a date."""
+    return df.groupBy(source).agg(F.count("*").alias("n"), F.avg(date.isNotNull().cast("int")).alias("share"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .config import Config, Source
 from .functions import keywords, scoring, text, urls
+from .functions.answers import any_answer
 from .functions.dates import parse_iso
 from .functions.language import language
 from .functions.page import with_page
@@ -156,7 +157,7 @@ def enrich(cfg: Config, items: DataFrame, provider: Provider | None) -> DataFram
     if provider is None:
         return rows.withColumn("reason", F.when(none, "filtered: no_categories_matched"))
     asked = rows.where(~none).withColumn("prompt", text.enrich_prompt(F.col("title"), F.col("content"), dict.fromkeys(scoring.DIMENSIONS, "")))
-    got = provider.answer(asked).withColumn("v", scoring.answer(F.col("answer")))
+    got = provider.answer(asked).withColumn("v", any_answer(F.col("answer")))
     get = lambda path, kind: F.try_variant_get(F.col("v"), path, kind)
     dims = [scoring.lenient_dimension(F.col("v"), d, "$.relevance_dimensions") for d in scoring.DIMENSIONS]
     got = got.withColumn("dims", F.struct(*[d.alias(n) for d, n in zip(dims, scoring.DIMENSIONS)])).withColumn("relevance_score", scoring.total([F.col(f"dims.{n}") for n in scoring.DIMENSIONS], cfg.bonus_rule))

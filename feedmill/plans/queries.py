@@ -193,24 +193,24 @@ def _order_texts(spark, sf):
 _TS = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')"
 
 
-@query(f"""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN 'unknown' WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%dT10:20:30Z') ELSE strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') END AS at FROM orders""")
+@query(f"""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN 'unknown' WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%dT10:20:30Z') ELSE strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') END AS said_at FROM orders""")
 def date_normalize_discovered(spark, sf):
-    return _order_texts(spark, sf).select("o_orderkey", dates.iso_or_unknown(dates.discovered(F.col("said"))).alias("at"))
+    return _order_texts(spark, sf).select("o_orderkey", dates.iso_or_unknown(dates.discovered(F.col("said"))).alias("said_at"))
 
 
 _SWAP = "CASE WHEN day(o_orderdate) <= 12 THEN strftime(o_orderdate, '%Y-%d-%mT00:00:00Z') ELSE strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') END"
 
 
-@query(f"""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN 'unknown' WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%dT08:20:30Z') WHEN 2 THEN {_SWAP} WHEN 4 THEN {_SWAP} ELSE strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') END AS at FROM orders""")
+@query(f"""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN 'unknown' WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%dT08:20:30Z') WHEN 2 THEN {_SWAP} WHEN 4 THEN {_SWAP} ELSE strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') END AS said_at FROM orders""")
 def date_normalize_article(spark, sf):
-    return _order_texts(spark, sf).select("o_orderkey", dates.iso_or_unknown(dates.article(F.col("said"))).alias("at"))
+    return _order_texts(spark, sf).select("o_orderkey", dates.iso_or_unknown(dates.article(F.col("said"))).alias("said_at"))
 
 
 @query(f"""WITH a AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN NULL WHEN 3 THEN date_trunc('day', o_orderdate) + INTERVAL 37230 SECOND ELSE date_trunc('day', o_orderdate) END AS t FROM orders)
-    SELECT o_orderkey, CASE WHEN floor((epoch(TIMESTAMP '2000-01-01') - epoch(t)) / 86400) BETWEEN CASE WHEN o_orderkey % 6 = 4 THEN 0 ELSE -365 END AND 730 THEN {_TS.format('t')} ELSE 'unknown' END AS at FROM a""")
+    SELECT o_orderkey, CASE WHEN floor((epoch(TIMESTAMP '2000-01-01') - epoch(t)) / 86400) BETWEEN CASE WHEN o_orderkey % 6 = 4 THEN 0 ELSE -365 END AND 730 THEN {_TS.format('t')} ELSE 'unknown' END AS said_at FROM a""")
 def date_normalize_listing(spark, sf):
     found = dates.listing(F.col("said"), F.lit("2000-01-01 00:00:00").cast("timestamp"))
-    return _order_texts(spark, sf).select("o_orderkey", dates.iso_or_unknown(found).alias("at"))
+    return _order_texts(spark, sf).select("o_orderkey", dates.iso_or_unknown(found).alias("said_at"))
 
 
 _AS_OF = "2000-06-01 00:00:00"
@@ -597,3 +597,33 @@ def pipeline_end_to_end(spark, sf):
     answer = F.concat(F.lit('{"title": "T", "summary": "S", "relevance_dimensions": {'), *[x for i, d in enumerate(dims.split("{0}")[:-1]) for x in (F.lit(d), k)], F.lit("}}"))
     answers = pages.select(F.concat(F.lit("web:"), F.col("url")).alias("source_key"), answer.alias("answer"))
     return run(spark, cfg, Inputs(feeds=feeds, fetched=fetched), as_of, store, Replay(answers)).metrics
+
+
+@query("SELECT event_type, count(*) AS n, avg(CASE WHEN value > 20 THEN 1 ELSE 0 END) AS share FROM events GROUP BY event_type")
+def dated_by_source(spark, sf):
+    return candidates.dated_by_source(_t(spark, sf, "events"), "event_type", F.when(F.col("value") > 20, F.col("ts")))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 3 THEN NULL ELSE CAST(json_extract(props, '$.k') AS INTEGER) END AS k FROM events")
+def answer_parse_lenient(spark, sf):
+    """JSON, fenced JSON, Python literals with words around them, and none."""
+    from ..functions.answers import any_answer
+
+    k = F.get_json_object("props", "$.k")
+    raw = F.when(F.col("event_id") % 4 == 0, F.col("props")).when(F.col("event_id") % 4 == 1, F.concat(F.lit("```\n"), F.col("props"), F.lit("\n```")))
+    raw = raw.when(F.col("event_id") % 4 == 2, F.concat(F.lit("{not this} but {'k': "), k, F.lit(", 'x': None} there"))).otherwise(F.concat(F.lit("["), k, F.lit("]")))
+    return _t(spark, sf, "events").select("event_id", F.try_variant_get(any_answer(raw), "$.k", "int").alias("k"))
+
+
+@query("SELECT user_id, event_type || ' title' AS title, 'https://h.example/' || event_id AS url FROM events")
+def hosted_articles(spark, sf):
+    from ..sources.hosted import hosted_articles as read
+
+    body = F.concat(F.lit('{"articles": [{"title": "'), F.col("event_type"), F.lit(' title", "url": "https://h.example/'), F.col("event_id").cast("string"), F.lit('", "date": "2026-01-02"}]}'))
+    return read(_t(spark, sf, "events").select(F.col("user_id").alias("source_url"), body.alias("body"))).select(F.col("source_url").alias("user_id"), "title", "url")
+
+
+@query("SELECT doc_id, length(text) > 3 AS filled FROM documents WHERE trim(text) <> '' AND trim(lang) <> ''")
+def not_empty_gate(spark, sf):
+    d = _t(spark, sf, "documents")
+    return d.where(outcome.not_empty_gate(F.col("text"), F.col("lang"))).select("doc_id", (F.length("text") > 3).alias("filled"))
