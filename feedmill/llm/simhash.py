@@ -8,10 +8,12 @@ thresholds come from dynamic programming on estimated candidate counts.  Each
 distinct fingerprint is indexed under its own value of a partition and probes
 all values within t_i bits; candidates are verified on all 64 bits.
 
-Keys with many members are not joined pairwise.  Their members are linked
-through points of the Hamming space instead: two fingerprints differ in at most
-three bits exactly if some point lies within one bit of one and within two of
-the other, and a point links all that lie so near with one row each.
+Keys with many members are not joined pairwise.  Their members are indexed again
+by halves, whose keys are long enough that unrelated fingerprints don't share
+them.  What is left in keys with many members are near copies of each other;
+they are linked through points of the Hamming space: two fingerprints differ in
+at most three bits exactly if some point lies within one bit of one and within
+two of the other, and a point links all that lie so near with one row each.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from .common import cut, small_batches
 from .exact_dedup import located, without
 
 BITS = 64
-#: Members of a key, from which on it is linked through points.
+#: Members of a key, from which on it isn't joined pairwise.
 HOT_KEY = 96
 
 
@@ -161,11 +163,11 @@ def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
     return best.get(total, (float("inf"), []))
 
 
-def plan_index(n: int, both: np.ndarray, apart: np.ndarray, tau: int = 3) -> list[tuple[list[int], int]]:
-    """Partitions with their thresholds, of all numbers of partitions the
+def plan_index(n: int, both: np.ndarray, apart: np.ndarray, tau: int = 3, numbers: tuple[int, ...] = (2, 3, 4, 5)) -> list[tuple[list[int], int]]:
+    """Partitions with their thresholds, of the given numbers of partitions the
     cheapest: a row indexed or probed costs 1, a candidate 1/4."""
     choices = []
-    for m in range(2, tau + 3):
+    for m in numbers:
         parts = group_bits(n, both, m)
         costs = []
         for part in parts:
@@ -208,31 +210,48 @@ def _points(batches):
             yield pa.RecordBatch.from_pydict({"hot": pa.array(np.full(len(m), hot)), "point": point.view(np.int64), "fp": pa.array(np.full(len(m), fp)), "near": pa.array(far <= 1)})
 
 
-def links(fps: DataFrame, tau: int = 3) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints (column fp) that connect all which
-    differ in at most tau bits: all pairs within ordinary keys, and enough
-    pairs within hot keys.  ``tau`` is at most 3."""
-    n, both, apart = bit_statistics(fps)
-    if n < 2:
-        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
-    plan = plan_index(n, both, apart, tau)
+def _near(a: str, b: str, tau: int) -> Column:
+    return (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= tau) & (F.col(a) < F.col(b))
+
+
+def _indexed(fps: DataFrame, plan: list[tuple[list[int], int]], tau: int) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) found in ordinary keys, and the members (hot, fp) of the
+    others, if there are any: all that are indexed or probe there."""
     signed = [int(np.uint64(sum(1 << b for b in part)).astype(np.int64)) for part, _ in plan]
     own = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(s)).alias("key")) for i, s in enumerate(signed)])
     index = fps.select("fp", F.inline(own))
     probe = fps.select("fp").mapInArrow(_probes(plan), "part int, key long, probe long")
+    pair = lambda df: df.where(_near("fp", "probe", tau)).select(F.col("fp").alias("a"), F.col("probe").alias("b"))
     hot = cut(index.groupBy("part", "key").count().where(F.col("count") > HOT_KEY).withColumn("hot", F.monotonically_increasing_id()).drop("count"))
-    near = (F.bit_count(F.col("fp").bitwiseXOR(F.col("probe"))) <= tau) & (F.col("fp") < F.col("probe"))
     if hot.isEmpty():
-        return index.join(probe, ["part", "key"]).where(near).select(F.col("fp").alias("a"), F.col("probe").alias("b"))
-    cold = index.join(hot, ["part", "key"], "left_anti").join(probe, ["part", "key"]).where(near)
-    members = probe.join(hot, ["part", "key"]).select("hot", F.col("probe").alias("fp"))
-    members = cut(members.distinct())
+        return pair(index.join(probe, ["part", "key"])), None
+    cold = index.join(hot, ["part", "key"], "left_anti").join(probe, ["part", "key"])
+    return pair(cold), cut(probe.join(hot, ["part", "key"]).select("hot", F.col("probe").alias("fp")).distinct())
+
+
+def _starred(members: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what is near within each hot key, through
+    points that turn only bits in which the key's members differ."""
     turned = members.groupBy("hot").agg(F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("mask"))
     points = members.join(turned, "hot").select("hot", "mask", "fp").mapInArrow(_points, "hot long, point long, fp long, near boolean")
     # A point holds at most as many fingerprints as there are within two bits of it.
     stars = points.groupBy("hot", "point").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("a"), F.collect_set("fp").alias("all"))
-    warm = stars.where(F.col("a").isNotNull() & (F.size("all") > 1)).select("a", F.explode("all").alias("b")).where("a <> b").distinct()
-    return cold.select(F.col("fp").alias("a"), F.col("probe").alias("b")).unionByName(warm)
+    return stars.where(F.col("a").isNotNull() & (F.size("all") > 1)).select("a", F.explode("all").alias("b")).where("a <> b").distinct()
+
+
+def links(fps: DataFrame, tau: int = 3) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints (column fp) that connect all which
+    differ in at most tau bits: all pairs within ordinary keys, and enough
+    pairs within hot keys.  ``tau`` is at most 3."""
+    n, both, apart = bit_statistics(fps)
+    if n < 2:
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
+    found, members = _indexed(fps, plan_index(n, both, apart, tau), tau)
+    if members is None:
+        return found
+    again, members = _indexed(members.select("fp").distinct(), plan_index(n, both, apart, tau, (2,)), tau)
+    found = found.unionByName(again)
+    return found if members is None else found.unionByName(_starred(members))
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
