@@ -12,6 +12,9 @@ them, and where these don't rise the aggregates are run again with an order.
 from __future__ import annotations
 
 import base64
+import hashlib
+import sys
+import types
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-#: Distinct words whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+#: Distinct words whose ids a worker remembers; beyond that it starts anew.
+REMEMBERED = 1_200_000
 #: Distinct words, and rows over all steps, in one recursive query.
 AT_ONCE, ROWS = 60_000, 4_000_000
 #: Each step of the recursion writes a word anew, so a word's rows grow with the
@@ -214,16 +217,30 @@ class Coder:
             yield self.code(part)
 
 
+def worker_coder(ranks: dict[bytes, int], pattern: str, mark: str) -> Coder:
+    """The coder of this worker process.  Workers serve many tasks, so it stays
+    between tasks of the same vocabulary; a task that fails takes it along."""
+    held = sys.modules.setdefault("_feedmill_worker", types.ModuleType("_feedmill_worker")).__dict__
+    if held.get("mark") != mark:
+        held["coder"] = None
+        held["coder"] = Coder(ranks, pattern)
+    held["mark"] = None  # until the task gives it back
+    return held["coder"]
+
+
+def give_back(mark: str) -> None:
+    sys.modules["_feedmill_worker"].__dict__["mark"] = mark
+
+
 def coded(text: Column, ranks: dict[bytes, int], pattern: str, with_ids: bool = False) -> Column:
     """Struct column: n_tokens, ids_sha256, decoded_sha256, and with ``with_ids``
     the ids joined by spaces and the decoded text."""
-    import hashlib
-
+    mark = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
     kind = "struct<n_tokens: long, ids_sha256: string, decoded_sha256: string" + ", ids: string, decoded: string" * with_ids + ">"
 
     @F.arrow_udf(kind)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = Coder(ranks, pattern)
+        coder = worker_coder(ranks, pattern, mark)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for n, ids, decoded in coder.chunks(batch.to_pylist()):
@@ -234,8 +251,9 @@ def coded(text: Column, ranks: dict[bytes, int], pattern: str, with_ids: bool =
                     out[3] += ids
                     out[4] += [x.decode(errors="replace") for x in decoded]
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 3 + 2 * with_ids]
-            types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
-            yield pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(out, types[: len(names)])], names)
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
+            yield pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(out, kinds[: len(names)])], names)
+        give_back(mark)
 
     return of(text)
 
