@@ -13,7 +13,6 @@ What is left is verified by whole products.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import ceil, sqrt
 
 import numpy as np
