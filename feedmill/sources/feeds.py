@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
-from datetime import UTC, datetime
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -118,7 +117,3 @@ def sitemap_urls(maps: DataFrame) -> DataFrame:
     read = _udf(parse_sitemap, "array<struct<pos: int, loc: string, lastmod: string, kind: string>>")
     rows = maps.select("source_url", F.explode(read(F.col("xml"))).alias("e")).where("e.kind = 'url'")
     return rows.select("source_url", "e.pos", F.lit("").alias("title"), F.col("e.loc").alias("url"), F.coalesce(urls.dated(F.col("e.loc")), urls.generic_date(F.col("e.loc"))).cast("timestamp").alias("published"))
-
-
-def now() -> datetime:
-    return datetime.now(UTC)
