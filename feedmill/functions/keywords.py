@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 
 def matched(text: Column, keywords: list[str]) -> Column:
     """Keywords that occur in the text, whatever the case, in their order."""
     if not keywords:
         return F.array().cast("array<string>")
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(low, F.lower(k)))
+    every = F.array(*[F.lit(k) for k in keywords])
+    return let(F.lower(F.coalesce(text, F.lit(""))), lambda low: F.filter(every, lambda k: F.contains(low, F.lower(k))))
 
 
 def any_of(text: Column, keywords: list[str]) -> Column:

@@ -34,9 +34,18 @@ PROMPT_CHARS = {"enrich": 4500, "summary": 4000, "score": 3000, "language": 5000
 SHORT_CHARS = 500
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Characters that are white space.
+WHITE = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column) -> Column:
     """White space of any kind taken off both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def words(c: Column) -> Column:
@@ -99,12 +108,16 @@ def prepare(text: Column, min_chars: int = 600, min_ratio: float = 0.25, margin:
     """Struct of the prepared text, its ratio to the raw one, the status (PASS,
     WARN or FAIL) and the reason of a failure."""
     raw = F.coalesce(text, F.lit(""))
-    prepared = F.array_join(kept_lines(text), "\n\n")
-    ratio = F.when(F.length(raw) > 0, F.length(prepared).cast("double") / F.length(raw)).otherwise(F.lit(0.0))
-    blank = strip(raw) == ""
-    status = F.when(blank | (F.length(prepared) < min_chars) | (ratio < min_ratio), "FAIL").when(ratio < min_ratio + margin, "WARN").otherwise("PASS")
-    reason = F.when(blank, "article_text_empty").when(status == "FAIL", "article_text_insufficient")
-    return F.struct(prepared.alias("text"), ratio.alias("ratio"), status.alias("status"), reason.alias("reason"))
+
+    def judged(prepared: Column) -> Column:
+        ratio = F.when(F.length(raw) > 0, F.length(prepared).cast("double") / F.length(raw)).otherwise(F.lit(0.0))
+        # Nothing is kept of a blank text, so only then it needs a look.
+        blank = (prepared == "") & (strip(raw) == "")
+        status = F.when((F.length(prepared) < min_chars) | (ratio < min_ratio) | blank, "FAIL").when(ratio < min_ratio + margin, "WARN").otherwise("PASS")
+        reason = F.when(blank, "article_text_empty").when(status == "FAIL", "article_text_insufficient")
+        return F.struct(prepared.alias("text"), ratio.alias("ratio"), status.alias("status"), reason.alias("reason"))
+
+    return let(F.array_join(kept_lines(text), "\n\n"), judged)
 
 
 def enrich_prompt(title: Column, text: Column, dimensions: dict[str, str]) -> Column:

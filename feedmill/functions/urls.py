@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import usable_pattern
+from .text import strip, usable_pattern
 
 # Fixed values of the link filters.
 PAGINATION = ("?page=", "&page=", "?offset=", "&offset=", "?start=", "&start=", "?p=", "&p=", "?page_num=", "&page_num=", "/page/", "/seite/")
@@ -92,7 +92,7 @@ def markdown_url_ok(url: Column) -> Column:
 
 def link_ok(url: Column, text: Column, page: Column, variant: str) -> Column:
     """The whole chain of link filters of a variant of the scan."""
-    shown = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
+    shown = strip(F.coalesce(text, F.lit("")))
     ok = ~is_pagination(url) & (F.length(shown) >= MIN_TEXT[variant]) & ~is_media(url) & ~is_skipped_path(url, variant)
     if variant == "email":
         return ok & email_url_ok(url)

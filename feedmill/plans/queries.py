@@ -56,7 +56,9 @@ def _prepared(spark, sf):
 def categories_by_status(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: prepared documents, matched against keyword categories."""
     rows = _prepared(spark, sf).select("prep.status", keywords.matched_categories(F.col("prep.text"), CATEGORIES).alias("found"))
-    return rows.select("status", F.explode("found").alias("category")).groupBy("category", "status").agg(F.count("*").alias("n"))
+    # An outer explode, as a plain one would add a filter that works "found" out twice.
+    found = rows.select("status", F.explode_outer("found").alias("category")).where("category is not null")
+    return found.groupBy("category", "status").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {_PREPARED} SELECT doc_id, md5(prepared) AS prepared_md5, length(prepared) AS n_prepared, ratio, status,
