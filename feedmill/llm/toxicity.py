@@ -60,30 +60,78 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def strong_pairs(columns: list[np.ndarray], texts: int, pull: np.ndarray, noise: np.ndarray, most: tuple[float, float], false: float = 0.1, block: int = 512) -> np.ndarray:
+    """Which terms are in a pair that pulls more than chance gives.  ``columns``:
+    the texts of each term; ``pull``, ``noise``: each text's gradient and its
+    variance; ``most``: how far one text can pull up and down.  By Bernstein's
+    bound, pairs of idle terms pass ``false`` times in all at the most.  Terms
+    that are too rare to pass with any other are not paired."""
+    strong, level = np.zeros(len(columns), bool), 2 * np.log(max(len(columns), 2) ** 2 / false)
+    up, down = np.maximum(pull, 0), np.maximum(-pull, 0)
+    able = [i for i, c in enumerate(columns) if 3 * up[c].sum() >= level * most[0] > 0 or 3 * down[c].sum() >= level * most[1] > 0]
+
+    def dense(some: list[int]) -> np.ndarray:
+        out = np.zeros((texts, len(some)), np.float32)
+        for k, i in enumerate(some):
+            out[columns[i], k] = 1
+        return out
+
+    for a in range(0, len(able), block):
+        here = dense(able[a : a + block])
+        pulls, noises = (here * pull[:, None].astype(np.float32)).T, (here * noise[:, None].astype(np.float32)).T
+        for b in range(a, len(able), block):
+            there = dense(able[b : b + block])
+            t, v = pulls @ there, noises @ there
+            found = t**2 > level * (v + np.where(t > 0, most[0], most[1]) * np.abs(t) / 3)
+            if a == b:
+                np.fill_diagonal(found, False)
+            strong[np.array(able[a : a + block])[found.any(1)]] = True
+            strong[np.array(able[b : b + block])[found.any(0)]] = True
+    return strong
+
+
 def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, rank: int = 4, epochs: int = 40, rate: float = 0.3, l1: float = 1e-3, least: int = 3, screen: float = 3.5, seed: int = 5) -> Machine:
     """Adagrad on weighted log loss over batches of texts; weights are drawn to
     zero (l1) and learn alone at first, factors join in the second half.  Terms in fewer than ``least`` examples are left out, and those
     whose first gradient is under ``screen`` times what chance gives: in long
-    texts thousands of idle terms would else drown the few that matter."""
+    texts thousands of idle terms would else drown the few that matter.  Of these,
+    the terms of pairs on which the weights alone fail come back with the factors."""
     total = float(weights.sum())
     if not len(labels) or total <= 0:
         return Machine(-30.0, np.empty(0, np.int64), np.empty(0), np.empty((0, rank)))
     mean = float(np.clip((weights * labels).sum() / total, 1e-4, 1 - 1e-4))
-    every, counts = np.unique(np.concatenate(examples), return_counts=True)
+    every, row, counts = np.unique(np.concatenate(examples), return_inverse=True, return_counts=True)
     doc = np.repeat(np.arange(len(examples)), [len(x) for x in examples])
-    pull = np.bincount(np.searchsorted(every, np.concatenate(examples)), (weights * (labels - mean))[doc], len(every))
-    noise = np.sqrt(np.bincount(np.searchsorted(every, np.concatenate(examples)), (weights**2 * mean * (1 - mean))[doc], len(every)))
-    terms = every[(counts >= least) & (np.abs(pull) > screen * noise)]
+    pull = np.bincount(row, (weights * (labels - mean))[doc], len(every))
+    noise = np.sqrt(np.bincount(row, (weights**2 * mean * (1 - mean))[doc], len(every)))
+    frequent = counts >= least
+    kept = frequent & (np.abs(pull) > screen * noise)
     rng = np.random.default_rng(seed)
+    terms = every[kept]
     n = len(terms)
     bias, w, v = np.log(mean / (1 - mean)), np.zeros(n), rng.normal(0, 0.01, (n, rank))
-    places = []
-    for x in examples:
-        places.append(np.flatnonzero(np.isin(terms, x, assume_unique=True)))
+    held = lambda: [np.flatnonzero(np.isin(terms, x, assume_unique=True)) for x in examples]
+    places = held()
     gw, gv, gb = np.full(n, 1e-4), np.full((n, rank), 1e-4), 1e-4
-    for epoch in range(epochs if n else 0):
+    for epoch in range(epochs):
+        if epoch == (epochs + 1) // 2:
+            chance = np.array([1 / (1 + np.exp(-np.clip(bias + w[p].sum(), -30, 30))) for p in places])
+            order = np.argsort(row, kind="stable")
+            columns = [doc[x] for x, f in zip(np.split(order, np.cumsum(counts)[:-1]), frequent) if f]
+            most = tuple(float(weights[labels == k].max(initial=0)) for k in (1, 0))
+            paired = np.zeros(len(every), bool)
+            paired[frequent] = strong_pairs(columns, len(examples), weights * (labels - chance), weights**2 * chance * (1 - chance), most)
+            if (paired & ~kept).any():
+                both = kept | paired
+                old = kept[both]
+                terms, n = every[both], int(both.sum())
+                fresh = np.zeros(n), np.full(n, 1e-4), np.full((n, rank), 1e-4), rng.normal(0, 0.01, (n, rank))
+                for x, y in zip((w, gw, gv, v), fresh):
+                    y[old] = x
+                w, gw, gv, v = fresh
+                places = held()
         order = rng.permutation(len(places))
-        for start in range(0, len(order), 128):
+        for start in range(0, len(order) if n else 0, 128):
             some = order[start : start + 128]
             length = np.array([len(places[i]) for i in some])
             rows = np.repeat(np.arange(len(some)), length)

@@ -72,6 +72,44 @@ def test_factors_learn_pairs():
     assert ((score > 0.5) == (np.array(labels) > 0)).mean() > 0.9
 
 
+def test_pairs_pass_the_screen():
+    """As above with the default screen, which no single term passes."""
+    rng = np.random.default_rng(0)
+    examples, labels = [], []
+    for _ in range(1500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        examples.append(np.array(sorted([1] * a + [2] * b + [int(x) for x in rng.choice(np.arange(10, 60), 5, replace=False)]), np.int64))
+        labels.append(float(a != b))
+    m = toxicity.fit(examples, np.array(labels), np.ones(1500), epochs=60)
+    at = {int(t): i for i, t in enumerate(m.terms)}
+    score = np.array([m.score(np.array([at[int(t)] for t in x if int(t) in at], np.int64)) for x in examples])
+    assert ((score > 0.5) == (np.array(labels) > 0)).mean() > 0.9
+
+
+@pytest.mark.parametrize("share", [0.1, 0.05])
+def test_rare_pairs_of_frequent_terms(share):
+    """A group word in 30% of all texts, an insult that is meant only with it in
+    ``share`` of the toxic texts; the others have a word that is always bad."""
+    rng = np.random.default_rng(1)
+
+    def text(toxic):
+        pair = toxic and rng.random() < share
+        group, insult = pair or rng.random() < 0.3, pair
+        if not toxic and not group:
+            insult = rng.random() < 0.2
+        return [1] * group + [2] * insult + [3] * (toxic and not pair) + sorted(int(x) for x in rng.choice(np.arange(10, 2000), 60, replace=False)), pair
+
+    labels = np.repeat([0.0, 1.0], 2500)
+    texts, pairs = zip(*[text(bool(y)) for y in labels])
+    m = toxicity.fit([np.array(x, np.int64) for x in texts], labels, np.where(labels == 1, 1.0, 19.0))
+    assert {1, 2} <= set(m.terms.tolist())
+    fresh = [text(bool(y)) for y in labels]
+    at = {int(t): i for i, t in enumerate(m.terms)}
+    hit = np.array([m.score(np.array([at[t] for t in x if t in at], np.int64)) >= 0.3 for x, _ in fresh])
+    pairs = np.array([p for _, p in fresh])
+    assert hit[pairs].mean() > 0.8 and hit[labels == 0].mean() < 0.02
+
+
 def test_terms_cover_whole_texts():
     memory = {}
     assert set(toxicity.text_terms("Word " * 10_000 + "tail", memory)) >= set(toxicity.word_terms("tail"))
