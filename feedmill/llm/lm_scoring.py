@@ -3,14 +3,14 @@
 Texts are cut to subword ids by a public rank file, once for each distinct word
 of a block, and kept packed in the shared folder.  Counts of single ids and of
 pairs come from all texts to learn from.  The attention model starts from these
-and is trained in rounds on a part of the texts that grows with the corpus: in a round each partition
+and is trained on all of them, each in one of a few rounds: in a round each partition
 trains a copy on its share, and the copies' mean starts the next.  Beside it
 stands a smoothed count of whole words over the corpus.
 """
 
 from __future__ import annotations
 
-from math import ceil, log, log10, sqrt
+from math import ceil, log, log10
 from zlib import crc32
 
 import numpy as np
@@ -24,11 +24,12 @@ from .byte_bpe import read_ranks
 from .common import cut, small_batches
 from .wordindex import _pack, _unpack, sums_by_document
 
-#: Of n ids to learn from, about SAMPLE * sqrt(n) train the attention model (all, if
-#: fewer), each text in one of ROUNDS; the counts that it starts from are of all n.
-SAMPLE, ROUNDS = 620, 3
+#: Each text to learn from trains the attention model in one of ROUNDS.
+ROUNDS = 3
 #: Ids that one partition trains on in a round, about.
 SHARE = 500_000
+#: Copies that are added up at once.
+FAN = 16
 #: Windows that are scored at once.
 AT_ONCE = 768
 OTHER = A.VOCABULARY - 1
@@ -129,21 +130,20 @@ def _pair_sums(batches):
         yield _row({"body": _pack(np.diff(k, prepend=0).astype(np.uint32), np.bincount(row, np.concatenate(counts)))}, BLOCK)
 
 
-def _sampled(place: np.ndarray, one_in: int, parts: int):
-    """Of the texts to learn from, one in ``one_in``, by a hash of doc_id and text:
-    its round, its partition and its ids."""
+def _dealt(place: np.ndarray, when: int, parts: int):
+    """The texts to learn from in round ``when``, by a hash of doc_id and text:
+    their partition and their ids."""
 
     def rows(batches):
         for ids_of, tags, flags, lengths, ids in _blocks(batches):
-            lots = [crc32(f"{i}/{t}".encode()) for i, t in zip(ids_of, tags)]
-            mine = [i for i, (lot, flag) in enumerate(zip(lots, flags)) if flag and lot % one_in == 0]
             texts = _split(ids, lengths)
-            kinds: dict[tuple[int, int], list[np.ndarray]] = {}
-            for i in mine:
-                lot = lots[i] // one_in
-                kinds.setdefault((lot % ROUNDS, lot // ROUNDS % parts), []).append(np.append(place[texts[i]], 0).astype(np.uint16))
-            for (when, pid), some in kinds.items():
-                yield _row({"when": when, "pid": pid, "body": _pack(some)}, {"when": pa.int32(), "pid": pa.int32()} | BLOCK)
+            kinds: dict[int, list[np.ndarray]] = {}
+            for i, (doc, tag, flag) in enumerate(zip(ids_of, tags, flags)):
+                lot = crc32(f"{doc}/{tag}".encode())
+                if flag and lot % ROUNDS == when:
+                    kinds.setdefault(lot // ROUNDS % parts, []).append(np.append(place[texts[i]], 0).astype(np.uint16))
+            for pid, some in kinds.items():
+                yield _row({"pid": pid, "body": _pack(some)}, {"pid": pa.int32()} | BLOCK)
 
     return rows
 
@@ -230,13 +230,15 @@ def attention_scores(blocks: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     tables = spark.sparkContext.broadcast((log_class, log_member.astype(np.float16)))
     del log_class, log_member
 
-    one_in = max(1, round(sqrt(learned) / SAMPLE))
-    parts = max(1, round(learned / one_in / ROUNDS / SHARE))
-    sample = cut(blocks.mapInArrow(_sampled(place, one_in, parts), "when int, pid int, body binary"))
+    parts = max(1, round(learned / ROUNDS / SHARE))
     weights = A.Weights.fresh()
     for when in range(ROUNDS):
-        copies = sample.where(F.col("when") == when).repartitionById(parts, "pid").select("body").mapInArrow(_trained(weights, tables, when), "body binary")
-        sums = copies.repartition(ceil(sqrt(parts))).mapInArrow(_mean, "body binary").collect()
+        shares = blocks.mapInArrow(_dealt(place, when, parts), "pid int, body binary").repartitionById(parts, "pid").select("body")
+        copies, left = shares.mapInArrow(_trained(weights, tables, when), "body binary"), parts
+        while left > FAN:  # the driver gets a few sums, however many copies there are
+            left = ceil(left / FAN)
+            copies = copies.repartition(left).mapInArrow(_mean, "body binary")
+        sums = copies.collect()
         total = None
         for (body,) in sums:
             part = _unpack(bytes(body))[0]

@@ -164,6 +164,25 @@ def test_language_model(documents, awkward):
     assert lm_scoring.score(documents([]), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, learn).count() == 0
 
 
+def test_all_texts_train_the_attention(documents, monkeypatch, tmp_path):
+    """However many ids there are, each text to learn from is in one round."""
+
+    def counting(weights, tables, when):
+        def rows(batches):
+            ids = sum(len(x) for (part,) in lm_scoring._blocks(batches) for x in part)
+            (tmp_path / f"{when}-{random.SystemRandom().random()}").write_text(str(ids))
+            yield from ()
+
+        return rows
+
+    monkeypatch.setattr(lm_scoring, "_trained", counting)
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(["the", "of", "and", "in"]) for _ in range(5000))) for i in range(250)]
+    out = lm_scoring.score(documents(rows), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, F.lit(True))
+    assert out.count() == 250
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == 250 * 5001  # these words are one id each
+
+
 def test_long_words_by_queue(library):
     coder = byte_bpe.Coder(byte_bpe.read_ranks(RANKS), P.PATTERN)
     rng = random.Random(8)
