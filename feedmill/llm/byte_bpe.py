@@ -2,11 +2,13 @@
 
 In each partition the distinct words of a batch become token-position rows.  A
 recursive query joins neighbouring tokens to the merge table and contracts each
-word's leftmost pair of least rank until no pair is left.  Ordered aggregation
-joins the ids of each text and decodes them to its bytes again.  Aggregates over
-sorted rows are several times as fast as ones that sort, but may take rows in
-another order when memory is short; so each also lists the positions as it met
-them, and where these don't rise the aggregates are run again with an order.
+word's leftmost pair of least rank until no pair is left.  The recursion is keyed
+by word and position, so only the live state of each row is held.  Ordered
+aggregation joins the ids of each text and decodes them to its bytes again.
+Aggregates over sorted rows are several times as fast as ones that sort, but may
+take rows in another order when memory is short; so each also lists the positions
+as it met them, and where these don't rise the aggregates are run again with an
+order.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ import base64
 import hashlib
 import sys
 import types
+import uuid
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -29,44 +32,62 @@ from .common import small_batches
 
 #: Distinct words whose ids a worker remembers; beyond that it starts anew.
 REMEMBERED = 1_200_000
-#: Distinct words, and rows over all steps, in one recursive query.
-AT_ONCE, ROWS = 60_000, 4_000_000
-#: Each step of the recursion writes a word anew, so a word's rows grow with the
-#: square of its length.  Words of more bytes than this are contracted by the
-#: same rule with a queue of pairs.
-LONG = 400
-#: Characters of text that are handled at once, if no single text is longer.
-CHUNK = 2_000_000
-
-#: start: word, pos, next_pos, id, next_id.  A row knows its right neighbour, and
-#: by ``pair`` (the rank of what both give, its position and its neighbour's, in
-#: one number) the pair of least rank, leftmost, is found; it takes its
-#: neighbour's place, which goes.  Words without pairs leave the recursion;
-#: their last step holds their tokens.
-CONTRACT = """
-WITH RECURSIVE token(step, word, pos, next_pos, id, next_id, pair) AS (
-    SELECT 0, word, pos, next_pos, id, next_id, (m.merged::HUGEINT << 64) + (pos::BIGINT << 32) + next_pos
-    FROM start LEFT JOIN merges m ON m.l = id AND m.r = next_id
+#: Distinct words, and their bytes, in one recursive query; a longer word is alone.
+AT_ONCE, ROWS = 60_000, 1_000_000
+#: Words of more bytes take several contractions in a step, see IN_RUNS.
+SHORT = 64
+#: Characters of text that are handled at once, and matches of one longer text.
+CHUNK, MATCHES = 2_000_000, 400_000
+
+_TOKENS = """
+WITH RECURSIVE token(word, pos, next_pos, id, next_id, merged, alone) USING KEY (word, pos) AS (
+    SELECT word, pos, next_pos, id, next_id, m.merged, m.alone FROM start LEFT JOIN merges m ON m.l = id AND m.r = next_id
   UNION ALL
-    SELECT n.*, (m.merged::HUGEINT << 64) + (n.pos::BIGINT << 32) + n.next_pos FROM (
-        SELECT t.step + 1, t.word, t.pos,
-            CASE WHEN t.pos = b.here THEN b.next_pos ELSE t.next_pos END AS next_pos,
-            CASE WHEN t.pos = b.here THEN b.merged ELSE t.id END AS id,
-            CASE WHEN t.pos = b.here THEN b.next_id WHEN t.next_pos = b.here THEN b.merged ELSE t.next_id END AS next_id
-        FROM token t JOIN (
-            SELECT g.word, ((a.pair >> 32) & 4294967295)::INTEGER AS here, g.pos AS gone, (a.pair >> 64)::INTEGER AS merged, g.next_pos, g.next_id
-            FROM (SELECT word, min(pair) AS pair FROM token WHERE pair IS NOT NULL GROUP BY word) a
-            JOIN token g ON g.word = a.word AND g.pos = (a.pair & 4294967295)::INTEGER
-        ) b ON b.word = t.word AND t.pos <> b.gone
-    ) n LEFT JOIN merges m ON m.l = n.id AND m.r = n.next_id
+    SELECT n.*, m.merged, m.alone FROM ({step}) n LEFT JOIN merges m ON m.l = n.id AND m.r = n.next_id
 )
-SELECT word, count(*)::INTEGER AS n, string_agg(id::VARCHAR, ' '{order}) AS ids, string_agg(chars, ''{order}) AS chars, list(pos{order}) AS seen FROM (
-    SELECT t.word, t.pos, t.id, v.chars FROM token t
-    JOIN (SELECT word, max(step) AS step FROM token GROUP BY word) z ON z.word = t.word AND z.step = t.step
-    JOIN vocabulary v ON v.id = t.id ORDER BY t.word, t.pos
+SELECT word, count(*)::INTEGER AS n, string_agg(id::VARCHAR, ' '{{order}}) AS ids, string_agg(chars, ''{{order}}) AS chars, list(pos{{order}}) AS seen FROM (
+    SELECT t.word, t.pos, t.id, v.chars FROM token t JOIN vocabulary v ON v.id = t.id ORDER BY t.word, t.pos
 ) GROUP BY word
 """
 
+#: start: word, pos, next_pos, id, next_id.  A row knows its right neighbour and
+#: the rank of what both give.  Of each word the row of least rank, leftmost, takes
+#: its neighbour's place, which goes (no id).  A word without pairs is settled.
+CONTRACT = _TOKENS.format(step="""
+    SELECT t.word, t.pos,
+        CASE WHEN t.pos = b.here THEN b.next_pos ELSE t.next_pos END AS next_pos,
+        CASE WHEN t.pos = b.here THEN b.merged WHEN t.pos <> b.gone THEN t.id END AS id,
+        CASE WHEN t.pos = b.here THEN b.next_id WHEN t.pos = b.gone THEN NULL WHEN t.next_pos = b.here THEN b.merged ELSE t.next_id END AS next_id
+    FROM token t JOIN (
+        SELECT a.word, h.pos AS here, h.merged, g.pos AS gone, g.next_pos, g.next_id
+        FROM (SELECT word, min((merged::BIGINT << 32) + pos) AS best FROM token WHERE merged IS NOT NULL GROUP BY word) a
+        JOIN token h ON h.word = a.word AND h.pos = (a.best & 4294967295)::INTEGER
+        JOIN token g ON g.word = a.word AND g.pos = h.next_pos
+    ) b ON b.word = t.word WHERE t.id IS NOT NULL
+""")
+
+#: The same for long words, with fewer steps: all pairs of the word's least rank
+#: that don't overlap, from the left, in one step.  That gives what one at a time
+#: gives, unless what they give pairs with a neighbour at a lower rank still; such
+#: tokens (``alone``) are contracted one at a time.
+IN_RUNS = _TOKENS.format(step="""
+    WITH hit AS (
+        SELECT t.word, t.pos, t.next_pos, t.merged, t.alone, row_number() OVER w AS i, lag(t.next_pos) OVER w IS NOT DISTINCT FROM t.pos AS goes_on
+        FROM token t JOIN (SELECT word, min(merged) AS merged FROM token WHERE merged IS NOT NULL GROUP BY word) l ON l.word = t.word AND l.merged = t.merged
+        WINDOW w AS (PARTITION BY t.word ORDER BY t.pos)),
+    run AS (SELECT *, i - max(CASE WHEN NOT goes_on THEN i END) OVER (PARTITION BY word ORDER BY pos) AS in_run FROM hit),
+    c AS MATERIALIZED (
+        SELECT r.word, r.pos AS here, r.next_pos AS gone, r.merged, g.next_pos, g.next_id
+        FROM run r JOIN token g ON g.word = r.word AND g.pos = r.next_pos WHERE r.in_run % 2 = 0 AND (r.i = 1 OR NOT r.alone))
+    SELECT t.word, t.pos, CASE WHEN h.here IS NULL THEN t.next_pos ELSE h.next_pos END AS next_pos,
+        CASE WHEN h.here IS NOT NULL THEN h.merged WHEN g.here IS NULL THEN t.id END AS id,
+        CASE WHEN g.here IS NOT NULL THEN NULL WHEN x.here IS NOT NULL THEN x.merged WHEN h.here IS NOT NULL THEN h.next_id ELSE t.next_id END AS next_id
+    FROM token t SEMI JOIN c ON c.word = t.word
+    LEFT JOIN c h ON h.word = t.word AND h.here = t.pos LEFT JOIN c g ON g.word = t.word AND g.gone = t.pos
+    LEFT JOIN c x ON x.word = t.word AND x.here = CASE WHEN h.here IS NULL THEN t.next_pos ELSE h.next_pos END
+    WHERE t.id IS NOT NULL
+""")
+
 #: seen: doc, pos, word.  Of each text the number of its ids, the ids in order,
 #: and the bytes that they stand for, each byte as the character of its number.
 JOIN_UP = """
@@ -88,7 +109,8 @@ class Coder:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         pairs = np.array([(ranks[w[:i]], ranks[w[i:]], rank) for w, rank in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks] or [(-1, -1, -1)], np.int32)
-        self._load("merges", {"l": pairs[:, 0], "r": pairs[:, 1], "merged": pairs[:, 2]})
+        low = np.concatenate([pairs[pairs[:, 2] < pairs[:, c], c] for c in (0, 1)])
+        self._load("merges", {"l": pairs[:, 0], "r": pairs[:, 1], "merged": pairs[:, 2], "alone": np.isin(pairs[:, 2], low)})
         self._load("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "chars": [w.decode("latin-1") for w in ranks]})
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.forget()
@@ -112,43 +134,18 @@ class Coder:
             number, ids, chars = zip(*whole)
             self.db.register("whole", pa.table({"word": pa.array(number, pa.int32()), "id": pa.array(ids, pa.int32()), "chars": chars}))
             self.db.execute("INSERT INTO known SELECT word, 1, id::VARCHAR, chars FROM whole")
-        todo = [(first + i, w) for i, w in enumerate(raw) if w not in self.ranks and len(w) <= LONG]
-        while todo:
-            n = rows = 0
-            while n < min(len(todo), AT_ONCE) and (n == 0 or rows + len(todo[n][1]) ** 2 // 2 <= ROWS):
-                rows += len(todo[n][1]) ** 2 // 2
-                n += 1
-            part, todo = todo[:n], todo[n:]
-            self._contract(part)
-        for i, w in enumerate(raw):
-            if len(w) > LONG and w not in self.ranks:
-                ids = self.queued(w)
-                self.db.execute("INSERT INTO known VALUES (?, ?, ?, ?)", [first + i, len(ids), " ".join(map(str, ids)), w.decode("latin-1")])
-
-    def queued(self, word: bytes) -> list[int]:
-        """Ids of one long word: the pair of least rank, leftmost, is contracted
-        until none is left; a queue holds the pairs by rank and position."""
-        ranks, n = self.ranks, len(word)
-        token: list[bytes | None] = [word[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(r, i, 1, 1) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
-        heapify(queue)
-        while queue:
-            _, i, left, right = heappop(queue)
-            j = after[i]
-            if token[i] is None or j >= n or len(token[i]) != left or len(token[j]) != right:
-                continue  # one of the two has been contracted since
-            token[i] += token[j]
-            token[j] = None
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-            for a, b in ((before[i], i), (i, k)):
-                if a >= 0 and b < n and (r := ranks.get(token[a] + token[b])) is not None:
-                    heappush(queue, (r, a, len(token[a]), len(token[b])))
-        return [ranks[t] for t in token if t is not None]
-
-    def _contract(self, part: list[tuple[int, bytes]]) -> None:
+        todo = [(first + i, w) for i, w in enumerate(raw) if w not in self.ranks]
+        for query, some in ((CONTRACT, [x for x in todo if len(x[1]) <= SHORT]), (IN_RUNS, [x for x in todo if len(x[1]) > SHORT])):
+            at = 0
+            while at < len(some):
+                to, size = at, 0
+                while to < len(some) and to - at < AT_ONCE and (to == at or size + len(some[to][1]) <= ROWS):
+                    size += len(some[to][1])
+                    to += 1
+                self._contract(query, some[at:to])
+                at = to
+
+    def _contract(self, query: str, part: list[tuple[int, bytes]]) -> None:
         data = np.frombuffer(b"".join(w for _, w in part), np.uint8)
         length = np.array([len(w) for _, w in part])
         start = np.cumsum(length) - length
@@ -164,27 +161,25 @@ class Coder:
             "next_id": pa.array(np.append(ids[1:], np.int32(0)), mask=last),
         }
         self.db.register("start", pa.table(columns))
-        self.db.register("met", self._ordered(CONTRACT, "pos"))
+        self.db.register("met", self._ordered(query, "pos"))
         self.db.execute("INSERT INTO known SELECT word, n, ids, chars FROM met")
         self.db.unregister("met")
 
     def _ordered(self, query: str, by: str) -> pa.Table:
         """The query's rows, its aggregates in the order of ``by``."""
-        for order in ("", f" ORDER BY {by}"):
-            out = self.db.sql(query.format(order=order)).to_arrow_table().combine_chunks()
-            seen = out["seen"].combine_chunks()
-            if isinstance(seen, pa.ChunkedArray):
-                seen = pa.concat_arrays(seen.chunks) if seen.num_chunks else pa.array([], pa.list_(pa.int64()))
-            values, starts = seen.flatten().to_numpy(zero_copy_only=False), seen.offsets.to_numpy()
-            falls = np.flatnonzero(np.diff(values) <= 0) + 1
-            if np.isin(falls, starts).all():
-                return out.drop_columns(["seen"])
-        raise RuntimeError("aggregates are out of order")
-
-    def code(self, texts: list[str]) -> tuple[list[int], list[str], list[bytes]]:
-        """Of each text: the number of ids, the ids joined by a space, and the
-        bytes that they decode to."""
-        found = [self.pattern.findall(x) for x in texts]
+        out = self.db.sql(query.format(order="")).to_arrow_table().combine_chunks()
+        seen = out["seen"].combine_chunks()
+        if isinstance(seen, pa.ChunkedArray):
+            seen = pa.concat_arrays(seen.chunks) if seen.num_chunks else pa.array([], pa.list_(pa.int64()))
+        values, starts = seen.flatten().to_numpy(zero_copy_only=False), seen.offsets.to_numpy()
+        falls = np.flatnonzero(np.diff(values) <= 0) + 1
+        if not np.isin(falls, starts).all():
+            out = self.db.sql(query.format(order=f" ORDER BY {by}")).to_arrow_table()
+        return out.drop_columns(["seen"])
+
+    def code(self, found: list[list[str]]) -> tuple[list[int], list[str], list[bytes]]:
+        """Of each list of matches: the number of ids, the ids joined by a space,
+        and the bytes that they decode to."""
         counts = np.array([len(x) for x in found], np.int64)
         flat = pa.array([w for x in found for w in x], pa.string()).dictionary_encode()
         words = flat.dictionary.to_pylist()
@@ -192,29 +187,39 @@ class Coder:
             self.forget()
         if fresh := [w for w in words if w not in self.number]:
             self.learn(fresh)
-        n, ids, decoded = [0] * len(texts), [""] * len(texts), [b""] * len(texts)
+        n, ids, decoded = [0] * len(found), [""] * len(found), [b""] * len(found)
         if words:
             number = np.array([self.number[w] for w in words], np.int32)[flat.indices.to_numpy()]
             start = np.cumsum(counts) - counts
-            doc = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
+            doc = np.repeat(np.arange(len(found), dtype=np.int32), counts)
             self.db.register("seen", pa.table({"doc": doc, "pos": np.arange(len(doc)) - np.repeat(start, counts), "word": number}))
             got = self._ordered(JOIN_UP, "pos")
             for i, *rest in zip(*(got[c].to_pylist() for c in ("doc", "n", "ids", "chars"))):
                 n[i], ids[i], decoded[i] = rest[0], rest[1], rest[2].encode("latin-1")
-            if decoded != [x.encode() for x in texts]:
-                raise RuntimeError("decoding does not give the texts back")
         return n, ids, decoded
 
-    def chunks(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[str], list[bytes]]]:
-        part, size = [], 0
-        for x in texts:
-            if part and size + len(x or "") > CHUNK:
-                yield self.code(part)
-                part, size = [], 0
-            part.append(x or "")
-            size += len(x or "")
-        if part:
-            yield self.code(part)
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, str, bytes]]:
+        """Of each text what ``code`` gives; a very long text goes in parts."""
+
+        def parts(held: list[str]):
+            yield from zip(*self.code([self.pattern.findall(x) for x in held]))
+
+        held, size = [], 0
+        for x in (x or "" for x in texts):
+            if held and size + len(x) > CHUNK:
+                yield from parts(held)
+                held, size = [], 0
+            if len(x) <= CHUNK:
+                held.append(x)
+                size += len(x)
+                continue
+            matches, done = (m[0] for m in self.pattern.finditer(x)), []
+            while part := list(islice(matches, MATCHES)):
+                done.append(next(zip(*self.code([part]))))
+            n, ids, decoded = zip(*done)
+            yield sum(n), " ".join(ids), b"".join(decoded)
+        if held:
+            yield from parts(held)
 
 
 def worker_coder(ranks: dict[bytes, int], pattern: str, mark: str) -> Coder:
@@ -235,21 +240,19 @@ def give_back(mark: str) -> None:
 def coded(text: Column, ranks: dict[bytes, int], pattern: str, with_ids: bool = False) -> Column:
     """Struct column: n_tokens, ids_sha256, decoded_sha256, and with ``with_ids``
     the ids joined by spaces and the decoded text."""
-    mark = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
+    mark = uuid.uuid4().hex  # a worker's memory lasts for one use of the column
     kind = "struct<n_tokens: long, ids_sha256: string, decoded_sha256: string" + ", ids: string, decoded: string" * with_ids + ">"
 
     @F.arrow_udf(kind)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = worker_coder(ranks, pattern, mark)
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for n, ids, decoded in coder.chunks(batch.to_pylist()):
-                out[0] += n
-                out[1] += [hashlib.sha256(x.encode()).hexdigest() for x in ids]
-                out[2] += [hashlib.sha256(x).hexdigest() for x in decoded]
-                if with_ids:
-                    out[3] += ids
-                    out[4] += [x.decode(errors="replace") for x in decoded]
+            given, out = batch.to_pylist(), []
+            for text, (n, ids, decoded) in zip(given, coder.texts(given)):
+                if decoded != (text or "").encode():
+                    raise RuntimeError("decoding does not give the text back")
+                out.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(), *([ids, decoded.decode()] if with_ids else [])))
+            out = list(zip(*out)) or [[]] * (3 + 2 * with_ids)
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 3 + 2 * with_ids]
             kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
             yield pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(out, kinds[: len(names)])], names)
@@ -263,9 +266,12 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, with_ids: bool = Fal
     every whole text encoded by the rank file at ``path``, each match of
     ``pattern`` separately, without special tokens, and decoded from its ids.
 
-    Null texts count as empty; empty texts have no tokens.  Repeated rows are
-    coded each; an empty table gives an empty result; columns of ``docs`` with
-    the names of results are replaced.  The ranks are read by the driver and
+    Null texts count as empty; empty texts have no tokens.  Very long texts are
+    coded in parts of so many matches, whole words always; a very long word takes
+    a step for each contraction at worst, so time grows with the square of its
+    length, memory with its length.  Repeated rows are coded each; an empty table
+    gives an empty result; columns of ``docs`` with the names of results are
+    replaced.  The ranks are read by the driver and
     travel with the tasks, their size is the file's.
     """
     small_batches(docs.sparkSession)
