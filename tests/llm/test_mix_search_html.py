@@ -1,6 +1,7 @@
 """Mixing, search and rendering against brute force and fixtures."""
 
 import heapq
+import math
 import random
 import re
 from collections import defaultdict
@@ -143,6 +144,23 @@ def test_search(spark, kind):
         assert got == brute_search(exact, {i for i, _ in rows if i is not None and i % 50 == 0})
 
 
+def test_search_of_large_numbers(spark):
+    """All finite vectors take part; scores over 53 and 64 bits rank exactly."""
+    large = float(2**31 - 1)
+    rows = [(0, [1e10, 1.0] * 4), (50, [large] * 8), (1, [8388608.0] + [0.0] * 7), (2, [large] * 7 + [large - 1]), (3, [1e30] * 8), (4, [-1e30] * 8), (5, [float("inf")] + [0.0] * 7), (6, None), (7, [1.0, None] + [0.0] * 6)]
+    rows += [(8, [float(2**27) + i for i in range(8)]), (9, [float(2**27) + i + (i == 3) for i in range(8)]), (10, [0.0] * 8), (50, [large] * 8), (100, [1e300] * 8), (100, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = [(i, [math.floor(256.0 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for a, (i, q) in enumerate(exact):
+        if i % 50 == 0:
+            each = sorted((-sum(x * y for x, y in zip(q, p)), j) for b, (j, p) in enumerate(exact) if a != b and len(p) == len(q))[:5]
+            want += [(i, r, j, min(max(-s, -(2**63)), 2**63 - 1)) for r, (s, j) in enumerate(each, 1)]
+    for sample in (0, 1024):
+        got = topk_search.search(frame, F.col("vec_id") % 50 == 0, sample=sample).select("query_id", "rank", "vec_id", "score").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_search_of_nothing(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.search(frame, F.col("vec_id") % 50 == 0).count() == 0
