@@ -1,10 +1,11 @@
 """Layout-aware rendering of HTML pages as text.
 
 A tolerant tree builder supplies implied tags; visibility rules (elements never
-shown, ``hidden``, closed ``details``, style attributes and plain rules of style
-sheets) decide what is shown; the renderer writes all visible text with blank
-lines between blocks, list markers with indentation, and table cells aligned in
-columns.
+shown, ``hidden``, closed ``details``, and the cascade of style attributes and
+style sheets, see ``css``) decide what is shown; the renderer writes all visible
+text with blank lines between blocks, list markers with indentation, and table
+cells aligned in columns.  Trees of any depth are built and rendered without
+recursion: rendering steps are generators that hand their parts to one loop.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
+from .css import Cascade, media
 
 #: Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
-NEVER = frozenset("area audio base canvas datalist embed head iframe link meta noembed noframes object param script source style template title track video svg math".split())
+NEVER = frozenset("area audio base canvas datalist embed head iframe link meta noembed noframes object param script source style template title track video annotation annotation-xml rp".split())
 #: Blocks, with the blank lines around each.
 BLOCKS = dict.fromkeys("address article aside body center details dd div dt fieldset figcaption footer form header hgroup html legend li main nav section summary tr td th thead tbody tfoot caption option optgroup dialog search".split(), 0) | dict.fromkeys("blockquote dl figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul xmp listing plaintext hr".split(), 1)
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul xmp plaintext listing li dd dt".split())
@@ -46,49 +48,84 @@ IMPLIED = {
     "rp": ({"rt", "rp"}, {"ruby"}),
 }
 SCOPES = frozenset("table td th caption button object template html body".split())
-#: Deeper elements become siblings; their text is kept.
-DEPTH = 200
-
-TAG = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'){0,20000}?)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Quotes, lists and tables that are laid out within each other; the text of
+#: deeper ones is laid out as plain blocks, as each would indent it further.
+NESTED = 200
+#: Elements of SVG that may hold text.
+SVG = frozenset("svg g a switch".split())
+
+_ATTRIBUTE = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+|(?=>)|\Z))?+"
+TAG = re.compile(rf"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)(>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>\"'][^\s>]*+)|(?=>)|\Z))?+")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-RULE = re.compile(r"([^{}@]+)\{([^{}]*)\}")
-SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """An element; ``elements`` are those of its children that are elements, and
+    ``place`` its place among its parent's."""
+
+    __slots__ = ("tag", "attrs", "children", "parent", "place", "elements")
 
     def __init__(self, tag: str, attrs: dict[str, str]) -> None:
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.parent, self.place, self.elements = None, 0, []
+
+    def add(self, child: Node) -> None:
+        child.parent, child.place = self, len(self.elements)
+        self.elements.append(child)
+        self.children.append(child)
+
+
+class Open:
+    """The open elements, and where each tag stands among them."""
+
+    def __init__(self, nodes: list[Node]) -> None:
+        self.nodes: list[Node] = []
+        self.where: dict[str, list[int]] = {}
+        for x in nodes:
+            self.push(x)
+
+    def push(self, node: Node) -> None:
+        self.where.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        while len(self.nodes) > at:
+            self.where[self.nodes.pop().tag].pop()
+
+    def last(self, tags) -> int:
+        """The innermost element of these tags, over the page and its body."""
+        where = self.where
+        if len(tags) > len(where):
+            tags = [t for t in where if t in tags]
+        found = max((where[t][-1] for t in tags if where.get(t)), default=-1)
+        return found if found > 1 else -1
+
+    def close(self, tags, scope) -> None:
+        """Close the innermost of these tags, unless a scope lies within it; with
+        a row go its cells, with a group of rows its rows."""
+        again = not tags.isdisjoint(("tr", "tbody", "thead", "tfoot"))
+        while (at := self.last(tags)) > self.last(scope):
+            self.cut(at)
+            if not again:
+                return
 
 
 def build(html: str) -> Node:
     """The tree of a page; children are nodes and strings."""
-    root, body = Node("html", {}), Node("body", {})
-    head = Node("head", {})
-    root.children = [head, body]
-    stack: list[Node] = [root]
-    at, n, in_body, find = 0, len(html), False, TAG.search
+    root, head, body = Node("html", {}), Node("head", {}), Node("body", {})
+    root.add(head)
+    root.add(body)
+    stack, at, n, in_body, find = Open([root]), 0, len(html), False, TAG.search
 
     def text(s: str) -> None:
         nonlocal in_body, stack
         if not s:
             return
         if not in_body and not s.isspace():
-            in_body, stack = True, [root, body]
+            in_body, stack = True, Open([root, body])
         if in_body:
-            stack[-1].children.append(unescape(s) if "&" in s else s)
-
-    def close(tags, scope) -> None:
-        for i in range(len(stack) - 1, 1, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                if tags & {"tr", "tbody", "thead", "tfoot"}:
-                    continue  # a row is closed with its cells, a group with its rows
-                return
-            if stack[i].tag in scope:
-                return
+            stack.nodes[-1].children.append(unescape(s) if "&" in s else s)
 
     while at < n:
         m = find(html, at)
@@ -97,72 +134,73 @@ def build(html: str) -> Node:
             break
         text(html[at : m.start()])
         at = m.end()
-        if (tag := m[2]) is None:
-            continue
+        if (tag := m[2]) is None or not m[4]:
+            continue  # no tag, or one that the page ends in
         tag = tag.lower()
+        foreign = bool(stack.where.get("svg") or stack.where.get("math"))
         if m[1]:
             if tag == "br":
-                text_target = stack[-1]
-                text_target.children.append(Node("br", {}))
-            elif tag == "p" and not any(x.tag == "p" for x in stack):
+                stack.nodes[-1].add(Node("br", {}))
+            elif tag == "p" and not stack.where.get("p"):
                 if in_body:
-                    stack[-1].children.append(Node("p", {}))
+                    stack.nodes[-1].add(Node("p", {}))
             elif tag not in ("html", "body", "head"):
-                for i in range(len(stack) - 1, 1, -1):
-                    open_tag = stack[i].tag
-                    if open_tag == tag or (tag in HEADINGS and open_tag in HEADINGS):
-                        del stack[i:]
-                        break
-                    if open_tag in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "caption"):
-                        break  # a stray end tag does not leave its cell
+                found = stack.last(HEADINGS if tag in HEADINGS else (tag,))
+                # A stray end tag does not leave its cell.
+                if found > 0 and (tag in LEAVES or tag in SCOPES and found >= stack.last(SCOPES) or found > stack.last(SCOPES)):
+                    stack.cut(found)
             continue
-        attrs = {a.lower(): unescape(x or y or z) for a, x, y, z in ATTRIBUTE.findall(m[3])} if m[3] and not m[3].isspace() else {}
+        attrs: dict[str, str] = {}
+        if m[3] and not m[3].isspace():
+            for a, x, y, z in ATTRIBUTE.findall(m[3]):
+                attrs.setdefault(a.lower(), unescape(x or y or z))
         if tag in ("html", "head", "body"):
             if tag == "body":
-                in_body, stack = True, stack if in_body else [root, body]
+                in_body, stack = True, stack if in_body else Open([root, body])
             target = {"html": root, "head": head, "body": body}[tag]
             for k, v in attrs.items():
                 target.attrs.setdefault(k, v)
             continue
         if not in_body and tag not in HEAD_ONLY:
-            in_body, stack = True, [root, body]
+            in_body, stack = True, Open([root, body])
         if tag in CLOSES_P:
-            close({"p"}, SCOPES)
+            stack.close(_P, SCOPES)
         if tag in IMPLIED:
-            close(*IMPLIED[tag])
-        if tag in HEADINGS and stack[-1].tag in HEADINGS:
-            stack.pop()
-        if tag == "a":
-            close({"a"}, SCOPES)
+            stack.close(*IMPLIED[tag])
+        if tag in HEADINGS and stack.nodes[-1].tag in HEADINGS:
+            stack.cut(len(stack.nodes) - 1)
+        if tag == "a" and not foreign:
+            stack.close(_A, SCOPES)
         node = Node(tag, attrs)
-        if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
+        if tag in ("td", "th") and stack.nodes[-1].tag in ("table", "tbody", "thead", "tfoot"):
             row = Node("tr", {})
-            stack[-1].children.append(row)
-            stack.append(row)
-        (stack[-1] if in_body else head).children.append(node)
-        if tag in RAW:
+            stack.nodes[-1].add(row)
+            stack.push(row)
+        (stack.nodes[-1] if in_body else head).add(node)
+        done = m[3].endswith("/") and (foreign or tag in ("svg", "math"))
+        if tag in RAW and not done:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
             inner = html[at : end.start() if end and tag != "plaintext" else n]
             at = end.end() if end and tag != "plaintext" else n
             node.children.append(unescape(inner) if tag in ("textarea", "title") else inner)
-        elif tag not in VOID and not m[0].endswith("/>" if tag in ("svg", "path", "g", "use") else "\0") and in_body and len(stack) < DEPTH:
-            stack.append(node)
+        elif tag not in VOID and not done and in_body:
+            stack.push(node)
     return root
 
 
-def sheet_rules(node: Node) -> list[tuple[str, frozenset[str], bool]]:
-    """Plain selectors (tag, with classes and ids) of the page's style sheets
-    that hide what they match, or show it again, in order."""
-    found, todo = [], [node]
+_P, _A = frozenset(["p"]), frozenset(["a"])
+#: End tags that leave a cell.
+LEAVES = frozenset("table tr tbody thead tfoot td th caption".split())
+
+
+def sheets(node: Node) -> Cascade:
+    """The rules of the page's style sheets, in order."""
+    found, todo = Cascade(), [node]
     while todo:
         x = todo.pop()
-        if x.tag == "style" and "print" not in x.attrs.get("media", ""):
-            for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", "", "".join(c for c in x.children if isinstance(c, str)), flags=re.S)):
-                if (d := re.search(r"display\s*:\s*([\w-]+)", body)) is not None:
-                    for s in selectors.split(","):
-                        if (m := SIMPLE.match(s.strip())) and s.strip():
-                            found.append(((m[1] or "").lower(), frozenset(re.findall(r"[.#][\w-]+", m[2] or "")), d[1].lower() == "none"))
-        todo.extend(c for c in reversed(x.children) if isinstance(c, Node))
+        if x.tag == "style" and x.attrs.get("type", "").strip().lower() in ("", "text/css") and media(x.attrs.get("media", "")):
+            found.add("".join(c for c in x.children if isinstance(c, str)))
+        todo.extend(reversed(x.elements))
     return found
 
 
@@ -234,39 +272,46 @@ def _int(s: str | None, default: int) -> int:
         return default
 
 
+def finish(step) -> None:
+    """Run a step (a generator) and all steps that it hands on, in their order."""
+    steps = [step]
+    while steps:
+        following = next(steps[-1], None)
+        if following is None:
+            steps.pop()
+        else:
+            steps.append(following)
+
+
 class Renderer:
-    def __init__(self, rules: list[tuple[str, frozenset[str], bool]]) -> None:
+    def __init__(self, rules: Cascade) -> None:
         self.rules = rules
 
-    def gone(self, node: Node) -> bool:
+    def style(self, node: Node) -> dict[str, str]:
+        return self.rules.style(node) if self.rules or "style" in node.attrs else {}
+
+    def gone(self, node: Node, style: dict[str, str] | None = None) -> bool:
         """Whether nothing of the node is laid out."""
         attrs = node.attrs
-        if node.tag in NEVER or not attrs and not self.rules:
-            return node.tag in NEVER or node.tag == "dialog"
-        style = attrs.get("style", "")
-        if style and (d := re.findall(r"(?:^|;)\s*display\s*:\s*([\w-]+)", style.lower())):
-            return d[-1] == "none"
-        if node.tag == "dialog" and "open" not in attrs or node.tag == "input" and attrs.get("type", "").lower() == "hidden":
+        if node.tag in NEVER or node.tag == "input" and attrs.get("type", "").lower() == "hidden":
             return True
-        hidden = "hidden" in attrs
-        if self.rules:
-            own = {f".{c}" for c in attrs.get("class", "").split()} | {f"#{attrs.get('id', '')}"}
-            for tag, parts, none in self.rules:
-                if tag in ("", node.tag) and parts <= own:
-                    hidden = none
-        return hidden
-
-    def render(self, node: Node, flow: Flow, pre: bool, seen: bool) -> None:
-        for child in node.children:
+        display = (self.style(node) if style is None else style).get("display")
+        if display is not None:
+            return display == "none"
+        return "hidden" in attrs or node.tag == "dialog" and "open" not in attrs
+
+    def render(self, children: list, flow: Flow, pre: bool, seen: bool, level: int, in_item: bool = False):
+        for child in children:
             if isinstance(child, str):
                 if seen:
                     flow.text(child, pre)
                 continue
-            if self.gone(child):
+            style = self.style(child)
+            if self.gone(child, style):
                 continue
             tag, shown = child.tag, seen
-            if (style := child.attrs.get("style")) and (v := re.findall(r"visibility\s*:\s*(\w+)", style.lower())):
-                shown = v[-1] == "visible"
+            if (v := style.get("visibility", "inherit")) not in ("inherit", "unset"):
+                shown = v in ("visible", "initial")
             if tag == "br":
                 flow.end(keep=bool(flow.lines or flow.line))
             elif tag == "hr":
@@ -276,70 +321,83 @@ class Renderer:
             elif tag == "input":
                 if shown and child.attrs.get("type", "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel", "number"):
                     flow.text(child.attrs.get("value", ""), False)
-            elif tag == "table":
+            elif tag == "svg":
+                yield self.drawing(child, flow, shown, level)
+            elif tag == "table" and level < NESTED:
                 flow.block(1)
-                self.table(child, flow, shown)
+                yield self.table(child, flow, shown, level + 1)
                 flow.block(1)
-            elif tag in ("ul", "ol", "menu", "dir"):
-                inside = node.tag == "li"
-                flow.block(0 if inside else 1)
-                self.items(child, flow, shown)
-                flow.block(0 if inside else 1)
-            elif tag in ("blockquote", "dd"):
+            elif tag in ("ul", "ol", "menu", "dir") and level < NESTED:
+                flow.block(0 if in_item else 1)
+                yield self.items(child, flow, shown, level + 1)
+                flow.block(0 if in_item else 1)
+            elif tag in ("blockquote", "dd") and level < NESTED:
                 flow.block(BLOCKS[tag])
                 inner = Flow()
-                self.render(child, inner, pre, shown)
+                yield self.render(child.children, inner, pre, shown, level + 1)
                 inner.end()
                 flow.add([f"    {x}" if x else "" for x in inner.lines])
                 flow.block(BLOCKS[tag])
             elif tag == "details" and "open" not in child.attrs:
                 flow.block(0)
-                for x in child.children:
-                    if isinstance(x, Node) and x.tag == "summary":
-                        self.render(x, flow, pre, shown)
+                for x in child.elements:
+                    if x.tag == "summary":
+                        yield self.render([x], flow, pre, shown, level)
                         break
                 flow.block(0)
             elif tag in ("pre", "xmp", "listing", "plaintext", "textarea"):
                 flow.block(BLOCKS.get(tag, 0))
-                if child.children and isinstance(child.children[0], str) and child.children[0].startswith("\n"):
-                    child.children[0] = child.children[0][1:]
-                self.render(child, flow, True, shown)
+                inside = child.children
+                if inside and isinstance(inside[0], str) and inside[0].startswith("\n"):
+                    inside = [inside[0][1:], *inside[1:]]
+                yield self.render(inside, flow, True, shown, level)
                 flow.block(BLOCKS.get(tag, 0))
             elif tag == "q":
-                flow.text('"', pre)
-                self.render(child, flow, pre, shown)
-                flow.text('"', pre)
+                flow.text('"' if shown else "", pre)
+                yield self.render(child.children, flow, pre, shown, level)
+                flow.text('"' if shown else "", pre)
             elif tag in BLOCKS:
                 flow.block(BLOCKS[tag])
-                self.render(child, flow, pre, shown)
+                yield self.render(child.children, flow, pre, shown, level)
                 flow.block(BLOCKS[tag])
             else:
-                self.render(child, flow, pre, shown)
+                yield self.render(child.children, flow, pre, shown, level)
 
-    def items(self, node: Node, flow: Flow, seen: bool) -> None:
-        entries = [x for x in node.children if isinstance(x, Node) and x.tag == "li"]
+    def drawing(self, node: Node, flow: Flow, seen: bool, level: int):
+        """Texts of a drawing, a line each; other shapes have none."""
+        for child in node.elements:
+            if self.gone(child):
+                continue
+            if child.tag in ("text", "foreignobject"):
+                flow.block(0)
+                yield self.render(child.children, flow, False, seen, level)
+                flow.block(0)
+            elif child.tag in SVG:
+                yield self.drawing(child, flow, seen, level)
+
+    def items(self, node: Node, flow: Flow, seen: bool, level: int):
         down = "reversed" in node.attrs
-        number = _int(node.attrs.get("start"), len(entries) if down else 1)
+        number = _int(node.attrs.get("start"), sum(x.tag == "li" for x in node.elements) if down else 1)
         for child in node.children:
             if not (isinstance(child, Node) and child.tag == "li"):
-                loose = Node("div", {})
-                loose.children = [child]
-                self.render(loose, flow, False, seen)
+                yield self.render([child], flow, False, seen, level)
                 continue
             number = _int(child.attrs.get("value"), number)
-            if not self.gone(child):
-                sign = marker(node.attrs.get("type", ""), number) if node.tag == "ol" else "-"
+            style = self.style(child)
+            if not self.gone(child, style):
+                v = style.get("visibility", "inherit")
+                shown = seen if v in ("inherit", "unset") else v in ("visible", "initial")
+                sign = (marker(node.attrs.get("type", ""), number) if node.tag == "ol" else "-") if shown else ""
                 inner = Flow()
-                wrap = Node("li", {})
-                wrap.children = child.children
-                self.render(wrap, inner, False, seen)
+                yield self.render(child.children, inner, False, shown, level, True)
                 inner.end()
                 flow.end()
                 pad = " " * (len(sign) + 1)
-                flow.add([(f"{sign} " if i == 0 else pad) + x if x or i == 0 else "" for i, x in enumerate(inner.lines or [""])])
+                if shown or inner.lines:
+                    flow.add([(f"{sign} " if i == 0 else pad) + x if x or i == 0 else "" for i, x in enumerate(inner.lines or [""])])
             number += -1 if down else 1
 
-    def table(self, node: Node, flow: Flow, seen: bool) -> None:
+    def table(self, node: Node, flow: Flow, seen: bool, level: int):
         """Captions and stray content first, then rows of cells, each column as
         wide as its widest line; cells over several columns or rows hold their
         places."""
@@ -355,9 +413,9 @@ class Renderer:
                         if isinstance(x, Node) and x.tag == "tr":
                             into.append(x)
                         else:
-                            self._loose(x, flow, seen)
+                            yield self.render([x], flow, False, seen, level)
             elif not (isinstance(part, Node) and part.tag in ("colgroup", "col")):
-                self._loose(part, flow, seen)
+                yield self.render([part], flow, False, seen, level)
         flow.end()
         grid: list[list[tuple[int, list[str]]]] = []
         held: dict[int, int] = {}  # column: rows that a cell above still covers
@@ -367,14 +425,20 @@ class Renderer:
             cells, column = [], 0
             for cell in row.children:
                 if not (isinstance(cell, Node) and cell.tag in ("td", "th")):
-                    self._loose(cell, flow, seen)
+                    yield self.render([cell], flow, False, seen, level)
                     continue
-                if self.gone(cell):
+                style = self.style(cell)
+                if self.gone(cell, style):
                     continue
                 while held.get(column, 0) > 0:
                     column += 1
-                inner = Flow()
-                self.render(cell, inner, False, seen)
+                inner, shown = Flow(), seen
+                for x in (part for part in (row.parent, row) if part is not node):
+                    if (v := self.style(x).get("visibility", "inherit")) not in ("inherit", "unset"):
+                        shown = v in ("visible", "initial")
+                if (v := style.get("visibility", "inherit")) not in ("inherit", "unset"):
+                    shown = v in ("visible", "initial")
+                yield self.render(cell.children, inner, False, shown, level)
                 inner.end()
                 cells.append((column, inner.lines))
                 over, down = min(max(1, _int(cell.attrs.get("colspan"), 1)), 1000), _int(cell.attrs.get("rowspan"), 1)
@@ -402,21 +466,17 @@ class Renderer:
                         have = max(have, starts[column]) + width(lines[k])
                 flow.add([out])
 
-    def _loose(self, part, flow: Flow, seen: bool) -> None:
-        wrap = Node("div", {})
-        wrap.children = [part]
-        self.render(wrap, flow, False, seen)
-
 
 def render(html: str | None) -> str:
     """All visible text of a page; of a null or empty one, the empty text."""
     if not html:
         return ""
     root = build(html.replace("\0", ""))
-    flow = Flow()
-    out = Renderer(sheet_rules(root))
+    flow, out = Flow(), Renderer(sheets(root))
+    body = root.elements[1]
     if not out.gone(root):
-        out.render(root, flow, False, True)
+        shown = out.style(root).get("visibility", "visible") not in ("hidden", "collapse")
+        finish(out.render([body], flow, False, shown, 0))
     flow.end()
     return "\n".join(flow.lines).strip("\n")
 
@@ -424,9 +484,6 @@ def render(html: str | None) -> str:
 def rendered(html: Column) -> Column:
     @F.arrow_udf("string")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import sys
-
-        sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * DEPTH))
         for batch in batches:
             yield pa.array([render(x) for x in batch.to_pylist()], pa.string())
 
@@ -434,9 +491,11 @@ def rendered(html: Column) -> Column:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """``pages`` with ``text``: the visible text of ``html``.  Null and empty
-    pages have empty text; broken markup never fails; repeated rows are rendered
-    each; an empty table gives an empty result; a column named ``text`` is
-    replaced."""
+    """``pages`` with ``text``: the visible text of ``html`` as a screen shows it.
+    Null and empty pages have empty text; broken markup never fails; pages of any
+    length and depth are rendered whole, though the layout of quotes, lists and
+    tables ends where ``NESTED`` are within each other; texts of drawings and
+    formulas are shown.  Repeated rows are rendered each; an empty table gives an
+    empty result; a column named ``text`` is replaced, all others stay."""
     small_batches(pages.sparkSession)
     return pages.withColumn("text", rendered(F.col("html")))

@@ -200,12 +200,37 @@ def test_search_of_nothing(spark):
         ("<a href='>'>a</a><a title=\"<b>\">c", "ac"),
         ("<textarea>\n a <b></textarea>", " a <b>"),
         ("a<hr>b", "a\n\n--------\n\nb"),
+        ("<style>@media print {.x{display:none}}</style><p class=x>Hello</p><p>B", "Hello\n\nB"),
+        ("<style>@media (max-width:600px){.m{display:none}} @media screen and (min-width: 40em) {.n{display:none}}</style><p class=m>a<p class=n>b", "a"),
+        ("<style>@media not all and (width >= 500px){.a{display:none}} @media (400px <= width <= 2000px) {.b{display:none}}</style><p class=a>a<p class=b>b", "a"),
+        ("<style media=print>p{display:none}</style><style>@supports (display:grid){ .g{display:none} } @supports not (display:grid){ .h{display:none} }</style><p>a<p class=g>b<p class=h>c", "a\n\nc"),
+        ("<style>p{display:none}.keep{display:block}p{display:none}</style><p class=keep>a<p>b", "a"),
+        ("<style>.a{display:none !important}</style><p class=a style='display:block'>a<p style='display:none!important;display:block'>b<p>c", "c"),
+        ("<style>#i{display:block}.a{display:none}</style><p id=i class=a>a<p class=a>b", "a"),
+        ("<style>ul.menu > li.x, nav a{display:none}</style><ul class=menu><li class=x>a<li>b</ul><nav><p><a>c</a>d</nav>", "- b\n\nd"),
+        ("<style>[data-off], a[href^='#']{display:none} p:not(.on){display:none}</style><p class=on>a<a href='#x'>b</a><i data-off>c</i><p>d", "a"),
+        ("<style>p:hover{display:none} p::before{display:none} p:first-child{display:none} p + p.t{display:none}</style><p>a<p>b<p class=t>c", "b"),
+        ("<style>.o{color:red; .i{display:none} &.j{display:none} @media screen{display:none}} .k{.l &{display:none}}</style><div class=o>a</div><div class=l>b<i class=k>c</i></div>", "b"),
+        ("<style>@layer late{.a{display:none}} .a{display:block} @font-face{display:none} @keyframes k{from{display:none}}</style><p class=a>a", "a"),
+        ("<style>p{display:nonsense} .v{visibility:hidden} .v b{visibility:visible} /* p{display:none} */ i{content:'}p{display:none}'}</style><p>a<p class=v>b<b>c</b>", "a\n\nc"),
+        ("<style>[hidden]{display:block} dialog{display:block}</style><p hidden>a</p><dialog>b</dialog>", "a\n\nb"),
+        ("<p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>mc^2</annotation></math>", "E = mc2"),
+        ("<svg><title>t</title><path d='M0'/><g><text x=1>label</text></g></svg>after", "label\nafter"),
+        ("<a title=it's>x</a> <b =y>z", "x z"),
     ],
 )
 def test_rendering(html, text):
     assert html_text.render(html) == text
 
 
+def test_long_tags_and_deep_trees():
+    assert html_text.render("<a " + "x " * 60_000 + ">in</a><img src=data:" + "A" * 300_000 + ">out") == "inout"
+    assert html_text.render("<div>" * 60_000 + "deep" + "</div>" * 60_000 + "<p>after") == "deep\n\nafter"
+    for tag in ("blockquote", "ul><li", "table><tr><td", "b", "p><a", "span><li"):
+        assert html_text.render(f"<{tag}>" * 20_000 + "deep").split()[-1] == "deep"
+    assert html_text.render("<p>a<" + "b " * 50) == "a"  # the page ends in a tag
+
+
 def test_random_markup_keeps_visible_words():
     rng = random.Random(9)
     bits = ["<p>", "</p>", "<div>", "</div>", "<table>", "<tr>", "<td>", "</table>", "<ul>", "<li>", "</ul>", "<b>", "</b>", "<h2>", "<dl>", "<dd>", "<br>", "<blockquote>", "<pre>", "</pre>", "</x>", "<ol>", "</td>", "<span a='<'>"]
