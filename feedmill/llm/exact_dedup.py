@@ -4,7 +4,10 @@ A stream over (digest, identifier, locator) rows feeds a keyed aggregation
 whose state lives on disk (RocksDB), is saved in the shared folder and never
 expires.  For each digest the state keeps the row that stays and the number
 of rows.  A locator is the file and row where the content stands.  Digest hits
-are then checked on their full bytes.  DataFrame and SQL functions only.
+are then checked on their full bytes: the locators of rows that share a digest
+are marked in a set of bits of a fixed size, which all tasks get, so that only
+the texts of these rows (and a few more) are shuffled.  DataFrame and SQL
+functions only.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, scratch
+from .common import ascii_lower, cut, marked, marks, scratch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
@@ -88,8 +91,9 @@ def dedup(
     empty; empty texts are equal to each other.  Of equal texts the largest
     doc_id stays; null doc_ids come before all others; of rows with the same
     doc_id the one with the last locator stays.  An empty table gives an empty
-    result.  Other columns of ``docs`` are not looked at.  Texts that share a
-    digest without being equal are told apart by their bytes.
+    result.  Other columns of ``docs`` are not looked at, so clashing names do no
+    harm.  Very long texts are digested whole.  Texts that share a digest without
+    being equal are told apart by their bytes.
     """
     return dedup_located(located(docs), digest, files_per_batch)
 
@@ -103,15 +107,17 @@ def dedup_located(rows: DataFrame, digest: Callable[[Column], Column] = sha256_o
     slim.select(digest(F.col("text")).alias("digest"), "doc_id", "file", "row").write.parquet(spool)
     state = keyed_state(spark, spool, files_per_batch)
 
-    # Full bytes: each map task folds copies into one row before the shuffle.
-    bytes_of = slim.select(digest(F.col("text")).alias("digest"), "text").groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
-    clash = cut(bytes_of.where("a <> b").select("digest"))
+    # Full bytes of hits: only marked rows are digested again; each map task folds copies into one row before the shuffle.
     seen = spark.read.parquet(spool)
     out = ["doc_id", "file", "row", "digest", "keep", "size"]
+    hits = seen.join(state.where("size > 1").select("digest"), "digest", "left_semi")
+    suspects = marked(slim, ["file", "row"], marks(hits, ["file", "row"])).where("_fm_marked")
+    bytes_of = suspects.select(digest(F.col("text")).alias("digest"), "text").groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    clash = cut(bytes_of.where("a <> b").select("digest"))
     if clash.isEmpty():
         return seen.join(state, "digest").select(out)
     plain = seen.join(state.join(clash, "digest", "left_anti"), "digest").select(out)
-    odd = cut(slim.withColumn("digest", digest(F.col("text"))).join(clash, "digest", "left_semi"))
+    odd = cut(suspects.drop("_fm_marked").withColumn("digest", digest(F.col("text"))).join(clash, "digest", "left_semi"))
     groups = cut(odd.groupBy("digest", "text").agg(F.max(F.struct("doc_id", "file", "row")).alias("keep"), F.count("*").alias("size")))
     return plain.unionByName(odd.join(groups, ["digest", "text"]).select(out))
 
@@ -124,6 +130,10 @@ def kept_rows(docs: DataFrame) -> DataFrame:
 
 
 def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """Located rows but those at ``gone`` (file, row)."""
-    at = gone.select(F.col("file").alias("_fm_file"), F.col("row").alias("_fm_row"))
-    return rows.join(at, ["_fm_file", "_fm_row"], "left_anti").drop("_fm_file", "_fm_row")
+    """Located rows but those at ``gone`` (file, row).  Rows that have no mark
+    surely stay and are not shuffled; the others meet the list itself."""
+    at = ["_fm_file", "_fm_row"]
+    gone = cut(gone.select(F.col("file").alias("_fm_file"), F.col("row").alias("_fm_row")))
+    rows = marked(rows, at, marks(gone, at))
+    stay = rows.where("not _fm_marked").unionByName(rows.where("_fm_marked").join(gone, at, "left_anti"))
+    return stay.drop(*at, "_fm_marked")

@@ -95,17 +95,17 @@ class Open:
 
     def last(self, tags) -> int:
         """The innermost element of these tags, over the page and its body."""
-        where = self.where
-        if len(tags) > len(where):
-            tags = [t for t in where if t in tags]
-        found = max((where[t][-1] for t in tags if where.get(t)), default=-1)
+        where, found = self.where, 1
+        for t in tags if len(tags) <= len(where) else where:
+            if (at := where.get(t)) and at[-1] > found and t in tags:
+                found = at[-1]
         return found if found > 1 else -1
 
     def close(self, tags, scope) -> None:
         """Close the innermost of these tags, unless a scope lies within it; with
         a row go its cells, with a group of rows its rows."""
         again = not tags.isdisjoint(("tr", "tbody", "thead", "tfoot"))
-        while (at := self.last(tags)) > self.last(scope):
+        while (at := self.last(tags)) > 0 and at > self.last(scope):
             self.cut(at)
             if not again:
                 return
@@ -139,7 +139,9 @@ def build(html: str) -> Node:
         tag = tag.lower()
         foreign = bool(stack.where.get("svg") or stack.where.get("math"))
         if m[1]:
-            if tag == "br":
+            if stack.nodes[-1].tag == tag and len(stack.nodes) > 2:
+                stack.cut(len(stack.nodes) - 1)
+            elif tag == "br":
                 stack.nodes[-1].add(Node("br", {}))
             elif tag == "p" and not stack.where.get("p"):
                 if in_body:
