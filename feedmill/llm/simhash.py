@@ -8,10 +8,13 @@ thresholds come from dynamic programming on estimated candidate counts.  Each
 distinct fingerprint is indexed under its own value of a partition and probes
 all values within t_i bits; candidates are verified on all 64 bits.
 
-Keys with many members are not joined pairwise.  Their members are indexed again
-by halves, whose keys are long enough that unrelated fingerprints don't share
-them.  What is left in keys with many members are near copies of each other;
-they are linked through points of the Hamming space: two fingerprints differ in
+Keys with many members are not joined pairwise, and their members don't probe:
+whatever is near to one of them has its own key within t_i bits of the hot key, so
+all members of such keys are handled with it.  They are indexed again by halves,
+whose keys are long enough that unrelated fingerprints don't share them.  A key
+that is not hot so meets probes from other such keys alone, a bounded number.
+What is left in keys with many members are near copies of each other; they are
+linked through points of the Hamming space: two fingerprints differ in
 at most three bits exactly if some point lies within one bit of one and within
 two of the other, and a point links all that lie so near with one row each.
 """
@@ -33,7 +36,9 @@ from .exact_dedup import located, without
 
 BITS = 64
 #: Members of a key, from which on it isn't joined pairwise.
-HOT_KEY = 96
+HOT_KEY = 48
+#: Hot keys, with their neighbours, up to which they are broadcast; a row has 24 bytes.
+BROADCAST_KEYS = 500_000
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -185,15 +190,18 @@ def _masks(bits: list[int], radius: int) -> np.ndarray:
 
 
 def _probes(plan: list[tuple[list[int], int]]):
-    masks = [(np.uint64(sum(1 << b for b in part)), _masks(part, t)) for part, t in plan]
+    """For rows (part, key): all keys within the partition's threshold."""
+    flips_of = [_masks(part, t) for part, t in plan]
 
     def rows(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                fp = whole.column(0).to_numpy()[at : at + 4096].astype(np.int64).view(np.uint64)
-                for i, (own, flips) in enumerate(masks):
-                    key = ((fp & own)[:, None] ^ flips[None, :]).ravel()
-                    yield pa.RecordBatch.from_pydict({"part": pa.array(np.full(len(key), i, np.int32)), "key": key.view(np.int64), "probe": np.repeat(fp.view(np.int64), len(flips))})
+            part, key, fp = (whole.column(i).to_numpy() for i in range(3))
+            for i, flips in enumerate(flips_of):
+                mine = np.flatnonzero(part == i)
+                for at in range(0, len(mine), 4096):
+                    some = mine[at : at + 4096]
+                    to = (key[some].view(np.uint64)[:, None] ^ flips[None, :]).ravel()
+                    yield pa.RecordBatch.from_pydict({"part": pa.array(np.full(len(to), i, np.int32)), "key": to.view(np.int64), "probe": np.repeat(fp[some], len(flips))})
 
     return rows
 
@@ -216,17 +224,21 @@ def _near(a: str, b: str, tau: int) -> Column:
 
 def _indexed(fps: DataFrame, plan: list[tuple[list[int], int]], tau: int) -> tuple[DataFrame, DataFrame | None]:
     """Links (a, b) found in ordinary keys, and the members (hot, fp) of the
-    others, if there are any: all that are indexed or probe there."""
+    others and of the keys near them, if there are any."""
     signed = [int(np.uint64(sum(1 << b for b in part)).astype(np.int64)) for part, _ in plan]
     own = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(s)).alias("key")) for i, s in enumerate(signed)])
     index = fps.select("fp", F.inline(own))
-    probe = fps.select("fp").mapInArrow(_probes(plan), "part int, key long, probe long")
-    pair = lambda df: df.where(_near("fp", "probe", tau)).select(F.col("fp").alias("a"), F.col("probe").alias("b"))
     hot = cut(index.groupBy("part", "key").count().where(F.col("count") > HOT_KEY).withColumn("hot", F.monotonically_increasing_id()).drop("count"))
-    if hot.isEmpty():
-        return pair(index.join(probe, ["part", "key"])), None
-    cold = index.join(hot, ["part", "key"], "left_anti").join(probe, ["part", "key"])
-    return pair(cold), cut(probe.join(hot, ["part", "key"]).select("hot", F.col("probe").alias("fp")).distinct())
+    n_hot = hot.count()
+    near = max(len(_masks(part, t)) for part, t in plan)
+    small = (lambda df: F.broadcast(df)) if n_hot * near <= BROADCAST_KEYS else (lambda df: df)
+    cold = index.join(small(hot), ["part", "key"], "left_anti") if n_hot else index
+    probe = cold.select("part", "key", "fp").mapInArrow(_probes(plan), "part int, key long, probe long")
+    found = cold.join(probe, ["part", "key"]).where(_near("fp", "probe", tau)).select(F.col("fp").alias("a"), F.col("probe").alias("b"))
+    if not n_hot:
+        return found, None
+    around = hot.select("part", "key", "hot").mapInArrow(_probes(plan), "part int, key long, probe long").withColumnRenamed("probe", "hot")
+    return found, cut(index.join(small(around), ["part", "key"]).select("hot", "fp").distinct())
 
 
 def _starred(members: DataFrame) -> DataFrame:
@@ -254,13 +266,14 @@ def links(fps: DataFrame, tau: int = 3) -> DataFrame:
     return found if members is None else found.unionByName(_starred(members))
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest
-    node that it reaches.  Alternating large-star and small-star steps, which
-    need about log(n) rounds; each round is kept in the shared folder."""
+    node that it reaches.  Alternating large-star and small-star steps until
+    nothing changes, in about log(n) rounds; each round is kept in the shared
+    folder."""
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
-    for _ in range(rounds):
+    while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         e = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -271,7 +284,6 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, tau: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -282,7 +294,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, tau: int = 3, carry: tuple[
     Null and empty texts and texts without words have fingerprint zero and are
     linked like any other.  Rows with a null doc_id link texts like others; a
     component in which all ids are null has a null component_id.  Repeated rows
-    stay.  An empty table gives an empty result; other columns are not read.
+    stay, each a row of its own.  Very long texts are hashed whole.  An empty table
+    gives an empty result; other columns are not read, but ``carry`` must not
+    name a column of the result.
     """
     small_batches(docs.sparkSession)
     rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, fingerprints(F.col("text"), words).alias("fp")))

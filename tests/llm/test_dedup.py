@@ -143,7 +143,7 @@ def clustered(seed, n):
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot", [4, 10_000])
+@pytest.mark.parametrize("hot", [4, 16, 10_000])
 def test_links_in_hot_keys_lose_nothing(spark, monkeypatch, hot):
     monkeypatch.setattr(simhash, "HOT_KEY", hot)
     fps = clustered(3, 60)
@@ -157,6 +157,24 @@ def test_links_in_hot_keys_lose_nothing(spark, monkeypatch, hot):
     assert got == {n: r for n, r in want.items() if size[r] > 1}
 
 
+def test_neighbours_of_a_hot_key_are_not_joined_with_its_members(spark, monkeypatch):
+    """A cloud and fingerprints whose keys are near to its key: no key gives more
+    candidates than members that aren't hot can."""
+    monkeypatch.setattr(simhash, "HOT_KEY", 20)
+    rng, plan = random.Random(4), [(list(range(32)), 1), (list(range(32, 64)), 1)]
+    low = rng.getrandbits(32)
+    cloud = {low | rng.getrandbits(32) << 32 for _ in range(900)}
+    around = {(low ^ (1 << rng.randrange(32))) | rng.getrandbits(32) << 32 for _ in range(300)}
+    frame = spark.createDataFrame([(int(np.uint64(x).astype(np.int64)),) for x in cloud | around], "fp long")
+    with monkeypatch.context() as m:
+        m.setattr(simhash, "_near", lambda a, b, tau: F.lit(True))
+        pairs, members = simhash._indexed(frame, plan, 3)
+        assert pairs.count() <= (len(around) + 33) * 20 * 33 // 2
+        most = pairs.groupBy("a").count().agg(F.max("count")).first()[0]
+        assert most <= 2 * 20 * 33
+    assert members.select("fp").distinct().count() == len(cloud | around)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
