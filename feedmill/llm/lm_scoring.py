@@ -269,7 +269,7 @@ def score(docs: DataFrame, path: str, pattern: str, learn: Column) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"), F.coalesce(learn, F.lit(False)).alias("flag"))
     ranks = read_ranks(path)
-    sums, blocks = sums_by_document(rows, words_of, _word_weights, 2, _encoder(ranks, pattern))
+    sums, blocks = sums_by_document(rows, words_of, _word_weights, 2, _encoder(ranks, pattern), counted=True)
     base = cut(sums)
     seen = base.where("n_bytes is null").agg(F.sum("total"), F.sum("distinct")).first()
     base = base.where("n_bytes is not null")
