@@ -5,6 +5,8 @@ The class prior comes from the scores of a first classifier, trusted against
 unlabelled, over all texts: the share of positives among the unlabelled is the
 least ratio of upper tails.  The second classifier, a small network over
 measures of the text, minimises the non-negative unbiased risk with that prior.
+All unlabelled texts take part in fitting: in a round each partition fits a copy
+of the network to its share, and the copies' mean starts the next round.
 """
 
 from __future__ import annotations
@@ -98,28 +100,86 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logit(x), -30, 30)))
 
 
-def _fit(positive: np.ndarray, unlabelled: np.ndarray, risk_grad, hidden: int = 16, epochs: int = 60, rate: float = 0.01, seed: int = 3) -> Network:
-    """Adam; ``risk_grad`` maps both batches' logits to their gradients."""
-    rng = np.random.default_rng(seed)
-    both = np.concatenate((positive, unlabelled))
-    net = Network(both.mean(0), both.std(0) + 1e-3, [rng.normal(0, both.shape[1] ** -0.5, (both.shape[1], hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(1)])
-    first, second, t = [np.zeros_like(x) for x in net.layers], [np.zeros_like(x) for x in net.layers], 0
+#: Passes over the unlabelled texts in a round, and rows that are passed over at once.
+EPOCHS, HELD = 15, 65_536
+
+
+def _steps(net: Network, positive: np.ndarray, unlabelled: np.ndarray, risk_grad, rate: float, rng, state: list) -> None:
+    """Adam, ``EPOCHS`` times over the unlabelled texts, each batch with as many
+    of the trusted; ``risk_grad`` maps both batches' logits to their gradients."""
+    first, second = state[0], state[1]
+    scaled = lambda x: np.clip((x - net.center) / net.spread, -6, 6)
+    positive, unlabelled = scaled(positive), scaled(unlabelled)
     batches = max(1, len(unlabelled) // 256)
-    for _ in range(epochs):
-        for p, u in zip(np.array_split(rng.permutation(len(positive)), batches), np.array_split(rng.permutation(len(unlabelled)), batches)):
-            if not len(p) or not len(u):
-                continue
-            x = np.clip((np.concatenate((positive[p], unlabelled[u])) - net.center) / net.spread, -6, 6)
+    for _ in range(EPOCHS):
+        for u in np.array_split(rng.permutation(len(unlabelled)), batches):
+            p = rng.choice(len(positive), min(256, len(positive)), replace=False)
+            x = np.concatenate((positive[p], unlabelled[u]))
             a, b, c, d = net.layers
             h = np.tanh(x @ a + b)
             z = h @ c + d[0]
             g = np.concatenate(risk_grad(z[: len(p)], z[len(p) :]))
             back = g[:, None] * c * (1 - h * h)
-            t += 1
+            state[2] += 1
+            t = state[2]
             for i, grad in enumerate((x.T @ back + 1e-4 * a, back.sum(0), h.T @ g + 1e-4 * c, np.array([g.sum()]))):
                 first[i] = 0.9 * first[i] + 0.1 * grad
                 second[i] = 0.999 * second[i] + 0.001 * grad**2
                 net.layers[i] = net.layers[i] - rate * (first[i] / (1 - 0.9**t)) / (np.sqrt(second[i] / (1 - 0.999**t)) + 1e-8)
+
+
+def _copies(net: Network, positive: np.ndarray, risk_grad, rate: float):
+    """Rows (i, v): the sum of the weights of a partition's copy, times its
+    texts, and as the last the number of texts."""
+
+    def rows(batches):
+        mine = Network(net.center, net.spread, [x.copy() for x in net.layers])
+        state, rng, n, held = [[np.zeros_like(x) for x in mine.layers], [np.zeros_like(x) for x in mine.layers], 0], np.random.default_rng(3), 0, []
+        for batch in batches:
+            held.append(_array(batch.column(0)))
+            if sum(map(len, held)) >= HELD:
+                _steps(mine, positive, np.concatenate(held), risk_grad, rate, rng, state)
+                n, held = n + sum(map(len, held)), []
+        if sum(map(len, held)):
+            _steps(mine, positive, np.concatenate(held), risk_grad, rate, rng, state)
+            n += sum(map(len, held))
+        flat = np.concatenate([*(x.ravel() for x in mine.layers), [1.0]]) * n
+        yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(len(flat)), pa.int32()), "v": flat})
+
+    return rows
+
+
+def _array(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_MEASURES).astype(np.float64)
+
+
+def _summed(rows: DataFrame) -> np.ndarray:
+    """Sums of v by i, a bounded number of rows."""
+    got = rows.groupBy("i").agg(F.sum("v").alias("v")).toPandas().sort_values("i")
+    return got["v"].to_numpy()
+
+
+def _moments(batches):
+    out = np.zeros(2 * N_MEASURES + 1)
+    for batch in batches:
+        x = _array(batch.column(0))
+        out += np.concatenate((x.sum(0), (x * x).sum(0), [len(x)]))
+    yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(len(out)), pa.int32()), "v": out})
+
+
+def _fit(positive: np.ndarray, texts: DataFrame, risk_grad, rounds: int, hidden: int = 16, rate: float = 0.01, seed: int = 3) -> Network | None:
+    """A network fitted to the trusted and to all of ``texts`` (column x)."""
+    rng, x = np.random.default_rng(seed), texts.select("x")
+    moments = _summed(x.mapInArrow(_moments, "i int, v double"))
+    if not len(moments) or not moments[-1]:
+        return None
+    mean = moments[:N_MEASURES] / moments[-1]
+    spread = np.sqrt(np.maximum(moments[N_MEASURES:-1] / moments[-1] - mean**2, 0)) + 1e-3
+    net = Network(mean, spread, [rng.normal(0, N_MEASURES**-0.5, (N_MEASURES, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(1)])
+    for when in range(rounds):
+        flat = _summed(x.mapInArrow(_copies(net, positive, risk_grad, rate / 2**when), "i int, v double"))
+        cuts = np.cumsum([v.size for v in net.layers])
+        net = Network(mean, spread, [v.reshape(was.shape) for v, was in zip(np.split(flat[:-1] / flat[-1], cuts[:-1]), net.layers)])
     return net
 
 
@@ -160,8 +220,7 @@ def score_measures(column: Column, net: Network) -> Column:
     @F.arrow_udf("double")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            x = batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_MEASURES).astype(np.float64)
-            yield pa.array(net.score(x))
+            yield pa.array(net.score(_array(batch)))
 
     return of(column)
 
@@ -172,12 +231,14 @@ def measured(docs: DataFrame) -> DataFrame:
     return cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), measures_column(F.col("text")).alias("x")))
 
 
-def train(texts: DataFrame, labels: DataFrame, learn: Column | None = None, trusted: int = 4000, unlabelled: int = 8000) -> tuple[Network | None, float]:
+def train(texts: DataFrame, labels: DataFrame, learn: Column | None = None, trusted: int = 4000) -> tuple[Network | None, float]:
     """Model and class prior from ``texts`` (doc_id, x; see ``measured``).
 
-    At most ``trusted`` texts labelled 1 and ``unlabelled`` others, the first by
-    a hash of doc_id, are fitted; the prior is measured over all rows that may
-    be learned from.  Without trusted texts there is no model.
+    Of the texts labelled 1 at most ``trusted``, the first by a hash of doc_id,
+    are fitted, and all texts that may be learned from as unlabelled; the prior is
+    measured over these too.  Without trusted texts there is no model.  Rows with
+    a null doc_id are unlabelled if ``learn`` says so; equal hashes go by doc_id;
+    repeated rows count each; only doc_id and x are read.
     """
     learn = F.lit(True) if learn is None else learn
     texts = texts.where(learn)
@@ -185,25 +246,23 @@ def train(texts: DataFrame, labels: DataFrame, learn: Column | None = None, trus
     if not totals.get(1):
         return None, float("nan")
     good = sample.where("label = 1").select("doc_id")
-    array = lambda df: np.array(df.orderBy("doc_id").toPandas()["x"].tolist(), np.float64).reshape(-1, N_MEASURES)
-    p = array(texts.join(F.broadcast(good), "doc_id"))
-    u = array(texts.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(unlabelled))
-    if not len(p) or not len(u):
+    p = np.array(texts.join(F.broadcast(good), "doc_id").orderBy("doc_id").toPandas()["x"].tolist(), np.float64).reshape(-1, N_MEASURES)
+    first = _fit(p, texts, plain_risk, 2) if len(p) else None
+    if first is None:
         return None, float("nan")
-    first = _fit(p, u, plain_risk, epochs=30)
     positives = labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(1).alias("good")).distinct()
     bins = texts.join(positives, "doc_id", "left").select(F.least(F.floor(score_measures(F.col("x"), first) * 200), F.lit(199)).alias("bin"), "good").groupBy("bin").agg(F.count("*").alias("every"), F.count("good").alias("trusted")).toPandas()
     every, held = np.zeros(200), np.zeros(200)
     every[bins["bin"]], held[bins["bin"]] = bins["every"], bins["trusted"]
     prior = tail_prior(held, every) if held.sum() else 0.5
-    return _fit(p, u, non_negative_risk(prior)), prior
+    return _fit(p, texts, non_negative_risk(prior), 4), prior
 
 
 def score(texts: DataFrame, net: Network | None) -> DataFrame:
     """``texts`` (doc_id, x) with ``score``, the chance of good quality.  Empty
-    and null texts have measures, so also a score.  Repeated rows are scored
-    each; an empty table gives an empty result.  Without a model all scores
-    are 0.5."""
+    and null texts have measures, so also a score; very long texts are measured
+    whole.  Repeated rows are scored each; an empty table gives an empty result; a
+    column named ``score`` is replaced.  Without a model all scores are 0.5."""
     return texts.withColumn("score", F.lit(0.5) if net is None else score_measures(F.col("x"), net))
 
 
