@@ -6,8 +6,9 @@ distance.  What it gathers shifts the logits of a two-level softmax, first over
 classes of ids, then over the ids of the class; the logits start from the
 input's row of a table of log bigram probabilities.
 
-Windows overlap: each has CONTEXT inputs that only give context, then STRIDE
-inputs whose next ids are scored, so each id is scored once.
+For scoring, windows overlap: each has CONTEXT inputs that only give context, then
+STRIDE inputs whose next ids are scored, so each id is scored once.  Training
+windows lie side by side and score all their ids.
 """
 
 from __future__ import annotations
@@ -66,42 +67,47 @@ def bigram_tables(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.log(classes), np.log(members, out=members)
 
 
-def windows(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(sequences: list[np.ndarray], context: int = CONTEXT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of sequences of ids, each ended by id 0: the windows' inputs, the ids to
-    score (-1: none), and each window's sequence.  A sequence's first input is
-    id 0; before it comes padding."""
-    counts = np.array([-(-len(s) // STRIDE) for s in sequences], np.int64)
-    size = np.where(counts > 0, counts * STRIDE + CONTEXT, 0)
+    score (-1: none) after ``context`` others, and each window's sequence.  A
+    sequence's first input is id 0; before it comes padding."""
+    stride = WINDOW - context
+    counts = np.array([-(-len(s) // stride) for s in sequences], np.int64)
+    size = np.where(counts > 0, counts * stride + context, 0)
     start = np.cumsum(size) - size
     x, y = np.full(int(size.sum()), PAD, np.int32), np.full(int(size.sum()), -1, np.int32)
-    for s, a in zip(sequences, start + CONTEXT):
+    for s, a in zip(sequences, start + context):
         if len(s):
             x[a] = 0
             x[a + 1 : a + len(s)] = s[:-1]
             y[a : a + len(s)] = s
     owner = np.repeat(np.arange(len(sequences)), counts)
-    first = np.repeat(start, counts) + STRIDE * (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts))
+    first = np.repeat(start, counts) + stride * (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts))
     at = first[:, None] + np.arange(WINDOW)
-    return x[at], y[at[:, CONTEXT:]], owner
+    return x[at], y[at[:, context:]], owner
 
 
-def distance_bias(near: np.ndarray) -> np.ndarray:
-    """(STRIDE, WINDOW): the bias of each input for each scored place; later
-    inputs are masked."""
-    d = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(WINDOW)
+def distance_bias(near: np.ndarray, context: int = CONTEXT) -> np.ndarray:
+    """(WINDOW - context, WINDOW): the bias of each input for each scored place;
+    later inputs are masked."""
+    d = np.arange(context, WINDOW)[:, None] - np.arange(WINDOW)
     return np.where(d >= 0, near[np.maximum(d, 0)], MASKED).astype(FLOAT)
 
 
-def attend(w: Weights, bias: np.ndarray, x: np.ndarray):
-    """What each scored place gathers, with what the backward pass needs."""
-    q, k, v = w.query[x[:, CONTEXT:]], w.key[x], w.value[x]
-    s = q @ k.transpose(0, 2, 1)
-    s *= FLOAT(WIDTH**-0.5)
-    s += bias
-    s[:, :, :CONTEXT] += np.where(x[:, None, :CONTEXT] == PAD, FLOAT(MASKED), FLOAT(0))
-    np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True)
-    return s @ v, s, q, k, v
+def steady(w: Weights) -> bool:
+    """Whether no logit can be so large that its exponential overflows, so that
+    maxima need not be taken off."""
+    top = lambda a: float(np.abs(a).max(initial=0))
+    scores = WIDTH**0.5 * top(w.query) * top(w.key) + top(w.near)
+    shift = top(w.value) * max(float(np.abs(w.to_class).sum(0).max()), float(np.abs(w.to_member).sum(1).max()))
+    return max(scores, shift) < 60
+
+
+def exponentials(z: np.ndarray, calm: bool) -> np.ndarray:
+    """exp(z) in place, up to a factor for each row of the last axis."""
+    if not calm:
+        z -= z.max(-1, keepdims=True)
+    return np.exp(z, out=z)
 
 
 def fused(w: Weights) -> np.ndarray:
@@ -113,20 +119,24 @@ def fused(w: Weights) -> np.ndarray:
     return np.concatenate((w.query * FLOAT(WIDTH**-0.5), w.key, value), 1)
 
 
-def gathered(table: np.ndarray, bias: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """What ``attend`` gathers, without what only training needs."""
+def gathered(table: np.ndarray, bias: np.ndarray, x: np.ndarray, calm: bool) -> np.ndarray:
+    """What each scored place gathers."""
     g = table.take(x, 0)
     s = g[:, CONTEXT:, :WIDTH] @ g[:, :, WIDTH : 2 * WIDTH].transpose(0, 2, 1)
     s += bias
-    np.exp(s, out=s)
+    if not calm:
+        s[np.broadcast_to((x == PAD)[:, None, :], s.shape)] = -np.inf  # its key must not set the maximum
+    with np.errstate(invalid="ignore"):  # places without an id to score
+        exponentials(s, calm)
     h = (s @ g[:, :, 2 * WIDTH :]).reshape(-1, WIDTH + 1)
     return h[:, :WIDTH] / h[:, WIDTH:]
 
 
-def log_probabilities(w: Weights, table: np.ndarray, bias: np.ndarray, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def log_probabilities(w: Weights, table: np.ndarray, bias: np.ndarray, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray, calm: bool | None = None) -> np.ndarray:
     """Natural log of the probability of each id to score; 0 where there is
     none.  ``table``: the weights fused."""
-    h = gathered(table, bias, x)
+    calm = steady(w) if calm is None else calm
+    h = gathered(table, bias, x, calm)
     flat, last = y.ravel(), x[:, CONTEXT:].ravel()
     out = np.zeros(len(flat))
     which, member = np.divmod(flat, MEMBERS)
@@ -136,6 +146,8 @@ def log_probabilities(w: Weights, table: np.ndarray, bias: np.ndarray, log_class
     ones_c, ones_m = np.ones(CLASSES, FLOAT), np.ones(MEMBERS, FLOAT)
     z = h @ w.to_class
     z += log_class.take(last, 0)
+    if not calm:
+        z -= z.max(1, keepdims=True)
     lp = z[np.arange(len(z)), which].astype(np.float64)
     np.exp(z, out=z)
     lp -= np.log(z @ ones_c)
@@ -145,6 +157,8 @@ def log_probabilities(w: Weights, table: np.ndarray, bias: np.ndarray, log_class
         a, b = ends[c], ends[c + 1]
         z = h[a:b] @ w.to_member[c]
         z += rows.take(last[a:b] * CLASSES + c, 0)
+        if not calm:
+            z -= z.max(1, keepdims=True)
         lp[a:b] += z[np.arange(b - a), member[a:b]]
         np.exp(z, out=z)
         lp[a:b] -= np.log(z @ ones_m)
@@ -154,56 +168,68 @@ def log_probabilities(w: Weights, table: np.ndarray, bias: np.ndarray, log_class
 
 def gradients(w: Weights, bias: np.ndarray, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
     """Mean loss of the ids to score and its gradient, as ``Weights.arrays``."""
-    h3, s, q, k, v = attend(w, bias, x)
-    flat, last = y.ravel(), x[:, CONTEXT:].ravel()
-    use = np.flatnonzero(flat >= 0)
-    n = max(1, len(use))
-    h = h3.reshape(-1, WIDTH)
-    target, last_used, hu = flat[use], last[use], h[use]
-    which, member = np.divmod(target, MEMBERS)
-    z = hu @ w.to_class + log_class[last_used]
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
-    rows = np.arange(len(use))
-    loss = -np.log(z[rows, which] + 1e-30).sum()
-    z[rows, which] -= 1
-    z /= n
-    g_class, dh = hu.T @ z, z @ w.to_class.T
-    g_member = np.zeros_like(w.to_member)
-    order = np.argsort(which, kind="stable")
-    ends = np.searchsorted(which[order], np.arange(CLASSES + 1))
+    calm, scale, context = steady(w), FLOAT(WIDTH**-0.5), WINDOW - y.shape[1]
+    table = np.concatenate((w.query * scale, w.key, w.value), 1)
+    g = table.take(x, 0)
+    q, k, v = g[:, context:, :WIDTH], g[:, :, WIDTH : 2 * WIDTH], g[:, :, 2 * WIDTH :]
+    s = q @ k.transpose(0, 2, 1)
+    s += bias
+    if context:
+        s[:, :, :context] += np.where(x[:, None, :context] == PAD, FLOAT(MASKED), FLOAT(0))
+    exponentials(s, calm)
+    s /= (s @ np.ones(WINDOW, FLOAT))[:, :, None]
+    h3 = s @ v
+    flat, last = y.ravel(), x[:, context:].ravel()
+    # Both levels are done class by class of the target, rows in that order; places without one come first.
+    which = np.floor_divide(flat, MEMBERS)
+    order = np.argsort(which.astype(np.int8), kind="stable")[np.count_nonzero(flat < 0) :]
+    n = max(1, len(order))
+    which, member, last, h = which[order], flat[order] % MEMBERS, last[order], h3.reshape(-1, WIDTH).take(order, 0)
+    ones_c, ones_m, at = np.ones(CLASSES, FLOAT), np.ones(MEMBERS, FLOAT), np.arange(len(order))
+    z = h @ w.to_class
+    z += log_class.take(last, 0)
+    exponentials(z, calm)
+    total = z @ ones_c
+    loss = np.log(total).sum() - np.log(z[at, which]).sum()
+    z /= (total * n)[:, None]
+    z[at, which] -= FLOAT(1 / n)
+    g_class, dh = h.T @ z, z @ w.to_class.T
+    g_member, rows = np.zeros_like(w.to_member), log_member.reshape(-1, MEMBERS)
+    ends = np.searchsorted(which, np.arange(CLASSES + 1))
     for c in np.flatnonzero(np.diff(ends)):
-        some = order[ends[c] : ends[c + 1]]
-        z = hu[some] @ w.to_member[c] + log_member[last_used[some], c]
-        z -= z.max(1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
-        z_rows = np.arange(len(some))
-        loss -= np.log(z[z_rows, member[some]] + 1e-30).sum()
-        z[z_rows, member[some]] -= 1
-        z /= n
-        g_member[c] = hu[some].T @ z
-        dh[some] += z @ w.to_member[c].T
-    full = np.zeros_like(h)
-    full[use] = dh
+        a, b = ends[c], ends[c + 1]
+        z = h[a:b] @ w.to_member[c]
+        z += rows.take(last[a:b] * CLASSES + c, 0)
+        exponentials(z, calm)
+        total = z @ ones_m
+        mine = (at[: b - a], member[a:b])
+        loss += np.log(total).sum() - np.log(z[mine]).sum()
+        z /= (total * n)[:, None]
+        z[mine] -= FLOAT(1 / n)
+        g_member[c] = h[a:b].T @ z
+        dh[a:b] += z @ w.to_member[c].T
+    full = np.zeros((len(flat), WIDTH), FLOAT)
+    full[order] = dh
     full = full.reshape(h3.shape)
-    dv = s.transpose(0, 2, 1) @ full
+    back = np.zeros((*x.shape, 3 * WIDTH), FLOAT)
+    back[:, :, 2 * WIDTH :] = s.transpose(0, 2, 1) @ full
     ds = full @ v.transpose(0, 2, 1)
-    ds -= (ds * s).sum(2, keepdims=True)
+    ds -= (full * h3).sum(2, keepdims=True)
     ds *= s
-    d = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(WINDOW)
+    back[:, context:, :WIDTH] = (ds @ k) * scale
+    back[:, :, WIDTH : 2 * WIDTH] = ds.transpose(0, 2, 1) @ q
+    d = np.arange(context, WINDOW)[:, None] - np.arange(WINDOW)
     g_near = np.bincount(np.maximum(d, 0).ravel(), (ds.sum(0) * (d >= 0)).ravel(), WINDOW).astype(FLOAT)
-    scale = FLOAT(WIDTH**-0.5)
-    tables = []
-    for ids, grad in ((x[:, CONTEXT:], (ds @ k) * scale), (x, (ds.transpose(0, 2, 1) @ q) * scale), (x, dv)):
-        g = np.zeros((VOCABULARY + 1, WIDTH), FLOAT)
-        np.add.at(g, ids.ravel(), grad.reshape(-1, WIDTH))
-        tables.append(g)
-    return float(loss) / n, [*tables, g_near, g_class, g_member]
+    # Rows of one id are added up next to each other.
+    by_id = np.argsort(x.ravel().astype(np.uint16), kind="stable")
+    ids = x.ravel()[by_id]
+    starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    out = np.zeros((VOCABULARY + 1, 3 * WIDTH), FLOAT)
+    out[ids[starts]] = np.add.reduceat(back.reshape(-1, 3 * WIDTH).take(by_id, 0), starts, 0)
+    return float(loss) / n, [*(np.ascontiguousarray(out[:, i * WIDTH : (i + 1) * WIDTH]) for i in range(3)), g_near, g_class, g_member]
 
 
-def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float = 0.02, batch: int = 64, seed: int = 1) -> tuple[Weights, float]:
+def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float = 0.03, batch: int = 256, seed: int = 1) -> tuple[Weights, float]:
     """One pass of Adam over the windows in a shuffled order."""
     values = [a.copy() for a in w.arrays()]
     first, second = [np.zeros_like(a) for a in values], [np.zeros_like(a) for a in values]
@@ -211,7 +237,7 @@ def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarr
     for t, at in enumerate(range(0, len(order), batch), 1):
         some = order[at : at + batch]
         now = Weights(*values)
-        loss, grads = gradients(now, distance_bias(now.near), log_class, log_member, x[some], y[some])
+        loss, grads = gradients(now, distance_bias(now.near, WINDOW - y.shape[1]), log_class, log_member, x[some], y[some])
         losses.append(loss)
         step = rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
         for a, g, m, s in zip(values, grads, first, second):

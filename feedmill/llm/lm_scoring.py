@@ -153,8 +153,8 @@ def _trained(weights: A.Weights, tables, when: int):
         some = [x for (part,) in _blocks(batches) for x in part]
         if some:
             log_class, log_member = _tables(tables)
-            x, y, _ = A.windows(some)
-            w, _ = A.train(weights, log_class, log_member, x, y, rate=0.02 / 2**when, seed=when)
+            x, y, _ = A.windows(some, 0)
+            w, _ = A.train(weights, log_class, log_member, x, y, rate=0.03 / 2**when, seed=when)
             n = int((y >= 0).sum())
             yield _row({"body": _pack([n, *(a.astype(np.float64) * n for a in w.arrays())])}, BLOCK)
 
@@ -179,7 +179,7 @@ def _scorer(weights: A.Weights, tables, place: np.ndarray, rare: np.ndarray):
 
     def rows(batches):
         log_class, log_member = _tables(tables)
-        bias, fused = A.distance_bias(weights.near), A.fused(weights)
+        bias, fused, calm = A.distance_bias(weights.near), A.fused(weights), A.steady(weights)
         for ids_of, tags, _, lengths, ids in _blocks(batches):
             n = len(lengths)
             flat, ended = _ended(ids, lengths, place)
@@ -194,7 +194,7 @@ def _scorer(weights: A.Weights, tables, place: np.ndarray, rare: np.ndarray):
                     to += 1
                 x, y, owner = A.windows(texts[at:to])
                 for a in range(0, len(x), AT_ONCE):
-                    lp = A.log_probabilities(weights, fused, bias, log_class, log_member, x[a : a + AT_ONCE], y[a : a + AT_ONCE])
+                    lp = A.log_probabilities(weights, fused, bias, log_class, log_member, x[a : a + AT_ONCE], y[a : a + AT_ONCE], calm)
                     out[at:to] += np.bincount(owner[a : a + AT_ONCE], lp.sum(1), to - at)
                 at = to
             yield pa.RecordBatch.from_arrays([pa.array(ids_of, pa.int64()), pa.array(tags, pa.int64()), pa.array(out / log(10))], ["doc_id", "tag", "score"])

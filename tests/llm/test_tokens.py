@@ -82,6 +82,30 @@ def test_bpe_when_it_forgets_and_when_order_is_lost(library, monkeypatch):
     assert got == [(len(i := library.encode_ordinary(t or "")), " ".join(map(str, i)), (t or "").encode()) for t in texts]
 
 
+def test_attention_beats_its_pair_tables_on_held_out_texts():
+    """Each id is the one before the last, which pairs can't tell; the pair tables
+    alone are the model before it has learned."""
+    rng = np.random.default_rng(6)
+    texts = [np.tile(rng.integers(1, 40, 2), 30) for _ in range(900)]
+    learn, held = texts[:800], texts[800:]
+    pairs = np.zeros((attention.VOCABULARY,) * 2, np.int64)
+    for t in learn:
+        np.add.at(pairs, (np.append(0, t[:-1]), t), 1)
+    tables = attention.bigram_tables(pairs)
+    x, y, _ = attention.windows(learn, 0)
+    fresh = attention.Weights.fresh()
+    trained, _ = attention.train(fresh, *tables, np.tile(x, (8, 1)), np.tile(y, (8, 1)), batch=32)
+    x, y, owner = attention.windows(held)
+    assert np.bincount(owner, (y >= 0).sum(1)).tolist() == [60] * 100  # each id once
+
+    def mean(w):
+        return attention.log_probabilities(w, attention.fused(w), attention.distance_bias(w.near), *tables, x, y).sum() / (y >= 0).sum()
+
+    assert mean(trained) > mean(fresh) + 1
+    loud = attention.Weights(*(a * 1e4 for a in trained.arrays()))
+    assert not attention.steady(loud) and np.isfinite(mean(loud))
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(2)
     w = attention.Weights.fresh()
