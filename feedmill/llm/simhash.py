@@ -32,7 +32,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
-from .exact_dedup import located, without
 
 BITS = 64
 #: Members of a key, from which on it isn't joined pairwise.
@@ -41,24 +40,13 @@ HOT_KEY = 48
 BROADCAST_KEYS = 500_000
 
 
-def _majority(hashes: np.ndarray) -> int:
-    """Bits set in over half of the hashes, counted in bit-sliced form: planes
-    of weights 1, 2, 4 ... are added three to two until each holds one word."""
-    n, planes, level, counts = len(hashes), [hashes], 0, np.zeros(BITS, np.int64)
-    while level < len(planes):
-        x = planes[level]
-        while len(x) > 2:
-            k = len(x) // 3
-            a, b, c = x[:k], x[k : 2 * k], x[2 * k : 3 * k]
-            ab = a ^ b
-            if level + 1 == len(planes):
-                planes.append(np.empty(0, np.uint64))
-            planes[level + 1] = np.concatenate((planes[level + 1], (a & b) | (c & ab)))
-            x = np.concatenate((ab ^ c, x[3 * k :]))
-        for word in x:
-            counts += np.unpackbits(np.frombuffer(word.tobytes(), np.uint8), bitorder="little").astype(np.int64) << level
-        level += 1
-    return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """Of rows of 64-bit words, the bits that are set in over half of the rows."""
+    counts = np.zeros(hashes.shape[1] * BITS, np.int64)
+    for a in range(0, len(hashes), 255):  # so many fit a byte
+        bits = np.unpackbits(np.ascontiguousarray(hashes[a : a + 255]).view(np.uint8), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, 0, np.uint8)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)
 
 
 def fingerprint(text: bytes | None, words: int = 3) -> int:
@@ -74,7 +62,7 @@ def fingerprint(text: bytes | None, words: int = 3) -> int:
     ends = np.cumsum([len(w) + 1 for w in found]) - 1
     starts = [0, *(ends + 1).tolist()]
     hashes = np.fromiter((digest(flat[a:b], 42) for a, b in zip(starts, ends[words - 1 :].tolist())), np.uint64, len(found) - words + 1)
-    return _majority(hashes)
+    return int(_majority(hashes[:, None])[0])
 
 
 def fingerprints(text: Column, words: int = 3) -> Column:
@@ -307,14 +295,3 @@ def near_duplicates(docs: DataFrame, words: int = 3, tau: int = 3, carry: tuple[
     linked = rooted.join(ids, "root").select("fp", "component_id", "root")
     known = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
     return rows.join(cut(known), "fp").select("doc_id", *carry, "fp", "component_id", "root")
-
-
-def first_of_each(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each component
-    the one with the smallest doc_id; of rows with the same doc_id the one with
-    the first locator; null doc_ids come first."""
-    rows = located(docs)
-    found = cut(near_duplicates(rows, words, tau, ("_fm_file", "_fm_row")).select("root", F.struct("doc_id", F.col("_fm_file").alias("file"), F.col("_fm_row").alias("row")).alias("at")))
-    stay = found.groupBy("root").agg(F.min("at").alias("at"))
-    gone = found.select("at.file", "at.row").join(stay.select("at.file", "at.row"), ["file", "row"], "left_anti")
-    return without(rows, gone)

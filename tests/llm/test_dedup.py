@@ -93,7 +93,7 @@ def test_majority(n):
     rng = np.random.default_rng(n)
     h = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n).astype(np.uint64)
     want = sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h) > n)
-    assert simhash._majority(h) == want
+    assert int(simhash._majority(h[:, None])[0]) == want
 
 
 def test_fingerprints(awkward):
@@ -124,8 +124,6 @@ def test_near_duplicates(documents, awkward):
         least[c] = min((x for x in (least.get(c), i) if x is not None), default=None)
     want = sorted(((i, least[where[brute_fingerprint(t)]]) for i, t in rows), key=str)
     assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=str) == want
-    stay = simhash.first_of_each(documents(rows))
-    assert stay.count() == len(set(where.values()))
 
 
 def clustered(seed, n):
