@@ -182,6 +182,7 @@ def _search(k: int, selective: float, coordinates: int):
         own, vec, norm = (vectors.column(c).to_numpy() for c in ("at", "vec_id", "norm"))
         q, p_all = (_matrix(t.column("q").to_pylist(), dim) for t in (queries, vectors))
         theta, unit_q = theta.copy(), _units(q, ql)
+        exact = dim * float(np.abs(q).max(initial=0.0)) * float(np.abs(p_all).max(initial=0.0)) < 2.0**53
         best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
         longest_first = np.argsort(-norm, kind="stable")
         for a in range(0, len(norm), RUN):
@@ -200,9 +201,12 @@ def _search(k: int, selective: float, coordinates: int):
                 x, y = np.concatenate((some[by_coordinate][c], mine[e])), np.concatenate((d, f))
                 other = at[x] != own[rows][y]
                 x, y = x[other], y[other]
-                for s in range(0, len(x), 65536):
-                    xs, ys = x[s : s + 65536], y[s : s + 65536]
-                    score = products(q[xs], p[ys])
+                # Where much is left, one matrix product gives all that is asked for.
+                grid = q[some] @ p.T if exact and 8 * len(x) > len(some) * len(p) else None
+                size = len(x) if grid is not None else 65536
+                for s in range(0, len(x), max(size, 1)):
+                    xs, ys = x[s : s + size], y[s : s + size]
+                    score = products(q[xs], p[ys]) if grid is None else grid[np.searchsorted(some, xs), ys]
                     keep = _as_double(score) >= theta[xs]
                     if keep.any():
                         best = _best(np.concatenate((best[0], xs[keep])), _joined(best[1], score[keep]), np.concatenate((best[2], vec[rows][ys[keep]])), k)
