@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 #: ASCII letters, the only ones that the contracts lower-case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Bits of a set of marks: 16 MB however many keys there are.
-MARKS = 1 << 27
+#: Bits of a set of marks: 8 MB however many keys there are.
+MARKS = 1 << 26
 
 #: Rows in an Arrow batch.  Texts are long; small batches keep workers small.
 ARROW_ROWS = "1000"
