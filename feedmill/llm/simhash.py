@@ -35,9 +35,9 @@ from .common import cut, small_batches
 
 BITS = 64
 #: Members of a key, from which on it isn't joined pairwise.
-HOT_KEY = 48
+HOT_KEY = 96
 #: Hot keys, with their neighbours, up to which they are broadcast; a row has 24 bytes.
-BROADCAST_KEYS = 500_000
+BROADCAST_KEYS = 200_000
 
 
 def _majority(hashes: np.ndarray) -> np.ndarray:
