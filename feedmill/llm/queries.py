@@ -68,11 +68,11 @@ QUERIES = {f.__name__: f for f in (op1_toxicity, op2_lm_scoring, op3_token_count
 
 ORACLE = {
     "op9_topk_search": """
-        WITH v AS (SELECT row_number() OVER () AS at, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS q FROM embeddings
+        WITH v AS (SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS q FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (SELECT a.at, a.vec_id AS query_id, b.vec_id, coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) AS s
-            FROM v a JOIN v b ON a.at <> b.at AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
-        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY at ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id,
+        s AS (SELECT a.place, a.vec_id AS query_id, b.vec_id, coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) AS s
+            FROM v a JOIN v b ON a.place <> b.place AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY place ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id,
             CAST(greatest(least(s, 9223372036854775807), -9223372036854775808) AS BIGINT) AS score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op8_exact_dedup": """
