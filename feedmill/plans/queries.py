@@ -3,7 +3,9 @@ that gives the same rows.  Times are literal: 2001-01-01 and the like."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, keywords, scoring, text, urls
@@ -18,6 +20,14 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a local one only on one machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return found or tempfile.mkdtemp(prefix="feedmill-")
+
+
 def _sql_list(words) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
@@ -444,12 +454,33 @@ def run_metrics(spark, sf):
     return outcome.run_metrics(_rejects(spark, sf).withColumn("kind", outcome.reject_kind(F.col("stage"), F.col("reason"))))
 
 
-@query("""WITH r AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey) AS rank FROM orders)
-    SELECT o_orderkey, o_orderpriority, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 100""")
+@query("""WITH r AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey) AS rank FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-01')
+    SELECT o_orderkey, o_orderpriority FROM r WHERE rank <= 100""")
 def per_folder_limit(spark, sf):
-    """The newest 100 of each folder."""
-    w = Window.partitionBy("o_orderpriority").orderBy(F.col("o_orderdate").desc(), "o_orderkey")
-    return _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.row_number().over(w).alias("rank")).where("rank <= 100")
+    """The newest 100 messages of each folder since the last run."""
+    from datetime import datetime
+
+    from ..sources.email import new_messages
+
+    mail = _t(spark, sf, "orders").select(F.col("o_orderpriority").alias("folder"), F.col("o_orderkey").alias("email_id"), F.col("o_orderdate").cast("timestamp").alias("received_at"))
+    return new_messages(mail, datetime(1998, 7, 1)).select(F.col("email_id").alias("o_orderkey"), F.col("folder").alias("o_orderpriority"))
+
+
+@query("""WITH c(category, n_keywords) AS (VALUES ('legal', 3), ('flow', 2)), i AS (SELECT doc_id, unnest(CASE lang WHEN 'en' THEN ['none', 'flow'] WHEN 'de' THEN ['legal', 'flow'] ELSE [] END) AS category, CASE lang WHEN 'en' THEN ['none', 'flow'] ELSE ['legal', 'flow'] END AS all_of FROM documents)
+    SELECT i.doc_id, i.category, CAST(list_position(i.all_of, i.category) - 1 AS INTEGER) AS category_pos, c.n_keywords FROM i JOIN c ON c.category = i.category""")
+def category_rows(spark, sf):
+    """A row for each document and known category of it."""
+    names = F.when(F.col("lang") == "en", F.array(F.lit("none"), F.lit("flow"))).when(F.col("lang") == "de", F.array(F.lit("legal"), F.lit("flow"))).otherwise(F.array().cast("array<string>"))
+    dim = spark.createDataFrame([(c, len(k)) for c, k in CATEGORIES.items()], "category string, n_keywords int")
+    rows = lookup.category_rows(_t(spark, sf, "documents").withColumn("categories", names), dim, "doc_id")
+    return rows.select("doc_id", "category", "category_pos", "n_keywords")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderdate >= TIMESTAMP '2000-06-01' - INTERVAL 90 DAY")
+def freshness_after_fetch(spark, sf):
+    k = F.col("o_orderkey")
+    found = F.when(k % 7 != 0, F.col("o_orderdate").cast("timestamp"))
+    return freshness.after_fetch(_t(spark, sf, "orders"), k % 3 == 0, k % 5 == 0, found, F.lit(_AS_OF).cast("timestamp"), 90).select("o_orderkey")
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
@@ -563,11 +594,9 @@ def listing_near_copies(spark, sf):
 @query("""WITH d AS (SELECT DISTINCT event_id, ts, event_type FROM events) SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM d GROUP BY 1, 2""")
 def stream_dedup_events(spark, sf):
     """Distinct events by day, read as a stream."""
-    import tempfile
-
     from ..streaming.runner import events_by_day
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedmill-stream-")
+    shared = _shared(spark)
     at = f"{shared}/events-{spark.sparkContext.applicationId}-{abs(hash(sf))}-{spark.sql('SELECT uuid()').first()[0]}"
     return events_by_day(spark, f"{sf}/events.parquet", f"{at}/checkpoint", f"{at}/out").withColumn("day", F.col("day").cast("string"))
 
@@ -576,7 +605,6 @@ def stream_dedup_events(spark, sf):
 def pipeline_end_to_end(spark, sf):
     """The whole feed pipeline over the pages, with recorded answers; its
     rejects and items, counted."""
-    import tempfile
     from datetime import UTC, datetime
 
     from ..config import Category, Config, Preparation, Source
@@ -584,7 +612,7 @@ def pipeline_end_to_end(spark, sf):
     from ..pipeline import Inputs, run
     from ..provider import Replay
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedmill-run-")
+    shared = _shared(spark)
     store = StateStore(spark, f"{shared}/state-{spark.sql('SELECT uuid()').first()[0]}")
     as_of = datetime(2024, 1, 31, tzinfo=UTC)
     pages = _t(spark, sf, "pages")
