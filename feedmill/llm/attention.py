@@ -229,7 +229,7 @@ def gradients(w: Weights, bias: np.ndarray, log_class: np.ndarray, log_member: n
     return float(loss) / n, [*(np.ascontiguousarray(out[:, i * WIDTH : (i + 1) * WIDTH]) for i in range(3)), g_near, g_class, g_member]
 
 
-def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float = 0.03, batch: int = 256, seed: int = 1) -> tuple[Weights, float]:
+def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float = 0.02, batch: int = 96, seed: int = 1) -> tuple[Weights, float]:
     """One pass of Adam over the windows in a shuffled order."""
     values = [a.copy() for a in w.arrays()]
     first, second = [np.zeros_like(a) for a in values], [np.zeros_like(a) for a in values]
