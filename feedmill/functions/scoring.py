@@ -13,6 +13,26 @@ LEVELS = ((10, "Hoch"), (5, "Mittel"), (0, "Niedrig"))
 PRACTICE_AREAS = ("Wirtschaftsstrafrecht", "Interne Untersuchungen", "ESG/Regulatory", "Investigativer Journalismus", "Sonstiges")
 TOP_LEVEL, OTHER_AREA = "Hoch", "Sonstiges"
 BONUS = 2
+#: What is asked in each dimension where no schema says it.
+DEFAULT_QUESTIONS = {
+    "d1_enforcement": "Enforcement-Intensität (0=Keine Maßnahme, 1=Ankündigung, 2=Ermittlung, 3=Sanktion)",
+    "d2_organ": "Organ-/Management-Exposition (0=Keine, 1=Indirekt, 2=Management, 3=Vorstand)",
+    "d3_compliance": "Systemische Compliance-Relevanz (0=Einzelfall, 1=Operativ, 2=Compliance-Versagen, 3=Strukturell)",
+    "d4_regulatory": "Regulatorischer Impact (0=Kein Bezug, 1=Routine, 2=Verschärfung, 3=Neues Gesetz)",
+    "d5_mandate": "Mandatspotenzial (0=Kein Mandat, 1=Möglich, 2=Wahrscheinlich, 3=Typisch/Hoch)",
+}
+
+
+def questions(dimensions: dict) -> dict[str, str]:
+    """A schema's dimensions as lines of a prompt: label, question, what each
+    score means, and the rule of scoring, if there is one."""
+    out = {}
+    for name in DIMENSIONS:
+        d = dimensions[name]
+        scores = {str(k): v for k, v in d["scores"].items()}
+        rule = f" Rule: {d['scoring_rule']}" if d.get("scoring_rule") else ""
+        out[name] = f"{d['label']} - {d['question']} ({', '.join(f'{k}={scores[k]}' for k in sorted(scores))}){rule}"
+    return out
 
 
 def answer(text: Column) -> Column:

@@ -120,11 +120,12 @@ def prepare(text: Column, min_chars: int = 600, min_ratio: float = 0.25, margin:
     return let(F.array_join(kept_lines(text), "\n\n"), judged)
 
 
-def enrich_prompt(title: Column, text: Column, dimensions: dict[str, str]) -> Column:
-    """Prompt that asks for a title, a summary and a score from 0 to 3 for each
-    dimension, as JSON."""
-    asked = "; ".join(f"{k}: {q}" for k, q in dimensions.items())
-    head = F.lit("Answer with one JSON object that has title, summary, quality_score and relevance_dimensions. Score each dimension from 0 to 3. " + asked + "\n\nTitle: ")
+def enrich_prompt(title: Column, text: Column, dimensions: dict[str, str], areas: tuple[str, ...] | list[str] = ()) -> Column:
+    """Prompt that asks for a title, a summary, a score from 0 to 3 for each
+    dimension and, if areas are given, one of these, as JSON."""
+    asked = "\n".join(f"{k}: {q}" for k, q in dimensions.items())
+    area = f"\n\npractice_area is one of: {', '.join(areas)}" if areas else ""
+    head = F.lit(f"Answer with one JSON object that has title, summary, quality_score, relevance_dimensions{' and practice_area' if areas else ''}. Score each dimension from 0 to 3.\n\n{asked}{area}\n\nTitle: ")
     return F.concat(head, F.coalesce(title, F.lit("")), F.lit("\n\nText: "), F.coalesce(truncate(text, "enrich"), F.lit("")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,9 +38,15 @@ def has_any(c: Column, parts: tuple[str, ...]) -> Column:
     return out
 
 
+def matches_any(c: Column, parts: tuple[str, ...]) -> Column:
+    """The same by one pattern, for long lists: the text is an expression, which
+    ``has_any`` repeats for each part, more than compiled code can hold."""
+    return c.rlike("|".join(map(re.escape, parts))) if parts else F.lit(False)
+
+
 def is_pagination(url: Column) -> Column:
     low = F.lower(url)
-    return has_any(low, PAGINATION) | low.rlike(r"/p/\d+")
+    return matches_any(low, PAGINATION) | low.rlike(r"/p/\d+")
 
 
 def is_media(url: Column) -> Column:
@@ -46,11 +54,11 @@ def is_media(url: Column) -> Column:
 
 
 def is_skipped_path(url: Column, variant: str) -> Column:
-    return has_any(F.lower(url), SKIP_PATHS[variant])
+    return matches_any(F.lower(url), SKIP_PATHS[variant])
 
 
 def is_navigation(text: Column, variant: str) -> Column:
-    return has_any(F.lower(text), NAV_WORDS[variant])
+    return matches_any(F.lower(text), NAV_WORDS[variant])
 
 
 def passes_rules(url: Column, include: list[str], exclude: list[str]) -> Column:
@@ -107,7 +115,7 @@ def normalize(url: Column) -> Column:
 
 def resolve(page: Column, href: Column) -> Column:
     """Absolute URL of a link: from the root, absolute, or beside the page.
-    Dotted paths are left to ``feedmill.html``."""
+    Dotted paths are left to the page reader."""
     root = F.regexp_extract(page, r"^([a-zA-Z][\w+.-]*://[^/?#]*)", 1)
     folder = F.regexp_extract(F.regexp_replace(page, r"[?#].*$", ""), r"^([a-zA-Z][\w+.-]*://[^/]*(?:/.*)?/)[^/]*$", 1)
     beside = F.when(folder.rlike("^[a-zA-Z][^:]*://$") | (folder == ""), F.concat(root, F.lit("/"))).otherwise(folder)

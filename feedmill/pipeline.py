@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import Config, Source
@@ -24,7 +24,7 @@ from .sources.email import as_items, message_links, new_messages
 from .sources.feeds import feed_entries, sitemap_urls
 from .sources.fetched import resolve_tiers
 
-CANDIDATE = "source_url string, source_key string, url string, title string, published timestamp, pos int, origin string, email_subject string, email_sender string, email_folder string, email_id string"
+CANDIDATE = "source_url string, source_key string, url string, title string, published timestamp, pos int, origin string, email_subject string, email_sender string, email_folder string, email_id string, categories array<string>"
 REJECT = ["source_key", "stage", "kind", "reason", "article_date"]
 
 
@@ -57,39 +57,61 @@ def as_time(as_of: datetime) -> Column:
     return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
 
 
+def scan_variants(source: Source) -> tuple[str, ...]:
+    """Ways to read a source's page, in order; actions need a browser."""
+    if source.discovery_method in ("browser", "playwright"):
+        return ("browser",)
+    if source.discovery_method == "auto":
+        return ("browser",) if source.browser_actions else ("static", "browser")
+    return ("static",)
+
+
 def scan_listing(pages: DataFrame, source: Source, as_of: datetime, max_age_days: int) -> DataFrame:
-    """Links of a source's page: filters, early stop, one row for each URL."""
-    variant = "browser" if source.discovery_method in ("browser", "playwright") else "static"
+    """Links of a source's page: filters, early stop, one row for each URL, then
+    the source's rules.  The page is read once for all variants; the second
+    counts only where the first has no link left and was not stopped by age."""
+    variants = scan_variants(source)
     read = with_page(pages.where(F.col("url") == source.url), as_of, selectors=source.date_selectors, patterns=source.date_patterns, parts=("links",))
     rows = read.select(F.col("url").alias("source_url"), F.explode("page.links").alias("l")).select("source_url", "l.pos", "l.text", "l.url", parse_iso(F.col("l.date")).alias("date"))
-    rows = rows.where(urls.link_ok(F.col("url"), F.col("text"), F.col("source_url"), variant))
+    ways = [F.when(urls.link_ok(F.col("url"), F.col("text"), F.col("source_url"), v), F.lit(i)) for i, v in enumerate(variants)]
+    rows = rows.withColumn("way", F.explode(F.array_compact(F.array(*ways))))
     old = F.col("date") < as_time(as_of) - F.make_dt_interval(F.lit(max_age_days))
-    rows = candidates.take_until_old(rows, ["source_url"], "pos", old, inclusive=True)
+    rows = candidates.take_until_old(rows, ["source_url", "way"], "pos", old, inclusive=True)
+    rule = urls.passes_rules(F.col("url"), list(source.include), list(source.exclude))
+    closed = F.coalesce(F.max(F.when((F.col("way") == 0) & (rule | old), 1)).over(Window.partitionBy("source_url")), F.lit(0))
+    rows = rows.withColumn("closed", closed).where(rule & ((F.col("way") == 0) | (F.col("closed") == 0)))
     dated = rows.withColumn("date", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss"))
     return candidates.upsert(dated, ["source_url", "url"], title="text").select("source_url", "url", F.col("text").alias("title"), F.try_to_timestamp("date").alias("published"), "pos")
 
 
 def scan(spark: SparkSession, source: Source, inputs: Inputs, cfg: Config, as_of: datetime) -> DataFrame:
-    """Candidates of one source by its method; ``auto`` takes the feed's, if it
-    has any, else the page's."""
+    """Candidates of one source by its method, after its rules; ``auto`` takes the
+    feed's, if any are left, else the page's.  A feed that was stopped by age ends
+    the search, even if nothing is left of it."""
     old = F.col("published") < as_time(as_of) - F.make_dt_interval(F.lit(cfg.article_max_age_days))
     rows = spark.createDataFrame([], "source_url string, url string, title string, published timestamp, pos int")
-    feed = None
+    passes = urls.passes_rules(F.col("url"), list(source.include), list(source.exclude))
+    closed = None
     if inputs.feeds is not None and source.discovery_method in ("rss", "auto"):
         feed = feed_entries(inputs.feeds.where(F.col("source_url") == source.url), source.rss_date_extraction)
         words = lookup.keywords_of(list(source.categories), cfg.keywords)
         if source.discovery_method == "rss" and words and cfg.keyword_filter_enabled:
             feed = feed.where(keywords.any_of(F.concat_ws(" ", "title", "description"), words))
-        feed = candidates.take_until_old(feed, ["source_url"], "pos", old, inclusive=False).drop("description")
-        rows = rows.unionByName(feed)
+        recent = candidates.take_until_old(feed, ["source_url"], "pos", old, inclusive=False).drop("description").where(passes)
+        closed = feed.where(old).select("source_url").union(recent.select("source_url")).distinct()
+        rows = rows.unionByName(recent)
     if inputs.sitemaps is not None and source.discovery_method == "sitemap":
-        rows = rows.unionByName(sitemap_urls(inputs.sitemaps.where(F.col("source_url") == source.url)).where(F.col("published").isNull() | ~old))
+        rows = rows.unionByName(sitemap_urls(inputs.sitemaps.where(F.col("source_url") == source.url)).where(F.col("published").isNull() | ~old).where(passes))
     if inputs.listing_pages is not None and source.discovery_method in ("static", "browser", "playwright", "auto"):
         found = scan_listing(inputs.listing_pages, source, as_of, cfg.article_max_age_days)
-        if feed is not None:
-            found = found.join(feed.select("source_url").distinct(), "source_url", "left_anti")
+        if closed is not None:
+            found = found.join(closed, "source_url", "left_anti")
         rows = rows.unionByName(found)
-    return rows.where(urls.passes_rules(F.col("url"), list(source.include), list(source.exclude)))
+    return rows
+
+
+def names_column(names: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(n) for n in names]).cast("array<string>")
 
 
 def discover(spark: SparkSession, cfg: Config, inputs: Inputs, as_of: datetime, last_run: datetime) -> DataFrame:
@@ -106,10 +128,12 @@ def discover(spark: SparkSession, cfg: Config, inputs: Inputs, as_of: datetime,
         if inline:
             page = spark.createDataFrame([(source.url, source.url, source.url, as_of.replace(tzinfo=None), 0)], "source_url string, url string, title string, published timestamp, pos int")
             rows = rows.unionByName(page)
-        out = out.unionByName(rows.withColumn("source_key", F.concat(F.lit("web:"), F.col("url"))).withColumn("origin", F.lit("web")), allowMissingColumns=True)
+        own = names_column(source.categories)
+        out = out.unionByName(rows.withColumn("source_key", F.concat(F.lit("web:"), F.col("url"))).withColumn("origin", F.lit("web")).withColumn("categories", own), allowMissingColumns=True)
     if inputs.messages is not None and cfg.email_folders:
         mine = inputs.messages.where(F.col("folder").isin([f.folder_path for f in cfg.email_folders]))
-        out = out.unionByName(as_items(message_links(new_messages(mine, last_run))), allowMissingColumns=True)
+        of_folder = F.create_map(*[x for f in cfg.email_folders for x in (F.lit(f.folder_path), names_column(f.categories))])
+        out = out.unionByName(as_items(message_links(new_messages(mine, last_run))).withColumn("categories", F.element_at(of_folder, F.col("email_folder"))), allowMissingColumns=True)
     # Both origins share keys: one row for each, web before mail, then by position.
     order = F.struct(F.when(F.col("origin") == "web", 0).otherwise(1), "pos", F.coalesce("source_url", F.lit("")))
     rest = [c for c in out.columns if c != "source_key"]
@@ -132,14 +156,29 @@ def extract(cfg: Config, items: DataFrame, fetched: DataFrame, as_of: datetime)
 
 
 def categories_of(cfg: Config, items: DataFrame, spark: SparkSession) -> DataFrame:
-    """Adds ``categories``, those of the item's source; all, if it has none."""
-    every = F.array(*[F.lit(c.name) for c in cfg.categories])
+    """Sets ``categories``: those of the source that the item's URL leads to, else
+    those that the item got when it was found (from its feed, page or folder);
+    without either, all."""
+    every = names_column(tuple(c.name for c in cfg.categories))
+    given = F.coalesce(F.col("categories"), every) if "categories" in items.columns else every
     if not cfg.web_sources:
-        return items.withColumn("categories", every)
+        return items.withColumn("categories", given)
     dim = spark.createDataFrame([(s.url, i) for i, s in enumerate(cfg.web_sources)], "source_url string, source_ord int")
     found = lookup.source_by_url(items.drop("source_url"), dim, lookup.page_of(F.col("source_key")))
-    own = F.create_map(*[x for s in cfg.web_sources for x in (F.lit(s.url), F.array(*[F.lit(c) for c in s.categories]))])
-    return found.withColumn("categories", F.coalesce(F.element_at(own, F.col("source_url")), every))
+    own = F.create_map(*[x for u, cs in {s.url: s.categories for s in cfg.web_sources}.items() for x in (F.lit(u), names_column(cs))])
+    return found.withColumn("categories", F.coalesce(F.element_at(own, F.col("source_url")), given))
+
+
+def prompts(cfg: Config) -> dict[str, Column]:
+    """Columns prompt and system: by the item's schema its dimensions, areas and
+    system message; the default ones for items without a schema."""
+    ask = lambda dims, areas: text.enrich_prompt(F.col("title"), F.col("content"), dims, areas)
+    prompt, system = ask(scoring.DEFAULT_QUESTIONS, sorted(scoring.PRACTICE_AREAS)), F.lit(None).cast("string")
+    for s in {c.relevance_schema.schema_id: c.relevance_schema for c in cfg.categories if c.relevance_schema}.values():
+        mine = F.col("schema_id") == s.schema_id
+        prompt = F.when(mine, ask(scoring.questions(s.dimensions), s.practice_areas or sorted(scoring.PRACTICE_AREAS))).otherwise(prompt)
+        system = F.when(mine & F.lit(bool(s.system_message)), F.lit(s.system_message)).otherwise(system)
+    return {"prompt": prompt, "system": system}
 
 
 def enrich(cfg: Config, items: DataFrame, provider: Provider | None) -> DataFrame:
@@ -156,7 +195,7 @@ def enrich(cfg: Config, items: DataFrame, provider: Provider | None) -> DataFram
     none = F.size("categories") == 0
     if provider is None:
         return rows.withColumn("reason", F.when(none, "filtered: no_categories_matched"))
-    asked = rows.where(~none).withColumn("prompt", text.enrich_prompt(F.col("title"), F.col("content"), dict.fromkeys(scoring.DIMENSIONS, "")))
+    asked = rows.where(~none).withColumns(prompts(cfg))
     got = provider.answer(asked).withColumn("v", any_answer(F.col("answer")))
     get = lambda path, kind: F.try_variant_get(F.col("v"), path, kind)
     dims = [scoring.lenient_dimension(F.col("v"), d, "$.relevance_dimensions") for d in scoring.DIMENSIONS]
@@ -168,7 +207,7 @@ def enrich(cfg: Config, items: DataFrame, provider: Provider | None) -> DataFram
     got = got.withColumn("relevance_level", F.when(F.col("v").isNotNull(), level))
     got = got.withColumn("title", F.coalesce(get("$.title", "string"), get("$.cleaned_title", "string"), F.col("title"))).withColumn("summary", get("$.summary", "string"))
     got = got.withColumn("relevance_practice_area", scoring.lenient_area(F.col("v"))).withColumn("validation_status", scoring.quality_status(get("$.quality_score", "double")))
-    got = got.withColumn("reason", F.when(F.col("answer").isNull(), "no_answer").when(F.col("v").isNull(), "answer_not_json").otherwise(scoring.gate_reason(F.col("relevance_level")))).drop("v", "prompt", "answer")
+    got = got.withColumn("reason", F.when(F.col("answer").isNull(), "no_answer").when(F.col("v").isNull(), "answer_not_json").otherwise(scoring.gate_reason(F.col("relevance_level")))).drop("v", "prompt", "system", "answer")
     return got.unionByName(rows.where(none).withColumn("reason", F.lit("no_categories_matched")), allowMissingColumns=True)
 
 

@@ -22,8 +22,8 @@ from .functions.scoring import envelope_text
 
 class Provider(Protocol):
     def answer(self, prompts: DataFrame) -> DataFrame:
-        """``prompts`` (source_key, prompt, ...) with ``answer``, null where
-        there is none."""
+        """``prompts`` (source_key, prompt, system, ...) with ``answer``, null
+        where there is none."""
 
 
 @dataclass(frozen=True)
@@ -67,18 +67,19 @@ class Http:
         me = self
 
         @F.arrow_udf("string")
-        def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for batch in batches:
+        def ask(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for asked, systems in batches:
                 out = []
-                for prompt in batch.to_pylist():
+                for prompt, system in zip(asked.to_pylist(), systems.to_pylist()):
                     try:
-                        out.append(me.send(me.url, me.key, BODIES[me.kind](me.model, prompt or "", me.system, me.max_tokens)))
+                        out.append(me.send(me.url, me.key, BODIES[me.kind](me.model, prompt or "", system or me.system, me.max_tokens)))
                     except OSError:
                         out.append(None)  # this item fails, the others go on
                 yield pa.array(out, pa.string())
 
         first = F.get_json_object("_fm_body", "$.content[0].text")
-        return prompts.withColumn("_fm_body", ask(F.col("prompt"))).withColumn("answer", F.coalesce(envelope_text(F.col("_fm_body")), first)).drop("_fm_body")
+        system = F.col("system") if "system" in prompts.columns else F.lit(None).cast("string")
+        return prompts.withColumn("_fm_body", ask(F.col("prompt"), system)).withColumn("answer", F.coalesce(envelope_text(F.col("_fm_body")), first)).drop("_fm_body")
 
 
 def retry(call: Callable[[], object], delays: tuple[float, ...] = (0, 1, 2), sleep: Callable[[float], None] = time.sleep):

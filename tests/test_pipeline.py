@@ -10,7 +10,7 @@ from feedmill import cli
 from feedmill.config import from_dict
 from feedmill.functions.scoring import DIMENSIONS
 from feedmill.operators.state import StateStore
-from feedmill.pipeline import Inputs, run
+from feedmill.pipeline import Inputs, categories_of, prompts, run, scan, scan_listing
 from feedmill.provider import Replay
 from feedmill.streaming.runner import distinct_events, run_available, upsert_batches
 
@@ -95,6 +95,55 @@ def test_run_with_recorded_answers(spark, inputs, tmp_path):
     assert metrics["output", "processed"] == 1
 
 
+FEED = "<rss><channel>{}</channel></rss>"
+ENTRY = "<item><title>Feed entry {0}</title><link>https://site.de/news/f{0}</link><pubDate>{1}</pubDate></item>"
+NEW, OLD = "Sun, 25 Jan 2026 08:00:00 +0000", "Thu, 01 Jan 2026 08:00:00 +0000"
+
+
+@pytest.mark.parametrize(
+    "entries, rules, want",
+    [
+        ([("1", NEW)], {}, {"f1"}),  # the feed alone
+        ([("1", NEW)], {"exclude_patterns": ["/f"]}, {"a1", "a2"}),  # emptied by rules: on to the page
+        ([("1", NEW), ("2", OLD)], {"exclude_patterns": ["/f"]}, set()),  # stopped by age: the end
+        ([("2", OLD)], {}, set()),
+        ([], {}, {"a1", "a2"}),
+    ],
+)
+def test_auto_falls_through_only_where_nothing_was_stopped(spark, entries, rules, want):
+    cfg = from_dict(CFG | {"web_sources": [{"url": HUB, "discovery_method": "auto", "extraction_rules": rules}], "email_folders": []})
+    xml = FEED.format("".join(ENTRY.format(*e) for e in entries)).encode()
+    feeds = spark.createDataFrame([(HUB, 0, 200, xml)], "source_url string, feed_ord int, http_status int, xml binary")
+    page = "<html><body><ul>" + link(1, "25.01.2026") + link(2, "24.01.2026") + "</ul></body></html>"
+    pages = spark.createDataFrame([(HUB, page)], "url string, html string")
+    got = scan(spark, cfg.web_sources[0], Inputs(listing_pages=pages, feeds=feeds), cfg, AS_OF).collect()
+    assert {r["url"].rsplit("/", 1)[1] for r in got} == want and len(got) == len(want)
+
+
+def test_second_way_of_a_page_only_where_the_first_finds_none(spark):
+    """A link under /tags/ is skipped by the static way, not by the browser's."""
+    source = from_dict(CFG | {"web_sources": [{"url": HUB, "discovery_method": "auto"}], "email_folders": []}).web_sources[0]
+    tagged = '<li><span class="date">25.01.2026</span> <a href="/tags/t1">A tagged article of the day</a></li>'
+    found = lambda rows: {r["url"] for r in scan_listing(spark.createDataFrame([(HUB, f"<ul>{rows}</ul>")], "url string, html string"), source, AS_OF, 3).collect()}
+    assert found(tagged) == {"https://site.de/tags/t1"}
+    assert found(tagged + link(1, "25.01.2026")) == {"https://site.de/news/a1"}
+    old = link(9, "01.01.2026")  # the static way keeps the old link that stops it
+    assert found(old + tagged) == {"https://site.de/news/a9"}
+
+
+def test_categories_given_on_discovery_and_prompts_by_schema(spark):
+    dims = {d: {"label": f"L{i}", "question": f"Q{i}", "scores": {str(k): f"s{i}{k}" for k in range(4)}} for i, d in enumerate(DIMENSIONS)}
+    schema = {"schema_id": "s", "system_message": "Be strict.", "dimensions": dims, "practice_areas": ["Tax", "Labour"]}
+    cfg = from_dict(CFG | {"categories": [{"name": "law", "keywords": ["x"], "relevance_schema": schema}, {"name": "none", "keywords": ["y"]}]})
+    items = spark.createDataFrame([("web:https://site.de/news/a", ["none"]), ("web:https://other.de/a", ["none"]), ("web:https://other.de/b", None)], "source_key string, categories array<string>")
+    got = {r["source_key"]: r["categories"] for r in categories_of(cfg, items, spark).collect()}
+    assert got == {"web:https://site.de/news/a": ["law"], "web:https://other.de/a": ["none"], "web:https://other.de/b": ["law", "none"]}
+    rows = spark.createDataFrame([("T", "C", "s"), ("T", "C", None)], "title string, content string, schema_id string").withColumns(prompts(cfg)).collect()
+    assert rows[0]["system"] == "Be strict." and rows[1]["system"] is None
+    assert "L3 - Q3 (0=s30, 1=s31, 2=s32, 3=s33)" in rows[0]["prompt"] and "Tax, Labour" in rows[0]["prompt"]
+    assert "Regulatorischer Impact" in rows[1]["prompt"] and "Sonstiges" in rows[1]["prompt"]
+
+
 def test_run_on_nothing(spark, tmp_path):
     store = StateStore(spark, str(tmp_path))
     result = run(spark, from_dict(CFG), Inputs(), AS_OF, store)
