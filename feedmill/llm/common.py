@@ -49,6 +49,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df``, broadcast if it has at most so many rows; else the planner joins it
+    by shuffles, with skewed partitions split."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 

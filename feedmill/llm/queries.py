@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, html_text, lm_scoring, mixing, quality, simhash, token_counts, topk_search, toxicity
+from . import byte_bpe, exact_dedup, html_text, lm_scoring, mixing, prefix_trie, quality, simhash, token_counts, topk_search, toxicity
 from .common import bucket, table
 
 
@@ -64,7 +64,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_lm_scoring, op3_token_counts, op4_html_text, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe)}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = prefix_trie.trie(table(spark, sf_dir, "conversations"), splice=(5, 9))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_lm_scoring, op3_token_counts, op4_html_text, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe, op11_prefix_trie)}
 
 ORACLE = {
     "op9_topk_search": """
@@ -80,4 +85,25 @@ ORACLE = {
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t""",
+    "op11_prefix_trie": """
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+        e AS (SELECT conv_id, turn, octet_length(encode(text)) AS bytes, sha256(concat(octet_length(encode(role)), ':', role, text)) AS turn_id FROM t),
+        o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, turn_id) AS pos FROM e),
+        k AS (SELECT conv_id, conv_id - conv_id % 5 AS base,
+            xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: [CAST(ord(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM e)),
+        r AS (SELECT k.conv_id, o.pos, o.turn_id, o.bytes FROM k JOIN o ON o.conv_id = k.base AND o.pos <= k.h
+            UNION ALL SELECT k.conv_id, o.pos, o.turn_id, o.bytes FROM k JOIN o ON o.conv_id = k.conv_id AND o.pos > k.h),
+        d AS (SELECT conv_id, row_number() OVER w AS depth, bytes, sha256(string_agg(turn_id, ',') OVER w) AS node FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+        s AS (SELECT conv_id, depth, bytes, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), 'root') AS parent FROM d
+            UNION ALL SELECT conv_id, 0, 0, 'root', NULL FROM k),
+        last AS (SELECT conv_id, max_by(node, depth) AS node FROM s GROUP BY conv_id),
+        ends AS (SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM last GROUP BY node),
+        n AS (SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs FROM s GROUP BY node),
+        c AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+        u AS (SELECT DISTINCT a.node, b.node AS under FROM s a JOIN s b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+        v AS (SELECT u.node, sum((n.n_convs - 1) * n.bytes) AS saved, count(*) FILTER (c.n_children IS NULL) AS leaves FROM u JOIN n ON n.node = u.under LEFT JOIN c ON c.node = u.under GROUP BY u.node)
+        SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, v.leaves AS n_leaves, CAST(v.saved AS BIGINT) AS saved_tokens, coalesce(ends.ends, sha256('')) AS ends_sha256
+        FROM n JOIN v ON v.node = n.node LEFT JOIN n p ON p.node = n.parent LEFT JOIN c ON c.node = n.node LEFT JOIN ends ON ends.node = n.node""",
 }
