@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded, cut, marked, marks
 
@@ -155,7 +156,7 @@ def ends_of(found: DataFrame, counts: DataFrame) -> DataFrame:
     return few(ids.where("not _fm_marked")).unionByName(many)
 
 
-@F.pandas_udf("edge_id binary, upto int, segment binary")
+@F.pandas_udf(T.StructType([T.StructField("edge_id", T.BinaryType()), T.StructField("upto", T.IntegerType()), T.StructField("segment", T.BinaryType())]))
 def _shared(low: pd.Series, high: pd.Series, depth: pd.Series, parent: pd.Series) -> pd.DataFrame:
     """The edge of paths between ``low`` and ``high``: as their order is bytewise,
     what these two share from ``depth`` on all of them share."""
@@ -236,7 +237,7 @@ def _edge_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.astype({"parent_conv_id": "Int64"})
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _bytes_of(segment: pd.Series) -> pd.Series:
     return segment.map(lambda s: sum(int.from_bytes(s[i + DIGEST : i + ENTRY], "big") for i in range(0, len(s), ENTRY)))
 
