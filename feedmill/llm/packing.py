@@ -28,16 +28,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
-from .kept import Kept
+from .kept import Kept, ranks_of
 
 #: Pieces of a block; tokens that a bin may lack to count as full.
 BLOCK, SLACK = 20_000, 8
-#: Bytes of a text that are cut at once.
+#: Characters of a text that are cut at once.
 AT_ONCE = 1_000_000
 #: The fixed pattern of tokenizers whose texts can be taken in parts.
 WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: It for lower-case ASCII.
-ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: It for lower-case Latin letters, of which no form is changed by NFC; what else there is.
+LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ſ0-9²³¹¼-¾]+")
+ODD = re.compile("[İƀ-\U0010ffff]")
+SPACE = re.compile("[\t-\r ]+")
+#: A letter that lower-cased texts lack, for the end of a word.
+END = "Z"
 
 
 class Coder:
@@ -45,29 +49,49 @@ class Coder:
     tokens at the ends."""
 
     def __init__(self, model: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
         held = json.loads(model)
         steps = [[s.get("pattern", {}).get("Regex") or s["type"] for s in ((held[k] or {}).get(parts) or [])] for k, parts in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         specials = held["added_tokens"]
-        # Text in between white space is independent of the rest, and so are words of ASCII.
+        # Text in between white space is independent of the rest, and so are words.
         self.in_parts = steps == [["NFC", "\\s+", "Lowercase"], [WORDS, "ByteLevel"]] and not held["post_processor"] and not any(t["lstrip"] or t["rstrip"] or t["normalized"] for t in specials)
-        self.specials = [t["content"].encode() for t in specials]
-        self.kept = Kept(self._encode, lambda part: ASCII_WORDS.findall(part.lower()) if part.isascii() else None)
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        self.specials = [t["content"] for t in specials]
+        if self.in_parts:
+            ranks, ids = ranks_of(held["model"], END.encode())
+            self.words = tiktoken.Encoding("words", pat_str=f"[^{END}]+{END}", mergeable_ranks=ranks, special_tokens={})
+            self.id_of, self.last = np.zeros(max(ranks.values()) + 1, "<u4"), np.zeros(max(ranks.values()) + 1, bool)
+            self.id_of[list(ids)] = list(ids.values())
+            self.last[[k for token, k in ranks.items() if token.endswith(END.encode())]] = True
+            self.kept, self.odd = Kept(self._words), Kept(self._whole)
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        found = np.array(self.words.encode_ordinary(END.join(words) + END))
+        packed = self.id_of[found].tobytes()
+        ends = (4 * (np.flatnonzero(self.last[found]) + 1)).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def ids(self, text: bytes) -> bytes:
+    def _latin(self, text: str) -> bytes:
+        return self.kept.ids(LATIN_WORDS.findall(text.lower()))
+
+    def ids(self, text: str) -> bytes:
         if not self.in_parts or any(s in text for s in self.specials):
-            return self._encode([text])[0]
+            return self._whole([text])[0]
         out, start = [], 0
         while start < len(text):
-            end = text.find(b" ", start + AT_ONCE)
+            end = text.find(" ", start + AT_ONCE)
             end = len(text) if end < 0 else end
-            out.append(self.kept.ids(text[start:end].split()))
+            some = text[start:end]
+            if some.isascii() or not ODD.search(some):
+                out.append(self._latin(some))
+            else:
+                out.extend(self.odd.ids([part]) if ODD.search(part) else self._latin(part) for part in SPACE.split(some))
             start = end
         return b"".join(out)
 
@@ -229,7 +253,7 @@ def _encode_and_pack(model: str, room: int, end: int, with_ids: bool):
         held: list[tuple] = []
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = ids_of(text.as_py() or b"") + last
+                ids = ids_of(text.as_py() or "") + last
                 for piece, a in enumerate(range(0, len(ids), 4 * room)):
                     part = ids[a : a + 4 * room]
                     held.append((doc, piece, a // 4, len(part) // 4, crc32(part), part if with_ids else None))
@@ -243,12 +267,17 @@ def _encode_and_pack(model: str, room: int, end: int, with_ids: bool):
 
 
 def _pack_again(room: int):
-    """Rows of whole bins, sorted by bin, to rows of fewer bins."""
+    """Rows of whole bins, sorted by bin, to rows of fewer bins: by swaps, or anew by
+    best fit and swaps where that takes fewer."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(held: list[tuple], bins: list[list[int]], names: list[int]):
-            swap(bins, [r[3] for r in held], room)
-            yield from _packed(held, bins, names)
+            lengths = [r[3] for r in held]
+            swap(bins, lengths, room)
+            anew = best_fit(lengths, room)
+            swap(anew, lengths, room)
+            few = min(([b for b in some if b] for some in (bins, anew)), key=len)
+            yield from _packed(held, few, names[: len(few)])
 
         held, bins, names = [], [], []
         for batch in batches:
@@ -284,7 +313,7 @@ def pack(docs: DataFrame, path: str, room: int = 2048, end: int = 0, with_ids: b
     small_batches(spark)
     with open(path, encoding="utf-8") as f:
         model = f.read()
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     left = cut(slim.mapInArrow(_encode_and_pack(model, room, end, with_ids), SCHEMA))
     full, under = F.col("fill") >= room - SLACK, F.col("fill") < room - SLACK
     size = left.agg(F.countDistinct(F.shiftright("sequence_id", 32)).alias("tasks"), F.count("*").alias("n"), F.count_if(under).alias("under")).first()

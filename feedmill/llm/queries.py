@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, html_text, lm_scoring, mixing, packing, prefix_trie, quality, simhash, token_counts, topk_search, toxicity
+from . import alignment, byte_bpe, exact_dedup, html_text, lm_scoring, mixing, packing, prefix_trie, quality, simhash, token_counts, topk_search, toxicity
 from .common import bucket, table
 
 
@@ -74,7 +74,12 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_lm_scoring, op3_token_counts, op4_html_text, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe, op11_prefix_trie, op12_best_fit_packing)}
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return alignment.align(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_lm_scoring, op3_token_counts, op4_html_text, op5_simhash_near_dedup, op6_mix_sources, op7_quality, op8_exact_dedup, op9_topk_search, op10_byte_bpe, op11_prefix_trie, op12_best_fit_packing, op13_token_alignment)}
 
 ORACLE = {
     "op9_topk_search": """
