@@ -231,7 +231,7 @@ def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in OUT.split(", ")]
     for batch in batches:
         kind = batch.column(0).to_numpy()
-        count, is_best = (batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in (1, 2))
+        count, is_best = (batch.column(i).fill_null(none).to_numpy(zero_copy_only=False) for i, none in ((1, 0), (2, False)))
         start = 0
         for at in [*np.flatnonzero(kind == BLOCK).tolist(), len(kind)]:
             counts.append(count[start:at])
