@@ -6,8 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import substrings
+
 #: Rows up to which a dimension is broadcast; larger ones are left to the planner.
 BROADCAST_ROWS = 100_000
+#: Sources that are tested one by one against each URL.
+FEW = 64
 
 
 def small(dim: DataFrame) -> DataFrame:
@@ -26,18 +30,28 @@ def source_by_url(items: DataFrame, sources: DataFrame, url: Column, contains: b
 
     ``sources``: source_url, source_ord.  An exact match wins, closing slashes
     aside, of equal ones the last; else the first source in order whose URL the
-    item's starts with, with ``contains`` also one that holds it.  Exact
-    matches are an equi-join; only the others go through the prefix test.
+    item's starts with, with ``contains`` also one that holds it.  Up to FEW sources
+    are tested one by one; more are met by equality of beginnings, or by the parts
+    that they hold, once for each distinct URL.
     """
     bare = lambda c: F.regexp_replace(c, "/+$", "")
     exact = sources.groupBy(bare(F.col("source_url")).alias("_fm_bare")).agg(F.max_by("source_url", "source_ord").alias("_fm_exact"))
     keyed = items.withColumn("_fm_url", url).withColumn("_fm_bare", bare(F.col("_fm_url")))
     keyed = keyed.join(small(exact), "_fm_bare", "left").drop("_fm_bare")
-    ordered = F.array_sort(F.collect_list(F.struct("source_ord", "source_url")))
-    every = sources.agg(ordered.alias("_fm_all"))  # one row
-    hit = lambda s: F.col("_fm_url").startswith(s["source_url"]) | (F.contains(F.col("_fm_url"), s["source_url"]) if contains else F.lit(False))
-    first = F.get(F.filter(F.col("_fm_all"), hit), 0)["source_url"]
-    return keyed.join(F.broadcast(every)).withColumn("source_url", F.coalesce("_fm_exact", first)).drop("_fm_url", "_fm_exact", "_fm_all")
+    if sources.limit(FEW + 1).count() <= FEW:
+        ordered = F.array_sort(F.collect_list(F.struct("source_ord", "source_url")))
+        every = sources.agg(ordered.alias("_fm_all"))  # one row of FEW sources at most
+        hit = lambda s: F.col("_fm_url").startswith(s["source_url"]) | (F.contains(F.col("_fm_url"), s["source_url"]) if contains else F.lit(False))
+        first = F.get(F.filter(F.col("_fm_all"), hit), 0)["source_url"]
+        return keyed.join(F.broadcast(every)).withColumn("source_url", F.coalesce("_fm_exact", first)).drop("_fm_url", "_fm_exact", "_fm_all")
+    first = sources.where("source_url is not null").groupBy(F.col("source_url").alias("word")).agg(F.min("source_ord").alias("source_ord"))
+    left = keyed.where("_fm_exact is null").select("_fm_url")
+    if contains:
+        pairs = substrings.containing(left.where("_fm_url is not null").distinct(), first, "_fm_url", "_fm_url")
+    else:
+        pairs = substrings.prefixed(left, first, "_fm_url")
+    best = pairs.join(small(first), "word").groupBy("_fm_url").agg(F.min_by("word", F.struct("source_ord", "word")).alias("_fm_first"))
+    return keyed.join(best, "_fm_url", "left").withColumn("source_url", F.coalesce("_fm_exact", "_fm_first")).drop("_fm_url", "_fm_exact", "_fm_first")
 
 
 def first_schema(categories: Column, schemas: dict[str, str]) -> Column:

@@ -92,9 +92,12 @@ def categorize_keywords(spark, sf):
     SELECT k.category, k.keyword, count(*) AS n FROM documents d JOIN k ON contains(lower(d.text), k.keyword) GROUP BY 1, 2""")
 def keyword_theta_join(spark, sf):
     """The join form, for matched keywords as rows."""
-    dim = spark.createDataFrame([("legal", "license"), ("legal", "einheit"), ("flow", "tion")], "category string, keyword string")
-    low = _t(spark, sf, "documents").select(F.lower("text").alias("low"))
-    return low.join(F.broadcast(dim), F.contains("low", "keyword")).groupBy("category", "keyword").agg(F.count("*").alias("n"))
+    from ..operators import substrings
+
+    dim = spark.createDataFrame([("legal", "license"), ("legal", "einheit"), ("flow", "tion")], "category string, word string")
+    low = _t(spark, sf, "documents").select("doc_id", F.lower("text").alias("text"))
+    found = substrings.containing(low, dim, "doc_id").groupBy("word").agg(F.count("*").alias("n"))
+    return found.join(F.broadcast(dim), "word").select("category", F.col("word").alias("keyword"), "n")  # three rows
 
 
 @query(f"""SELECT doc_id, lang FROM documents WHERE lang NOT IN ('en', 'de', 'fr') OR lang = 'fr' OR (lang = 'en' AND {_any_sql('lower(text)', CATEGORIES['flow'])}) OR (lang = 'de' AND {_any_sql('lower(text)', CATEGORIES['legal'])})""")
@@ -657,3 +660,88 @@ def hosted_articles(spark, sf):
 def not_empty_gate(spark, sf):
     d = _t(spark, sf, "documents")
     return d.where(outcome.not_empty_gate(F.col("text"), F.col("lang"))).select("doc_id", (F.length("text") > 3).alias("filled"))
+
+
+@query("SELECT doc_id, CAST(1 AS BIGINT) AS n_sent, length('{\"id\":' || doc_id || ',\"lang\":\"' || lang || '\"}') AS n_body FROM documents")
+def outbox_delivery(spark, sf):
+    """Two runs commit the documents, the second one half of them again; every
+    delivery is sent once, in requests of 50, and has its receipt."""
+    from ..outbox import Outbox
+
+    d = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("key"), F.to_json(F.struct(F.col("doc_id").alias("id"), "lang")).alias("body"), "doc_id")
+    box = Outbox(f"{_shared(spark)}/outbox-{spark.sql('SELECT uuid()').first()[0]}", 8)
+    box.add(d.where("doc_id % 4 <> 0"), "first")
+    box.deliver(spark, lambda body, identifier: 200, per_request=50)
+    box.add(d.where("doc_id % 2 = 0"), "second")
+    box.deliver(spark, lambda body, identifier: 200, per_request=50)
+    sent = box.receipts.read(spark).join(box.committed(spark), "key")
+    return sent.groupBy(F.col("key").cast("long").alias("doc_id")).agg(F.count("*").alias("n_sent"), F.max(F.length("body")).cast("long").alias("n_body"))
+
+
+@query("SELECT event_id, upper(event_type) || ' ' || CAST(json_extract(props, '$.k') AS INTEGER) AS answer FROM events")
+def durable_answers(spark, sf):
+    """Prompts that many events share, each asked once and kept; the first run
+    gets no answer to some, the second asks for these only."""
+    import json
+
+    from ..ledger import Ledger
+    from ..provider import Durable, Http
+
+    k = F.get_json_object("props", "$.k")
+    prompts = _t(spark, sf, "events").select("event_id", F.concat("event_type", F.lit(" "), k).alias("prompt"))
+    ledger = Ledger(f"{_shared(spark)}/answers-{spark.sql('SELECT uuid()').first()[0]}", 8)
+
+    def endpoint(busy):
+        def send(url, key, payload):
+            asked = payload["messages"][-1]["content"]
+            if busy and asked.endswith("7"):
+                raise OSError("busy")
+            return json.dumps({"choices": [{"message": {"content": asked.upper()}}]})
+
+        return send
+
+    for busy in (True, False):
+        answered = Durable(Http("openai", "u", "k", "m", send=endpoint(busy), delays=(0,)), ledger).answer(prompts)
+    return answered.select("event_id", "answer")
+
+
+_HEADS = """s AS (SELECT DISTINCT ON (source_url) source_url, ord FROM (SELECT substr(url, 1, 12 + page_id % 40) AS source_url, page_id AS ord FROM pages UNION ALL SELECT url || '/', 1000000 + page_id FROM pages WHERE page_id % 17 = 0) ORDER BY source_url, ord)"""
+_EXACT = """x AS (SELECT regexp_replace(source_url, '/+$', '') AS bare, max_by(source_url, ord) AS source_url FROM s GROUP BY 1)"""
+
+
+def _heads(spark, sf):
+    """Beginnings of pages' addresses and some whole ones as sources, the first of equal ones."""
+    p = _t(spark, sf, "pages")
+    every = p.select(F.col("url").substr(F.lit(1), (12 + F.col("page_id") % 40).cast("int")).alias("source_url"), F.col("page_id").alias("source_ord"))
+    every = every.unionByName(p.where("page_id % 17 = 0").select(F.concat("url", F.lit("/")).alias("source_url"), (F.lit(1000000) + F.col("page_id")).alias("source_ord")))
+    return every.groupBy("source_url").agg(F.min("source_ord").alias("source_ord"))
+
+
+@query(f"""WITH {_HEADS}, {_EXACT}, m AS (SELECT p.page_id, s.source_url, row_number() OVER (PARTITION BY p.page_id ORDER BY s.ord, s.source_url) AS r FROM pages p JOIN s ON starts_with(p.url, s.source_url))
+    SELECT p.page_id, coalesce(x.source_url, m.source_url) AS source_url FROM pages p LEFT JOIN x ON x.bare = regexp_replace(p.url, '/+$', '') LEFT JOIN m ON m.page_id = p.page_id AND m.r = 1""")
+def source_lookup_many(spark, sf):
+    """As many sources as pages, met by equality of beginnings."""
+    return lookup.source_by_url(_t(spark, sf, "pages"), _heads(spark, sf), F.col("url")).select("page_id", "source_url")
+
+
+_PARTS = """s AS (SELECT source_url, min(ord) AS ord FROM (SELECT substr(url, 9, 6 + page_id % 30) AS source_url, page_id AS ord FROM pages) GROUP BY source_url)"""
+
+
+@query(f"""WITH {_PARTS}, {_EXACT}, m AS (SELECT p.page_id, s.source_url, row_number() OVER (PARTITION BY p.page_id ORDER BY s.ord, s.source_url) AS r FROM pages p JOIN s ON contains(p.url, s.source_url))
+    SELECT p.page_id, coalesce(x.source_url, m.source_url) AS source_url FROM pages p LEFT JOIN x ON x.bare = regexp_replace(p.url, '/+$', '') LEFT JOIN m ON m.page_id = p.page_id AND m.r = 1""")
+def source_lookup_contains(spark, sf):
+    """Sources without a scheme, found anywhere in the address."""
+    dim = _t(spark, sf, "pages").select(F.col("url").substr(F.lit(9), (6 + F.col("page_id") % 30).cast("int")).alias("source_url"), F.col("page_id").alias("source_ord"))
+    dim = dim.groupBy("source_url").agg(F.min("source_ord").alias("source_ord"))
+    return lookup.source_by_url(_t(spark, sf, "pages"), dim, F.col("url"), contains=True).select("page_id", "source_url")
+
+
+@query("""WITH k AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-zà-ÿß]+')) AS keyword FROM benchmark), w AS (SELECT keyword FROM k WHERE length(keyword) BETWEEN 2 AND 9)
+    SELECT w.keyword, count(*) AS n FROM documents d JOIN w ON contains(lower(d.text), w.keyword) GROUP BY 1""")
+def keyword_join_large(spark, sf):
+    """Documents that hold each of some thousands of keywords, the words of another table."""
+    from ..operators import substrings
+
+    words = _t(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-zà-ÿß]+")).alias("word")).where(F.length("word").between(2, 9))
+    low = _t(spark, sf, "documents").select("doc_id", F.lower("text").alias("text"))
+    return substrings.containing(low, words, "doc_id").groupBy(F.col("word").alias("keyword")).agg(F.count("*").alias("n"))

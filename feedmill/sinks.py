@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 import logging
 import logging.handlers
-import urllib.request
 from collections.abc import Callable
+from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .operators.outcome import webhook_row
@@ -18,31 +18,27 @@ from .provider import retry
 log = logging.getLogger("feedmill")
 
 
-def webhook_payload(items: DataFrame) -> DataFrame:
-    """One column ``json``, a row for each item."""
+def webhook_row_json() -> Column:
     c = F.col
     row = webhook_row(c("title"), c("published_at"), c("extracted_at"), c("categories"), c("summary"), c("keywords"), c("url"), c("language_detected"), c("source_type"), c("relevance_practice_area"))
-    return items.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("json"))
-
-
-def post_json(url: str, body: bytes, timeout: float = 30) -> int:
-    request = urllib.request.Request(url, body, {"Content-Type": "application/json"})
-    with urllib.request.urlopen(request, timeout=timeout) as r:
-        return r.status
-
-
-def send_webhook(items: DataFrame, url: str, post: Callable[[str, bytes], int] = post_json) -> bool:
-    """Posts a run's accepted items as one array; errors are logged and told,
-    never raised."""
-    body = "[" + ",".join(r[0] for r in webhook_payload(items).toLocalIterator()) + "]"
-    try:
-        status = post(url, body.encode())
-    except OSError as e:
-        log.warning("webhook failed: %s", e)
-        return False
-    if not 200 <= status < 300:
-        log.warning("webhook answered %s", status)
-    return 200 <= status < 300
+    return F.to_json(row, {"ignoreNullFields": "false"})
+
+
+def webhook_payload(items: DataFrame) -> DataFrame:
+    """One column ``json``, a row for each item."""
+    return items.select(webhook_row_json().alias("json"))
+
+
+def deliveries(items: DataFrame, as_of: datetime) -> DataFrame:
+    """A run's items as rows (key, body) for an outbox: the key is the item's, the
+    body what the webhook gets.  Columns that a run without a provider lacks are null."""
+    none = lambda kind: F.lit(None).cast(kind)
+    made = {
+        "published_at": F.coalesce(F.date_format("fresh_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("unknown")), "extracted_at": F.lit(as_of.strftime("%Y-%m-%dT%H:%M:%SZ")), "source_type": F.col("origin"),
+        "summary": none("string"), "relevance_practice_area": none("string"),
+    }
+    rows = items.withColumns({k: v for k, v in made.items() if k not in items.columns})
+    return rows.select(F.col("source_key").alias("key"), webhook_row_json().alias("body"))
 
 
 def archive_messages(ids: list[tuple[str, str]], move: Callable[[str, str], None]) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedmill import config
 from feedmill.functions.scoring import DIMENSIONS
 from feedmill.provider import Http, Replay, retry
-from feedmill.sinks import archive_messages, send_webhook, webhook_payload
+from feedmill.sinks import archive_messages, webhook_payload
 from feedmill.sources import archive, email, feeds, fetched
 
 AS_OF = datetime(2026, 1, 25, 12, tzinfo=UTC)
@@ -148,15 +148,6 @@ def webhook_items(spark):
 def test_webhook(spark):
     got = json.loads(webhook_payload(webhook_items(spark)).first()[0])
     assert got["date"] == "2026-01-02" and got["category"] == "c" and got["raw_html"] is None and got["practice_areas"] == [] and got["keywords"] == []
-    sent = []
-    assert send_webhook(webhook_items(spark), "u", lambda u, b: sent.append(b) or 200)
-    assert len(json.loads(sent[0])) == 1
-    assert not send_webhook(webhook_items(spark), "u", lambda u, b: 500)
-
-    def broken(u, b):
-        raise OSError
-
-    assert not send_webhook(webhook_items(spark), "u", broken)
 
 
 def test_retry_and_mail_archive():
