@@ -387,21 +387,24 @@ PAGE = f"struct<links: array<struct<pos: int, text: string, href: string, url: s
 PARTS = ("links", "texts", "dates", "listing")
 
 
-def read_pages(html: Column, url: Column, as_of: datetime, selectors: tuple[str, ...] = (), patterns: tuple[str, ...] = (), max_age_days: int | None = None, parts: tuple[str, ...] = PARTS) -> Column:
+def read_pages(html: Column, url: Column, as_of: datetime, selectors: tuple[str, ...] = (), patterns: tuple[str, ...] = (), max_age_days: int | None = None, parts: tuple[str, ...] = PARTS, options: Column | None = None) -> Column:
     """One struct for each page; a null page reads as an empty one.  Only the
-    ``parts`` asked for are worked out, the others are null."""
+    ``parts`` asked for are worked out, the others are null.  ``options``: a page's
+    own selectors and patterns, as JSON."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
     kind = to_arrow_type(_parse_datatype_string(PAGE))
 
     @F.arrow_udf(PAGE)
-    def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        reader = Reader(as_of, selectors, patterns)
-        for pages, urls in batches:
+    def read(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        readers = {None: Reader(as_of, selectors, patterns)}
+        for pages, urls, own in batches:
             out = []
-            for page, at in zip(pages.to_pylist(), urls.to_pylist()):
-                root = parse(page)
+            for page, at, o in zip(pages.to_pylist(), urls.to_pylist(), own.to_pylist()):
+                if o not in readers:
+                    readers[o] = Reader(as_of, *map(tuple, json.loads(o)))
+                reader, root = readers[o], parse(page)
                 row: dict = dict.fromkeys(f.name for f in kind)
                 if "links" in parts:
                     row |= {"links": reader.links(root, at or "")}
@@ -415,7 +418,7 @@ def read_pages(html: Column, url: Column, as_of: datetime, selectors: tuple[str,
                 out.append(row)
             yield pa.array(out, kind)
 
-    return read(html, url)
+    return read(html, url, F.lit(None).cast("string") if options is None else options)
 
 
 def fragments(html: Column, fragment: Column, as_of: datetime) -> Column:

@@ -8,20 +8,20 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Config, Source
+from .discovery import as_column, discover_sources, scan_sources, source_rows
 from .functions import keywords, scoring, text, urls
 from .functions.answers import any_answer
 from .functions.dates import parse_iso
 from .functions.language import language
 from .functions.page import with_page
-from .operators import candidates, freshness, listings, lookup, outcome
+from .operators import freshness, listings, lookup, outcome
 from .operators.state import StateStore, skip_processed
 from .provider import Provider, Replay
 from .sources.email import as_items, message_links, new_messages
-from .sources.feeds import feed_entries, sitemap_urls
 from .sources.fetched import resolve_tiers
 
 CANDIDATE = "source_url string, source_key string, url string, title string, published timestamp, pos int, origin string, email_subject string, email_sender string, email_folder string, email_id string, categories array<string>"
@@ -53,61 +53,10 @@ class Result:
     parts: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def as_time(as_of: datetime) -> Column:
-    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
-
-
-def scan_variants(source: Source) -> tuple[str, ...]:
-    """Ways to read a source's page, in order; actions need a browser."""
-    if source.discovery_method in ("browser", "playwright"):
-        return ("browser",)
-    if source.discovery_method == "auto":
-        return ("browser",) if source.browser_actions else ("static", "browser")
-    return ("static",)
-
-
-def scan_listing(pages: DataFrame, source: Source, as_of: datetime, max_age_days: int) -> DataFrame:
-    """Links of a source's page: filters, early stop, one row for each URL, then
-    the source's rules.  The page is read once for all variants; the second
-    counts only where the first has no link left and was not stopped by age."""
-    variants = scan_variants(source)
-    read = with_page(pages.where(F.col("url") == source.url), as_of, selectors=source.date_selectors, patterns=source.date_patterns, parts=("links",))
-    rows = read.select(F.col("url").alias("source_url"), F.explode("page.links").alias("l")).select("source_url", "l.pos", "l.text", "l.url", parse_iso(F.col("l.date")).alias("date"))
-    ways = [F.when(urls.link_ok(F.col("url"), F.col("text"), F.col("source_url"), v), F.lit(i)) for i, v in enumerate(variants)]
-    rows = rows.withColumn("way", F.explode(F.array_compact(F.array(*ways))))
-    old = F.col("date") < as_time(as_of) - F.make_dt_interval(F.lit(max_age_days))
-    rows = candidates.take_until_old(rows, ["source_url", "way"], "pos", old, inclusive=True)
-    rule = urls.passes_rules(F.col("url"), list(source.include), list(source.exclude))
-    closed = F.coalesce(F.max(F.when((F.col("way") == 0) & (rule | old), 1)).over(Window.partitionBy("source_url")), F.lit(0))
-    rows = rows.withColumn("closed", closed).where(rule & ((F.col("way") == 0) | (F.col("closed") == 0)))
-    dated = rows.withColumn("date", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss"))
-    return candidates.upsert(dated, ["source_url", "url"], title="text").select("source_url", "url", F.col("text").alias("title"), F.try_to_timestamp("date").alias("published"), "pos")
-
-
 def scan(spark: SparkSession, source: Source, inputs: Inputs, cfg: Config, as_of: datetime) -> DataFrame:
-    """Candidates of one source by its method, after its rules; ``auto`` takes the
-    feed's, if any are left, else the page's.  A feed that was stopped by age ends
-    the search, even if nothing is left of it."""
-    old = F.col("published") < as_time(as_of) - F.make_dt_interval(F.lit(cfg.article_max_age_days))
-    rows = spark.createDataFrame([], "source_url string, url string, title string, published timestamp, pos int")
-    passes = urls.passes_rules(F.col("url"), list(source.include), list(source.exclude))
-    closed = None
-    if inputs.feeds is not None and source.discovery_method in ("rss", "auto"):
-        feed = feed_entries(inputs.feeds.where(F.col("source_url") == source.url), source.rss_date_extraction)
-        words = lookup.keywords_of(list(source.categories), cfg.keywords)
-        if source.discovery_method == "rss" and words and cfg.keyword_filter_enabled:
-            feed = feed.where(keywords.any_of(F.concat_ws(" ", "title", "description"), words))
-        recent = candidates.take_until_old(feed, ["source_url"], "pos", old, inclusive=False).drop("description").where(passes)
-        closed = feed.where(old).select("source_url").union(recent.select("source_url")).distinct()
-        rows = rows.unionByName(recent)
-    if inputs.sitemaps is not None and source.discovery_method == "sitemap":
-        rows = rows.unionByName(sitemap_urls(inputs.sitemaps.where(F.col("source_url") == source.url)).where(F.col("published").isNull() | ~old).where(passes))
-    if inputs.listing_pages is not None and source.discovery_method in ("static", "browser", "playwright", "auto"):
-        found = scan_listing(inputs.listing_pages, source, as_of, cfg.article_max_age_days)
-        if closed is not None:
-            found = found.join(closed, "source_url", "left_anti")
-        rows = rows.unionByName(found)
-    return rows
+    """Candidates of one source, by its method and rules."""
+    rows = scan_sources(spark, source_rows(spark, cfg, (source,)), inputs, as_of, cfg.article_max_age_days)
+    return rows.select(F.lit(source.url).alias("source_url"), "url", "title", "published", "pos")
 
 
 def names_column(names: tuple[str, ...]) -> Column:
@@ -117,19 +66,9 @@ def names_column(names: tuple[str, ...]) -> Column:
 def discover(spark: SparkSession, cfg: Config, inputs: Inputs, as_of: datetime, last_run: datetime) -> DataFrame:
     """Candidates of all sources and folders."""
     out = spark.createDataFrame([], CANDIDATE)
-    at = as_time(as_of)
-    for source in cfg.web_sources:
-        rows = scan(spark, source, inputs, cfg, as_of)
-        inline = source.listings_type == "inline"
-        if source.discovery_method != "rss":
-            rows = rows.where(~urls.is_hub_link(F.col("url"), F.lit(source.url), F.lit(inline)))
-        rows = freshness.discovery_filter(rows, F.col("published"), at, cfg.article_max_age_days)
-        rows = freshness.url_date_fallback(rows, "published", urls.configured_date(F.col("url"), list(source.date_patterns)), urls.generic_date(F.col("url")), at, cfg.article_max_age_days)
-        if inline:
-            page = spark.createDataFrame([(source.url, source.url, source.url, as_of.replace(tzinfo=None), 0)], "source_url string, url string, title string, published timestamp, pos int")
-            rows = rows.unionByName(page)
-        own = names_column(source.categories)
-        out = out.unionByName(rows.withColumn("source_key", F.concat(F.lit("web:"), F.col("url"))).withColumn("origin", F.lit("web")).withColumn("categories", own), allowMissingColumns=True)
+    if cfg.web_sources:
+        rows = discover_sources(spark, source_rows(spark, cfg), inputs, as_of, cfg.article_max_age_days)
+        out = out.unionByName(rows.withColumn("source_key", F.concat(F.lit("web:"), F.col("url"))).withColumn("origin", F.lit("web")), allowMissingColumns=True)
     if inputs.messages is not None and cfg.email_folders:
         mine = inputs.messages.where(F.col("folder").isin([f.folder_path for f in cfg.email_folders]))
         of_folder = F.create_map(*[x for f in cfg.email_folders for x in (F.lit(f.folder_path), names_column(f.categories))])
@@ -214,7 +153,7 @@ def enrich(cfg: Config, items: DataFrame, provider: Provider | None) -> DataFram
 def run(spark: SparkSession, cfg: Config, inputs: Inputs, as_of: datetime, store: StateStore, provider: Provider | None = None, dedup_children: bool = True) -> Result:
     """One run over what was fetched.  Its records go into the state in one new
     version at the end; an empty run still moves the last run on."""
-    at = as_time(as_of)
+    at = as_column(as_of)
     state = store.read()
     found = discover(spark, cfg, inputs, as_of, store.last_run(as_of))
     judged = freshness.guardrail(found, F.col("published"), urls.dated(F.col("url")), at, cfg.article_max_age_days).persist()

@@ -86,13 +86,14 @@ def first_valid(feeds: DataFrame) -> DataFrame:
 def feed_entries(feeds: DataFrame, mode: str = "both", least_title: int = 8) -> DataFrame:
     """source_url, pos, title, url, description, published of the entries that
     have a link and a title.  ``mode``: where dates come from, the feed's
-    fields, the URL, or the URL where the fields have none."""
+    fields, the URL, or the URL where the fields have none; ``each`` gives own and
+    by_url instead of published."""
     rows = first_valid(feeds).select("source_url", F.explode("feed.entries").alias("e")).select("source_url", "e.*")
     own = F.coalesce(*[_said(F.col(c)) for c in ("published", "updated", "created")])
     by_url = urls.dated(F.col("url")).cast("timestamp")
-    when = {"feed_fields": own, "url_pattern": by_url, "both": F.coalesce(own, by_url)}[mode]
+    when = {"feed_fields": [own.alias("published")], "url_pattern": [by_url.alias("published")], "both": [F.coalesce(own, by_url).alias("published")], "each": [own.alias("own"), by_url.alias("by_url")]}[mode]
     kept = rows.where((F.col("url") != "") & (F.length(strip(F.col("title"))) >= least_title))
-    return kept.select("source_url", "pos", "title", "url", "description", when.alias("published"))
+    return kept.select("source_url", "pos", "title", "url", "description", *when)
 
 
 def parse_sitemap(body: bytes | None) -> list[dict]:

@@ -10,7 +10,7 @@ from feedmill import cli
 from feedmill.config import from_dict
 from feedmill.functions.scoring import DIMENSIONS
 from feedmill.operators.state import StateStore
-from feedmill.pipeline import Inputs, categories_of, prompts, run, scan, scan_listing
+from feedmill.pipeline import Inputs, categories_of, discover, prompts, run, scan
 from feedmill.provider import Replay
 from feedmill.streaming.runner import distinct_events, run_available, upsert_batches
 
@@ -122,15 +122,68 @@ def test_auto_falls_through_only_where_nothing_was_stopped(spark, entries, rules
 
 def test_second_way_of_a_page_only_where_the_first_finds_none(spark):
     """A link under /tags/ is skipped by the static way, not by the browser's."""
-    source = from_dict(CFG | {"web_sources": [{"url": HUB, "discovery_method": "auto"}], "email_folders": []}).web_sources[0]
+    cfg = from_dict(CFG | {"web_sources": [{"url": HUB, "discovery_method": "auto"}], "email_folders": []})
     tagged = '<li><span class="date">25.01.2026</span> <a href="/tags/t1">A tagged article of the day</a></li>'
-    found = lambda rows: {r["url"] for r in scan_listing(spark.createDataFrame([(HUB, f"<ul>{rows}</ul>")], "url string, html string"), source, AS_OF, 3).collect()}
+    found = lambda rows: {r["url"] for r in scan(spark, cfg.web_sources[0], Inputs(listing_pages=spark.createDataFrame([(HUB, f"<ul>{rows}</ul>")], "url string, html string")), cfg, AS_OF).collect()}
     assert found(tagged) == {"https://site.de/tags/t1"}
     assert found(tagged + link(1, "25.01.2026")) == {"https://site.de/news/a1"}
     old = link(9, "01.01.2026")  # the static way keeps the old link that stops it
     assert found(old + tagged) == {"https://site.de/news/a9"}
 
 
+def many_sources(n):
+    """Sources of all methods with rules, words, dates and readers of their own."""
+    methods = ["static", "auto", "rss", "sitemap", "browser"]
+    out = []
+    for i in range(n):
+        own = {"url": f"https://s{i}.de/news", "discovery_method": methods[i % 5], "categories": ["law"] if i % 2 else ["none"]}
+        if i % 3 == 0:
+            own["extraction_rules"] = {"include_patterns": ["re:/[an]\\d", "re:(["], "exclude_patterns": ["a2", "re:(["]}
+        if i % 4 == 0:
+            own["date_extraction_pattern"] = {"css_selectors": [".when"], "regex_patterns": [r"/(\d{4}-\d{2}-\d{2})/x", "(["]}
+        if i % 7 == 0:
+            own["listings_type"] = "inline"
+        own["rss_date_extraction"] = ["both", "feed_fields", "url_pattern"][i % 3]
+        out.append(own)
+    return from_dict(CFG | {"web_sources": out, "email_folders": []})
+
+
+def many_inputs(spark, n, folder=None):
+    pages, feeds, maps = [], [], []
+    for i in range(n):
+        root = f"https://s{i}.de"
+        links = "".join(f'<li><span class="{"when" if k == 3 else "date"}">{d}</span> <a href="/{p}{k}">Link number {k} of the page</a></li>' for k, (p, d) in enumerate([("a", "25.01.2026"), ("tags/n", "24.01.2026"), ("a", "25.01.2026"), ("n", "24.01.2026"), ("n", "01.01.2026" if i % 2 else "24.01.2026"), ("n", "25.01.2026")]))
+        pages.append((f"{root}/news", f'<ul>{links}<li><a href="/news">The hub itself again</a></li><li><a href="/2026-01-24/x">Dated by its address</a></li></ul>'))
+        entries = "".join(f"<item><title>Betrug entry {k}</title><link>{root}/{p}{k}</link><pubDate>{d}</pubDate></item>" for k, (p, d) in enumerate([("n", NEW), ("a", NEW), ("2026/01/24/n", OLD if i % 4 == 1 else NEW), ("n", NEW)]))
+        if i % 3:
+            feeds.append((f"{root}/news", 0, 200, FEED.format(entries).encode()))
+        maps.append((f"{root}/news", f"{root}/map.xml", f"<urlset><url><loc>{root}/2026/01/24/n1</loc></url><url><loc>{root}/2025/01/24/n2</loc></url><url><loc>{root}/a2</loc></url></urlset>".encode()))
+    frames = spark.createDataFrame(pages, "url string, html string"), spark.createDataFrame(feeds, "source_url string, feed_ord int, http_status int, xml binary"), spark.createDataFrame(maps, "source_url string, map_url string, xml binary")
+    if folder:
+        for name, f in zip("pfm", frames):
+            f.write.parquet(f"{folder}/{name}")
+        frames = tuple(spark.read.parquet(f"{folder}/{name}") for name in "pfm")
+    return Inputs(listing_pages=frames[0], feeds=frames[1], sitemaps=frames[2])
+
+
+def test_all_sources_at_once_are_each_by_itself(spark):
+    """Sources found together are found as each of them alone."""
+    n = 8
+    cfg, inputs = many_sources(n), many_inputs(spark, n)
+    row = lambda r: (r["source_url"], r["url"], r["title"], r["published"], r["pos"], tuple(r["categories"]))
+    together = sorted(map(row, discover(spark, cfg, inputs, AS_OF, AS_OF).collect()), key=str)
+    alone = []
+    for s in cfg.web_sources:
+        alone += map(row, discover(spark, cfg.__class__(**{**cfg.__dict__, "web_sources": (s,)}), inputs, AS_OF, AS_OF).collect())
+    assert together == sorted(alone, key=str) and len({r[0] for r in together}) > 5
+
+
+def test_one_scan_of_each_input_for_any_number_of_sources(spark, tmp_path):
+    inputs = many_inputs(spark, 40, str(tmp_path))
+    scans = lambda n: discover(spark, many_sources(n), inputs, AS_OF, AS_OF)._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    assert scans(40) == scans(5) <= 5
+
+
 def test_categories_given_on_discovery_and_prompts_by_schema(spark):
     dims = {d: {"label": f"L{i}", "question": f"Q{i}", "scores": {str(k): f"s{i}{k}" for k in range(4)}} for i, d in enumerate(DIMENSIONS)}
     schema = {"schema_id": "s", "system_message": "Be strict.", "dimensions": dims, "practice_areas": ["Tax", "Labour"]}
