@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 #: Distinct words whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 1_200_000
+REMEMBERED = 600_000
 #: Distinct words, and their bytes, in one recursive query; a longer word is alone.
 AT_ONCE, ROWS = 60_000, 1_000_000
-#: Words of more bytes take several contractions in a step, see IN_RUNS.
-SHORT = 64
+#: Words of more bytes take several contractions in a step, see IN_RUNS; and words of
+#: so many that rows of them would not fit, which the library codes.
+SHORT, LONG = 64, 16_384
 #: Characters of text that are handled at once, and matches of one longer text.
 CHUNK, MATCHES = 2_000_000, 400_000
 
@@ -135,7 +136,9 @@ class Coder:
             self.db.register("whole", pa.table({"word": pa.array(number, pa.int32()), "id": pa.array(ids, pa.int32()), "chars": chars}))
             self.db.execute("INSERT INTO known SELECT word, 1, id::VARCHAR, chars FROM whole")
         todo = [(first + i, w) for i, w in enumerate(raw) if w not in self.ranks]
-        for query, some in ((CONTRACT, [x for x in todo if len(x[1]) <= SHORT]), (IN_RUNS, [x for x in todo if len(x[1]) > SHORT])):
+        if long := [x for x in todo if len(x[1]) > LONG]:
+            self._long(long)
+        for query, some in ((CONTRACT, [x for x in todo if len(x[1]) <= SHORT]), (IN_RUNS, [x for x in todo if SHORT < len(x[1]) <= LONG])):
             at = 0
             while at < len(some):
                 to, size = at, 0
@@ -145,6 +148,18 @@ class Coder:
                 self._contract(query, some[at:to])
                 at = to
 
+    def _long(self, part: list[tuple[int, bytes]]) -> None:
+        """Words of which a recursion would take time by the square of their length."""
+        import tiktoken
+
+        library = tiktoken.Encoding("long", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
+        for number, word in part:
+            ids = library.encode_ordinary(word.decode())
+            row = [number], [len(ids)], [" ".join(map(str, ids))], [library.decode_bytes(ids).decode("latin-1")]
+            self.db.register("long", pa.table([pa.array(row[0], pa.int32()), pa.array(row[1], pa.int32()), *map(pa.array, row[2:])], names=["word", "n", "ids", "chars"]))
+            self.db.execute("INSERT INTO known SELECT word, n, ids, chars FROM long")
+            self.db.unregister("long")
+
     def _contract(self, query: str, part: list[tuple[int, bytes]]) -> None:
         data = np.frombuffer(b"".join(w for _, w in part), np.uint8)
         length = np.array([len(w) for _, w in part])
@@ -267,9 +282,9 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, with_ids: bool = Fal
     ``pattern`` separately, without special tokens, and decoded from its ids.
 
     Null texts count as empty; empty texts have no tokens.  Very long texts are
-    coded in parts of so many matches, whole words always; a very long word takes
-    a step for each contraction at worst, so time grows with the square of its
-    length, memory with its length.  Repeated rows are coded each; an empty table
+    coded in parts of so many matches, whole words always.  Words of up to LONG
+    bytes are contracted by recursion, in time by the square of their length; longer
+    ones are coded by the library, with the same ids.  Repeated rows are coded each; an empty table
     gives an empty result; columns of ``docs`` with the names of results are
     replaced.  The ranks are read by the driver and
     travel with the tasks, their size is the file's.

@@ -67,6 +67,16 @@ def test_bpe(documents, awkward, library):
     assert byte_bpe.encode_decode(documents([]), RANKS, P.PATTERN).count() == 0
 
 
+def test_bpe_of_very_long_words_and_texts(library):
+    rng = random.Random(12)
+    random_word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100_000))
+    texts = ["ab" * 1_000_000, random_word, "y" + random_word[:16_384], "word and " * 1_200_000, "x" + "é" * 20_000 + " end"]
+    coder = byte_bpe.Coder(byte_bpe.read_ranks(RANKS), P.PATTERN)
+    for text, (n, ids, decoded) in zip(texts, coder.texts(texts), strict=True):
+        want = library.encode_ordinary(text)
+        assert n == len(want) and ids == " ".join(map(str, want)) and decoded == text.encode()
+
+
 def test_bpe_when_it_forgets_and_when_order_is_lost(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
     monkeypatch.setattr(byte_bpe, "AT_ONCE", 2)
