@@ -22,7 +22,7 @@ def upsert_batches(store: StateStore, as_of, decide: Callable[[DataFrame], DataF
     its successes done, so it changes nothing."""
 
     def handle(batch: DataFrame, _: int) -> None:
-        todo = skip_processed(batch, store.read())
+        todo = skip_processed(batch, store.read(batch))
         store.upsert(decide(todo), as_of)
 
     return handle

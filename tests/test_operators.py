@@ -1,5 +1,6 @@
 """Operators on small tables, with the traps that each decision is about."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 import pytest
@@ -83,6 +84,58 @@ def test_state_store(spark, tmp_path):
     assert store.read().count() == 2
 
 
+def folder_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_state_writes_what_a_run_brings(spark, tmp_path):
+    store = state.StateStore(spark, str(tmp_path))
+    store.upsert(spark.range(40_000).selectExpr("concat('https://a/', sha2(cast(id AS string), 256)) AS source_key", "'success' AS status", "'' AS reason", "'' AS article_date", "timestamp'2026-01-01' AS processed_at"), AS_OF)
+    before = folder_bytes(tmp_path)
+    store.upsert(records(spark, ("x", "success")), AS_OF)
+    assert folder_bytes(tmp_path) - before < before / 50
+    few = spark.createDataFrame([("x",), ("x",), ("y",)], "k string")
+    assert [(r["source_key"], r["status"]) for r in store.read(few, "k").collect()] == [("x", "success")]
+    assert store.read().count() == 40_001
+
+
+def test_state_bases(spark, tmp_path):
+    store, want = state.StateStore(spark, str(tmp_path), folders=3), {}
+    for i in range(12):
+        rows = [(f"k{i % 4}", "success" if i % 3 else "filtered"), (f"n{i}", "success")]
+        store.upsert(records(spark, *rows), AS_OF)
+        want |= dict(rows)
+        assert {r["source_key"]: r["status"] for r in store.read().collect()} == want
+    runs = store.runs()
+    assert any(r["base"] for r in runs) and len(runs) < 12
+    # Folders of versions that are gone from the table are gone too.
+    assert {p.name for p in tmp_path.iterdir() if p.name != "runs"} == {r["version"] for r in runs}
+    # Bases one upon another, with no run between, lose nothing.
+    store.compact()
+    store.compact()
+    assert {r["source_key"]: r["status"] for r in store.read().collect()} == want
+
+
+def test_state_of_two_writers(spark, tmp_path):
+    stores = [state.StateStore(spark, str(tmp_path), folders=100) for _ in range(2)]
+
+    def write(w):
+        for i in range(3):
+            stores[w].upsert(records(spark, (f"{w}-{i}", "success"), ("both", "filtered")), AS_OF)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, range(2)))
+    got = {r["source_key"] for r in stores[0].read().collect()}
+    assert got == {"both", *(f"{w}-{i}" for w in range(2) for i in range(3))}
+    # A run that begins before a base is made and ends after it still counts.
+    late = state.StateStore(spark, str(tmp_path))
+    seen = late.runs()
+    stores[0].compact()
+    late.runs = lambda: seen
+    late.upsert(records(spark, ("late", "success")), AS_OF)
+    assert "late" in {r["source_key"] for r in stores[0].read().collect()}
+
+
 def test_unreadable_state(spark, tmp_path):
     (tmp_path / "runs").mkdir()
     (tmp_path / "runs" / "part-0.parquet").write_text("not parquet")
