@@ -85,6 +85,7 @@ def mix(
     cap: int = 3,
     block_words: int = 16,
     shard_words: int = 16384,
+    lot_shards: int = 4096,
     seed: int = 17,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -97,30 +98,35 @@ def mix(
     one source, the last.  Repeated rows are rows of their own.  A run gives
     the same result again: order within a shard goes by a seeded hash of
     doc_id, then doc_id, then the text's hash; rows alike in all of these are
-    alike in any order.  An empty table gives an empty result.
+    alike in any order.  Very long texts are one row of their shard, which may so
+    be larger than others.  A source takes its target to within a block, and a
+    block more for each of its shards where ``cap`` cuts a block short; one whose
+    target is under half a block takes nothing.  An empty table gives an empty result.
     """
     base = cut(docs.select(*carry, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_fm_text")))
-    sizes = cut(targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, float(cap)))
-    total = sizes.agg(F.sum("source_size")).first()[0] or 0
-    shards = max(1, -(-total // shard_words))
-
+    sizes = targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, float(cap))
     null_safe = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # "t" sorts after every "s..."
-    spread = base.select("*", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(shards)).alias("shard"), null_safe.alias("party"))
-    streams = spread.groupBy("shard", "party").agg(F.sum("size").alias("length"))
-    own = sizes.select(null_safe.alias("party"), "source_size", "target")
-    votes = streams.join(F.broadcast(own) if sizes.count() <= BROADCAST_SOURCES else own, "party")
-    votes = votes.withColumn("votes", F.when(F.col("source_size") > 0, F.col("target") * F.col("length") / F.col("source_size")).otherwise(0.0))
-    each = Window.partitionBy("shard")
-    votes = votes.withColumn("seats", F.round(F.sum("votes").over(each) / block_words).cast("long"))
-    votes = cut(votes)
-    quotas = sainte_lague(votes.select("shard", "party", "votes", "seats"), "shard", "party", "votes", "seats")
-    quotas = cut(quotas.join(votes.select("shard", "party", "source_size", "target"), ["shard", "party"]))
+    own = cut(sizes.select(null_safe.alias("party"), "source_size", "target").withColumn("all", F.lit(0)))
+    sources = own.withColumn("seats", F.round(F.sum("target").over(Window.partitionBy("all")) / block_words).cast("long"))
+    won = sainte_lague(sources, "all", "party", "target", "seats").withColumnRenamed("quota", "seats")
+    own = cut(own.join(won.drop("all"), "party").withColumn("shards", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))))
+    own = F.broadcast(own) if own.count() <= BROADCAST_SOURCES else own
+
+    # By the text too, so that rows of one doc_id are spread.
+    deal = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_fm_text"), F.col("shards"))
+    spread = base.withColumn("party", null_safe).join(own, "party").withColumn("shard", deal)
+    streams = spread.groupBy("party", "shard").agg(F.sum("size").alias("length"))
+    streams = cut(streams.withColumn("lot", F.floor(F.col("shard") / lot_shards)))
+    lots = streams.groupBy("party", "lot").agg(F.sum("length").alias("length")).join(own.select("party", "seats"), "party")
+    lots = cut(sainte_lague(lots, "party", "lot", "length", "seats").withColumnRenamed("quota", "seats"))
+    shares = streams.join(lots, ["party", "lot"]).withColumn("lot", F.struct("party", "lot"))
+    quotas = cut(sainte_lague(shares, "lot", "shard", "length", "seats").select(F.col("lot.party").alias("party"), "shard", "quota"))
 
     stream = Window.partitionBy("shard", "party")
     order = stream.orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "_fm_text", "size")
     laid = spread.withColumn("at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
     laid = laid.withColumn("length", F.sum("size").over(stream))
-    got = laid.join(quotas, ["shard", "party"])
+    got = laid.join(quotas, ["party", "shard"])
     words = F.least(F.col("quota") * block_words, cap * F.col("length"))
     got = got.withColumn("passes", F.when(F.col("length") > 0, F.floor(words / F.col("length"))).otherwise(0).cast("long"))
     got = got.withColumn("rest", words - F.col("passes") * F.col("length"))

@@ -85,6 +85,38 @@ def test_mix(documents):
     assert sorted(map(key, out)) == sorted(map(key, again))
 
 
+def test_sources_get_their_targets_at_any_size(documents):
+    # Short texts of small sources beside a large source, and a doc_id that many rows share.
+    rows = [(i, "w " * 50, "big") for i in range(3000)] + [(7, f"x{i} " * 3, "short") for i in range(300)] + [(None, "one two", "few") for _ in range(40)] + [(9, "a b", "tiny")]
+    for shard_words, lot_shards in ((500, 7), (20, 50), (10**6, 4096)):
+        out = mixing.mix(documents(rows), shard_words=shard_words, lot_shards=lot_shards).collect()
+        assert len(out) == len(rows) and all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+        taken, target = defaultdict(int), {r["source"]: r["target"] for r in out}
+        for r in out:
+            taken[r["source"]] += r["taken"]
+        shards = {s: len({r["shard"] for r in out if r["source"] == s}) for s in target}
+        assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] + 16 for s in ("big", "tiny")), (taken, target)
+        assert all(abs(taken[s] - target[s]) <= 16 * shards[s] for s in target), (taken, target)
+
+
+def test_taken_equals_seats_given_one_by_one(documents):
+    rows = mix_rows(5, 200)
+    out = mixing.mix(documents(rows), shard_words=400, lot_shards=2).collect()
+    target = {("t" if r["source"] is None else "s" + r["source"]): r["target"] for r in out}
+    length, taken = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for r in out:
+        p = "t" if r["source"] is None else "s" + r["source"]
+        length[p][r["shard"]] += r["size"]
+        taken[p, r["shard"]] += r["taken"]
+    for p, seats in brute_seats(target, round(sum(target.values()) / 16)).items():
+        lots = defaultdict(dict)
+        for shard, n in length[p].items():
+            lots[shard // 2][shard] = n
+        for lot, n in brute_seats({k: sum(v.values()) for k, v in lots.items()}, seats).items():
+            for shard, quota in brute_seats(lots[lot], n).items():
+                assert taken[p, shard] == min(16 * quota, 3 * length[p][shard])
+
+
 def test_mixed_rows_hold_the_words_taken(documents):
     rows = mix_rows(4, 120)
     docs = documents(rows)
