@@ -101,7 +101,7 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, ran
         return Machine(-30.0, np.empty(0, np.int64), np.empty(0), np.empty((0, rank)))
     mean = float(np.clip((weights * labels).sum() / total, 1e-4, 1 - 1e-4))
     every, row, counts = np.unique(np.concatenate(examples), return_inverse=True, return_counts=True)
-    doc = np.repeat(np.arange(len(examples)), [len(x) for x in examples])
+    row, doc = row.astype(np.int32), np.repeat(np.arange(len(examples), dtype=np.int32), [len(x) for x in examples])
     pull = np.bincount(row, (weights * (labels - mean))[doc], len(every))
     noise = np.sqrt(np.bincount(row, (weights**2 * mean * (1 - mean))[doc], len(every)))
     frequent = counts >= least
@@ -117,7 +117,7 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, ran
         if epoch == (epochs + 1) // 2:
             chance = np.array([1 / (1 + np.exp(-np.clip(bias + w[p].sum(), -30, 30))) for p in places])
             order = np.argsort(row, kind="stable")
-            columns = [doc[x] for x, f in zip(np.split(order, np.cumsum(counts)[:-1]), frequent) if f]
+            columns = [x for x, f in zip(np.split(doc[order], np.cumsum(counts)[:-1]), frequent) if f]
             most = tuple(float(weights[labels == k].max(initial=0)) for k in (1, 0))
             paired = np.zeros(len(every), bool)
             paired[frequent] = strong_pairs(columns, len(examples), weights * (labels - chance), weights**2 * chance * (1 - chance), most)
@@ -158,7 +158,7 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, ran
             bias -= rate / np.sqrt(gb) * err.sum()
     v[np.abs(v).max(1, initial=0) < 0.02] = 0  # never told apart from its start
     known = (w != 0) | v.any(1)
-    return Machine(float(bias), terms[known], w[known], v[known])
+    return Machine(float(bias), terms[known].astype(np.int64), w[known], v[known])
 
 
 def terms_column(text: Column) -> Column:
@@ -203,12 +203,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, per_c
     small_batches(docs.sparkSession)
     sample, totals = labelled_sample(labels, "toxic", F.lit(True) if learn is None else learn, per_class)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    got = text.join(F.broadcast(sample), "doc_id").select("doc_id", "label", terms_column(F.col("text")).alias("terms")).toPandas()
-    got = got.sort_values(["doc_id", "label"], kind="stable")
-    y = got["label"].to_numpy(np.float64)
+    got = text.join(F.broadcast(sample), "doc_id").select("doc_id", "label", terms_column(F.col("text")).alias("terms")).toArrow()
+    got = got.take(np.lexsort((got["label"].to_numpy(), got["doc_id"].to_numpy())))
+    y, lists = got["label"].to_numpy().astype(np.float64), pa.concat_arrays(got["terms"].chunks) if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    examples = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]) if len(lists) else []
     held = np.array([max(1, int((y == k).sum())) for k in (0, 1)], np.float64)
     share = np.array([totals.get(k, 0) for k in (0, 1)], np.float64)
-    return fit([np.asarray(x, np.int64) for x in got["terms"]], y, (share / held)[y.astype(int)])
+    return fit(examples, y, (share / held)[y.astype(int)])
 
 
 def score(docs: DataFrame, model: Machine) -> DataFrame:
