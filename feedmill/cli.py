@@ -28,7 +28,7 @@ from .sources import archive
 def arguments(argv: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser("feedmill")
     p.add_argument("--config", help="configuration file")
-    p.add_argument("--input", required=True, help="folder with parquet tables listing_pages, feeds, sitemaps, messages, fetched, answers")
+    p.add_argument("--input", required=True, help="folder with parquet tables listing_pages, feeds, sitemaps, messages, fetched, answers, languages")
     p.add_argument("--state", required=True)
     p.add_argument("--results", required=True)
     p.add_argument("--site", help="only sources whose URL has this part")
@@ -81,7 +81,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     table = lambda name: spark.read.parquet(f"{args.input}/{name}") if "://" in args.input or Path(args.input, name).exists() else None
     try:
         answers = table("answers")
-        inputs = Inputs(*(table(n) for n in ("listing_pages", "feeds", "sitemaps", "messages", "fetched")))
+        inputs = Inputs(*(table(n) for n in ("listing_pages", "feeds", "sitemaps", "messages", "fetched", "languages")))
         result = run(spark, cfg, inputs, as_of, StateStore(spark, args.state), Replay(answers) if answers is not None else None)
         archive.write_items(result.items, args.results, as_of)
         archive.write_document(result.items.select(F.to_json(F.struct("source_key", "url", "title", "categories", "keywords")).alias("json")), args.results, as_of)

@@ -18,7 +18,7 @@ from .functions.answers import any_answer
 from .functions.dates import parse_iso
 from .functions.language import language
 from .functions.page import with_page
-from .operators import freshness, listings, lookup, outcome
+from .operators import freshness, languages, listings, lookup, outcome
 from .operators.state import StateStore, skip_processed
 from .provider import Provider, Replay
 from .sources.email import as_items, message_links, new_messages
@@ -35,7 +35,8 @@ class Inputs:
     listing_pages (url, html); feeds (source_url, feed_ord, http_status, xml);
     sitemaps (source_url, map_url, xml); messages (folder, email_id, subject,
     sender, sent_at, received_at, body); fetched (url, http_status, static_html,
-    rendered_html, crawled_html, fetch_method).
+    rendered_html, crawled_html, fetch_method); languages (gram, lang, weight), a
+    model that operators.languages learned, in place of the built-in profiles.
     """
 
     listing_pages: DataFrame | None = None
@@ -43,6 +44,7 @@ class Inputs:
     sitemaps: DataFrame | None = None
     messages: DataFrame | None = None
     fetched: DataFrame | None = None
+    languages: DataFrame | None = None
 
 
 @dataclass
@@ -189,7 +191,12 @@ def run(spark: SparkSession, cfg: Config, inputs: Inputs, as_of: datetime, store
     thin = reject(rows.where("prep.status = 'FAIL'"), "preparation", F.col("prep.reason"), F.col("fresh_at"))
     ready = rows.where("prep.status <> 'FAIL'").withColumn("content", F.col("prep.text")).drop("prep")
 
-    done = enrich(cfg, ready, provider).withColumn("language_detected", language(F.col("content"))).persist()
+    done = enrich(cfg, ready, provider)
+    if inputs.languages is None:
+        done = done.withColumn("language_detected", language(F.col("content"))).persist()
+    else:
+        done = done.persist()
+        done = done.join(languages.detect(done, inputs.languages, ("source_key",), "content", "language_detected"), "source_key")
     late = reject(done.where("reason is not null"), "enrichment", F.col("reason"), F.col("fresh_at"))
     items = done.where("reason is null").drop("reason").withColumn("title", text.normalize_title(F.col("title"))).orderBy(F.col("fresh_at").desc(), "source_key")
 

@@ -4,12 +4,13 @@ that gives the same rows.  Times are literal: 2001-01-01 and the like."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, keywords, scoring, text, urls
-from ..operators import candidates, freshness, listings, lookup, outcome, state
+from ..operators import candidates, freshness, languages, listings, lookup, near_copies, outcome, state
 
 #: Dictionary of the sample categories; "empty" has no keywords.
 CATEGORIES = {"legal": ["license", "einheit", "heit"], "flow": ["tion", "ment"], "empty": []}
@@ -579,19 +580,35 @@ def language_detect(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", "lang", language(F.col("text")).alias("found"))
 
 
-@query()
-def listing_near_copies(spark, sf):
-    """Greedy near copies among the articles of each page, by letters alike."""
-    import pandas as pd
+_GRAMS = """(SELECT {key}, n, unnest(list_concat(
+        list_transform(range(1, length(word) + 1), lambda i: substring(word, i, 1)),
+        list_transform(range(1, length(word) + 1), lambda i: substring(' ' || word || ' ', i, 3)))) AS gram FROM {words})"""
+
 
-    from ..functions.page import drop_near_copies
+@query(f"""WITH w AS (SELECT doc_id, lang, length(text) AS size, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{1,32}}')) AS word FROM documents),
+    lw AS (SELECT lang, word, count(*) AS n FROM w WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY 1, 2),
+    c AS (SELECT lang, gram, CAST(sum(n) AS BIGINT) AS n FROM {_GRAMS.format(key='lang', words='lw')} GROUP BY 1, 2),
+    top AS (SELECT DISTINCT gram FROM (SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS k FROM c) WHERE k <= 1000),
+    total AS (SELECT lang, sum(n) AS total FROM c JOIN top USING (gram) GROUP BY 1),
+    m AS (SELECT top.gram, total.lang, CAST(floor(1000 * ln((coalesce(c.n, 0) + 0.5) / (total.total + 0.5 * (SELECT count(*) FROM top)))) AS BIGINT) AS weight
+        FROM top CROSS JOIN total LEFT JOIN c ON c.gram = top.gram AND c.lang = total.lang),
+    dw AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY 1, 2),
+    s AS (SELECT g.doc_id, m.lang, sum(g.n * m.weight) AS score FROM {_GRAMS.format(key='doc_id', words='dw')} g JOIN m USING (gram) GROUP BY 1, 2),
+    best AS (SELECT doc_id, lang FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1)
+    SELECT d.doc_id, CASE WHEN d.size >= 50 THEN coalesce(best.lang, 'en') ELSE 'en' END AS found
+    FROM (SELECT doc_id, max(coalesce(length(text), 0)) AS size FROM documents GROUP BY 1) d LEFT JOIN best USING (doc_id)""")
+def language_learned(spark, sf):
+    """Languages by a model that is learned from four of five labelled texts."""
+    docs = _t(spark, sf, "documents")
+    return languages.detect(docs, languages.learn(docs.where("doc_id % 5 <> 0")))
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("pos").to_dict("records")
-        return pd.DataFrame(drop_near_copies(rows), columns=["conv_id", "pos", "date", "title"])
 
-    c = _t(spark, sf, "conversations").select("conv_id", F.col("turn").alias("pos"), F.col("role").alias("date"), F.col("text").alias("title"))
-    return c.groupBy("conv_id").applyInPandas(keep, "conv_id long, pos long, date string, title string").drop("title", "date")
+@query()
+def listing_near_copies(spark, sf):
+    """Greedy near copies among the articles of each page, by letters alike."""
+    c = _t(spark, sf, "conversations").select("conv_id", F.col("turn").alias("pos"), "role", "text")
+    mark = F.concat(F.coalesce("role", F.lit("None")), F.lit("|"), F.left(F.coalesce("text", F.lit("")), F.lit(30)))
+    return near_copies.first_unlike(c, "conv_id", "pos", mark, f"{_shared(spark)}/near-copies-{uuid.uuid4().hex}").select("conv_id", "pos")
 
 
 @query("""WITH d AS (SELECT DISTINCT event_id, ts, event_type FROM events) SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM d GROUP BY 1, 2""")

@@ -1,6 +1,8 @@
 """The whole pipeline, runs after each other, the command line and streams."""
 
 import json
+from dataclasses import replace
+from dataclasses import replace
 from datetime import UTC, datetime
 
 import pytest
@@ -240,3 +242,14 @@ def test_stream_without_repeats(spark, tmp_path):
     q = distinct_events(spark.readStream.schema("event_id long, ts timestamp_ntz").parquet(str(src))).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_run_with_a_learned_model_of_languages(spark, inputs, tmp_path):
+    """The model decides in place of the built-in profiles; an item's columns stay."""
+    from feedmill.operators import languages
+
+    texts = spark.createDataFrame([("xx", LONG * 3), ("en", "Nothing of interest was said here today at all by anyone. " * 3)], "lang string, text string")
+    plain = run(spark, from_dict(CFG), inputs, AS_OF, StateStore(spark, str(tmp_path / "a"))).items
+    learned = run(spark, from_dict(CFG), replace(inputs, languages=languages.learn(texts)), AS_OF, StateStore(spark, str(tmp_path / "b"))).items
+    assert sorted(plain.columns) == sorted(learned.columns) and plain.count() == learned.count()
+    assert {r["source_key"]: r["language_detected"] for r in learned.collect()}["web:https://site.de/news/a1"] == "xx"
