@@ -6,6 +6,9 @@ style sheets, see ``css``) decide what is shown; the renderer writes all visible
 text with blank lines between blocks, list markers with indentation, and table
 cells aligned in columns.  Trees of any depth are built and rendered without
 recursion: rendering steps are generators that hand their parts to one loop.
+
+The page is shown as a browser without scripts shows it: ``noscript`` is visible,
+a ``template`` never is, wherever it stands.
 """
 
 from __future__ import annotations
@@ -58,6 +61,11 @@ _ATTRIBUTE = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z
 TAG = re.compile(rf"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)(>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>\"'][^\s>]*+)|(?=>)|\Z))?+")
 SPACE = re.compile(r"[ \t\n\r\f]+")
+#: Elements that are taken out of the blocks that their end tag stands in.
+FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+#: Open elements within a formatting element up to which that is done; with more,
+#: its end tag ends the blocks in it.
+ADOPTED = 256
 
 
 class Node:
@@ -75,6 +83,22 @@ class Node:
         self.elements.append(child)
         self.children.append(child)
 
+    def drop_last(self) -> None:
+        """Take out the last element, which is the last child."""
+        self.elements.pop()
+        self.children.pop()
+
+    def wrap(self, inner: Node) -> Node:
+        """Put all children into ``inner``, the only child from now on."""
+        children, self.children, self.elements = self.children, [], []
+        for x in children:
+            if isinstance(x, str):
+                inner.children.append(x)
+            else:
+                inner.add(x)
+        self.add(inner)
+        return inner
+
 
 class Open:
     """The open elements, and where each tag stands among them."""
@@ -110,21 +134,44 @@ class Open:
             if not again:
                 return
 
+    def end_formatting(self, at: int) -> None:
+        """End the formatting element at ``at``.  Blocks that are open in it stay
+        open: each moves out of it, and what it holds so far goes into a copy."""
+        for _ in range(8):
+            block = next((i for i in range(at + 1, len(self.nodes)) if self.nodes[i].tag in BLOCKS), 0)
+            if not block or len(self.nodes) - at > ADOPTED:
+                self.cut(at)
+                return
+            element, *between = self.nodes[at:block]
+            moved, *within = self.nodes[block:]
+            self.nodes[block - 1].drop_last()
+            # Formatting between the two goes on around the block, in copies.
+            around = [Node(x.tag, dict(x.attrs)) for x in between if x.tag in FORMATTING]
+            parent = self.nodes[at - 1]
+            for x in [*around, moved]:
+                parent.add(x)
+                parent = x
+            copy = moved.wrap(Node(element.tag, dict(element.attrs)))
+            self.cut(at)
+            for x in [*around, moved, copy, *within]:
+                self.push(x)
+            at += len(around) + 1
+
 
 def build(html: str) -> Node:
     """The tree of a page; children are nodes and strings."""
     root, head, body = Node("html", {}), Node("head", {}), Node("body", {})
     root.add(head)
     root.add(body)
-    stack, at, n, in_body, find = Open([root]), 0, len(html), False, TAG.search
+    stack, at, n, in_body, find = Open([root, head]), 0, len(html), False, TAG.search
 
     def text(s: str) -> None:
         nonlocal in_body, stack
         if not s:
             return
-        if not in_body and not s.isspace():
+        if not (in_body or s.isspace() or stack.where.get("template")):
             in_body, stack = True, Open([root, body])
-        if in_body:
+        if in_body or len(stack.nodes) > 2:
             stack.nodes[-1].children.append(unescape(s) if "&" in s else s)
 
     while at < n:
@@ -139,31 +186,37 @@ def build(html: str) -> Node:
         tag = tag.lower()
         foreign = bool(stack.where.get("svg") or stack.where.get("math"))
         if m[1]:
+            inert = stack.where.get("template")
             if stack.nodes[-1].tag == tag and len(stack.nodes) > 2:
                 stack.cut(len(stack.nodes) - 1)
             elif tag == "br":
                 stack.nodes[-1].add(Node("br", {}))
             elif tag == "p" and not stack.where.get("p"):
-                if in_body:
+                if in_body or inert:
                     stack.nodes[-1].add(Node("p", {}))
             elif tag not in ("html", "body", "head"):
                 found = stack.last(HEADINGS if tag in HEADINGS else (tag,))
                 # A stray end tag does not leave its cell.
-                if found > 0 and (tag in LEAVES or tag in SCOPES and found >= stack.last(SCOPES) or found > stack.last(SCOPES)):
+                if found > 0 and tag in FORMATTING and found > stack.last(SCOPES):
+                    stack.end_formatting(found)
+                elif found > 0 and (tag == "template" or tag in LEAVES and found > stack.last(_TEMPLATE) or tag in SCOPES and found >= stack.last(SCOPES) or found > stack.last(SCOPES)):
                     stack.cut(found)
             continue
         attrs: dict[str, str] = {}
         if m[3] and not m[3].isspace():
             for a, x, y, z in ATTRIBUTE.findall(m[3]):
                 attrs.setdefault(a.lower(), unescape(x or y or z))
+        inert = bool(stack.where.get("template"))
         if tag in ("html", "head", "body"):
+            if inert:
+                continue
             if tag == "body":
                 in_body, stack = True, stack if in_body else Open([root, body])
             target = {"html": root, "head": head, "body": body}[tag]
             for k, v in attrs.items():
                 target.attrs.setdefault(k, v)
             continue
-        if not in_body and tag not in HEAD_ONLY:
+        if not (in_body or inert or tag in HEAD_ONLY):
             in_body, stack = True, Open([root, body])
         if tag in CLOSES_P:
             stack.close(_P, SCOPES)
@@ -171,26 +224,26 @@ def build(html: str) -> Node:
             stack.close(*IMPLIED[tag])
         if tag in HEADINGS and stack.nodes[-1].tag in HEADINGS:
             stack.cut(len(stack.nodes) - 1)
-        if tag == "a" and not foreign:
-            stack.close(_A, SCOPES)
+        if tag == "a" and not foreign and (found := stack.last(_A)) > stack.last(SCOPES):
+            stack.end_formatting(found)
         node = Node(tag, attrs)
         if tag in ("td", "th") and stack.nodes[-1].tag in ("table", "tbody", "thead", "tfoot"):
             row = Node("tr", {})
             stack.nodes[-1].add(row)
             stack.push(row)
-        (stack.nodes[-1] if in_body else head).add(node)
+        stack.nodes[-1].add(node)
         done = m[3].endswith("/") and (foreign or tag in ("svg", "math"))
         if tag in RAW and not done:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
             inner = html[at : end.start() if end and tag != "plaintext" else n]
             at = end.end() if end and tag != "plaintext" else n
             node.children.append(unescape(inner) if tag in ("textarea", "title") else inner)
-        elif tag not in VOID and not done and in_body:
+        elif tag not in VOID and not done and (in_body or inert or tag == "template"):
             stack.push(node)
     return root
 
 
-_P, _A = frozenset(["p"]), frozenset(["a"])
+_P, _A, _TEMPLATE = frozenset(["p"]), frozenset(["a"]), frozenset(["template"])
 #: End tags that leave a cell.
 LEAVES = frozenset("table tr tbody thead tfoot td th caption".split())
 
@@ -202,7 +255,8 @@ def sheets(node: Node) -> Cascade:
         x = todo.pop()
         if x.tag == "style" and x.attrs.get("type", "").strip().lower() in ("", "text/css") and media(x.attrs.get("media", "")):
             found.add("".join(c for c in x.children if isinstance(c, str)))
-        todo.extend(reversed(x.elements))
+        if x.tag != "template":
+            todo.extend(reversed(x.elements))
     return found
 
 
