@@ -36,8 +36,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest doc_id, null
-    first.  Candidates come from wide SimHash fingerprints; links are verified: 0.8
-    or more of the five-word shingles of whole texts are shared.  Texts without
+    first.  Candidates come from SimHash fingerprints through op5's pigeonhole index,
+    and from bands of min-hashes where fingerprints are further apart; links are
+    verified: 0.8 or more of the five-word shingles of whole texts are shared.  Texts without
     words, null or empty, are one group.  An empty table stays empty."""
     return similar.first_of_alike(docs)
 

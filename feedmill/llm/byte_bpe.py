@@ -14,6 +14,7 @@ order.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import sys
 import types
@@ -252,6 +253,14 @@ def give_back(mark: str) -> None:
     sys.modules["_feedmill_worker"].__dict__["mark"] = mark
 
 
+def release() -> None:
+    """Drop what this worker remembers, where it now serves something else."""
+    held = sys.modules.get("_feedmill_worker")
+    if held is not None and held.__dict__.pop("coder", None) is not None:
+        held.__dict__["mark"] = None
+        gc.collect()
+
+
 def coded(text: Column, ranks: dict[bytes, int], pattern: str, with_ids: bool = False) -> Column:
     """Struct column: n_tokens, ids_sha256, decoded_sha256, and with ``with_ids``
     the ids joined by spaces and the decoded text."""

@@ -1,12 +1,15 @@
 """Near-duplicates that share most of their word shingles.
 
 Two texts are alike if the sets of their five-word shingles have a Jaccard
-similarity of 0.8 or more.  SimHash fingerprints of 64 bits can't tell that: texts so
-alike differ in about seven bits.  So candidates come from bands of min-hashes, a
-constant number for each text whatever the corpus; those whose fingerprints are far
-apart or whose min-hash bits differ too much are no pair, and pairs are verified by
-their shingles.  A pair at the limit shares no band with a chance of one in a hundred,
-one more alike far less.
+similarity of 0.8 or more.  Candidates come from SimHash fingerprints through the
+generalised pigeonhole index (simhash.py): partitions and thresholds by dynamic
+programming, probes, and all 64 bits compared.  Texts at the limit differ in about
+seven bits and more, which no index of 64 bits finds in a large corpus, so bands of
+min-hashes, a constant number for each text whatever the corpus, bring those that
+the index can't reach; of these, units whose fingerprints are far apart or whose
+min-hash bits differ too much are no pair.  All pairs are verified by their shingles.
+A pair at the limit shares no band with a chance of one in a hundred, one more alike
+far less.
 
 Texts with the same shingles are one unit.  A key with many units is not joined
 pairwise: its units meet one of them, another in each band, and those that are
@@ -27,9 +30,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, marked, marks, small_batches
+from .byte_bpe import release
+from .common import bounded, cut, marked, marks, small_batches
 from .exact_dedup import located, without
-from .simhash import _majority, components
+from .simhash import _majority, components, links
 
 #: Units of a key, from which on it isn't joined pairwise.
 HOT_KEY = 48
@@ -110,6 +114,7 @@ def sketches(text: Column, size: int) -> Column:
 
     @F.arrow_udf("struct<unit: long, n: int, first: long, mins: array<long>, bands: array<long>>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in texts:
             units, counts, firsts, mins, keys = [], [], [], [], []
             for x in batch.to_pylist():
@@ -134,6 +139,7 @@ def sketches(text: Column, size: int) -> Column:
 def shingle_sets(text: Column, size: int) -> Column:
     @F.arrow_udf("array<long>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in texts:
             yield pa.array([np.unique(shingles(word_hashes(x), size)).view(np.int64) for x in batch.to_pylist()], pa.list_(pa.int64()))
 
@@ -183,7 +189,18 @@ def _banded(turn: int):
     return rows
 
 
-def _candidates(units: DataFrame, similarity: float) -> DataFrame:
+def _indexed(units: DataFrame) -> DataFrame:
+    """Pairs (a, b) of units by the pigeonhole index of their fingerprints.  Units of
+    one fingerprint meet the least of them, which stands for it in links."""
+    fps = cut(units.groupBy("first").agg(F.min("unit").alias("least"), F.count("*").alias("size")))
+    found = cut(links(fps.select(F.col("first").alias("fp"))))
+    least = lambda c, fp: fps.select(F.col("first").alias(fp), F.col("least").alias(c))
+    near = found.withColumnsRenamed({"a": "fa", "b": "fb"}).join(least("a", "fa"), "fa").join(least("b", "fb"), "fb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    shared = bounded(fps.where("size > 1").select("first", "least"))
+    return near.unionByName(units.join(shared, "first").where("unit <> least").select(F.col("least").alias("a"), F.col("unit").alias("b")))
+
+
+def _banded_pairs(units: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of units that share a band, nearly a fingerprint, and min-hash
     bits and sizes as sets of the similarity do."""
     schema = "part int, key long, unit long, first long"
@@ -227,15 +244,15 @@ def alike(docs: DataFrame, words: int = 5, similarity: float = 0.8, carry: tuple
     small_batches(docs.sparkSession)
     rows = cut(docs.select("doc_id", *carry, "text", sketches(F.col("text"), words).alias("s")).select("doc_id", *carry, "text", "s.*"))
     units = cut(rows.where("n > 0").groupBy("unit").agg(*(F.first(c).alias(c) for c in ("n", "first", "mins", "bands"))))
-    pairs = cut(_candidates(units, similarity))
+    pairs = cut(_indexed(units).unionByName(_banded_pairs(units, similarity)).distinct())
     asked = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
     # Only texts of units that are asked for are shuffled; each map task folds copies first.
     texts = marked(rows.select("unit", "text"), ["unit"], marks(asked, ["unit"])).where("_fm_marked").groupBy("unit").agg(F.min("text").alias("text"))
     sets = cut(texts.select("unit", shingle_sets(F.col("text"), words).alias("set")))
     side = lambda c: sets.select(F.col("unit").alias(c), F.col("set").alias(f"s{c}"))
     both = F.size(F.array_intersect("sa", "sb"))
-    links = pairs.join(side("a"), "a").join(side("b"), "b").where(both >= similarity * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-    rooted = components(links)
+    alike = pairs.join(side("a"), "a").join(side("b"), "b").where(both >= similarity * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    rooted = components(alike)
     return rows.join(rooted.withColumnRenamed("node", "unit"), "unit", "left").select("doc_id", *carry, F.coalesce("root", "unit").alias("root"))
 
 

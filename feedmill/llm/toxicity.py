@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .byte_bpe import release
 from .common import bucket, cut, small_batches
 
 SPACE = 1 << 20
@@ -164,6 +165,7 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, ran
 def terms_column(text: Column) -> Column:
     @F.arrow_udf("array<int>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         memory: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             yield pa.array([text_terms(x, memory) for x in batch.to_pylist()], pa.list_(pa.int32()))
@@ -174,6 +176,7 @@ def terms_column(text: Column) -> Column:
 def score_column(text: Column, model: Machine) -> Column:
     @F.arrow_udf("double")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         at = {int(t): i for i, t in enumerate(model.terms)}
         known = lambda word: tuple(at[t] for t in word_terms(word) if t in at)
         memory: dict[str, tuple[int, ...]] = {}

@@ -125,3 +125,36 @@ def test_sets_of_bits_follow_size():
         bits, number = similar.plan(size)
         assert size * similar.SHARED**bits <= similar.HOT_KEY and number * similar.ALIKE**bits >= similar.MEETINGS
     assert (similar.masks(12, 5, 0) != similar.masks(12, 5, 1)).any()
+
+
+def test_candidates_by_the_pigeonhole_index(spark, monkeypatch):
+    """Fingerprints go through partitions with thresholds and probes: what is within
+    three bits is linked, without any band."""
+    rng = np.random.default_rng(7)
+    fps = [int(x) for x in rng.integers(-(2**63), 2**63, 60)]
+    fps += [f ^ sum(1 << int(b) for b in rng.choice(63, n, replace=False)) for f in fps for n in (1, 3)] + fps[:5]
+    units = spark.createDataFrame(list(enumerate(fps)), "unit long, first long")
+    got = {(r["a"], r["b"]) for r in similar._indexed(units).collect()}
+    least = {f: i for i, f in reversed(list(enumerate(fps)))}
+    want = {tuple(sorted((least[f], least[g]))) for f, g in combinations(least, 2) if ((f ^ g) & (2**64 - 1)).bit_count() <= 3}
+    assert got == want | {(least[f], i) for i, f in enumerate(fps) if least[f] != i}
+
+    words = [f"word{i}" for i in range(3_000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "more"])), (3, " ".join(reversed(words)))]
+    monkeypatch.setattr(similar, "_banded_pairs", lambda units, similarity: units.sparkSession.createDataFrame([], "a long, b long"))
+    root = dict(similar.alike(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "root").collect())
+    assert root[1] == root[2] != root[3]
+
+
+def test_memory_of_the_coder_is_dropped():
+    import sys
+
+    from feedmill.llm import byte_bpe
+
+    ranks = {bytes([i]): i for i in range(256)}
+    byte_bpe.worker_coder(ranks, r"\w+", "m")
+    byte_bpe.give_back("m")
+    byte_bpe.release()
+    byte_bpe.release()
+    assert "coder" not in vars(sys.modules["_feedmill_worker"])
+    assert byte_bpe.worker_coder(ranks, r"\w+", "m").texts(["ab"]) is not None
