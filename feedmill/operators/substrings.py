@@ -1,8 +1,9 @@
 """Joins on "text contains word" for large sets of words, and on "text starts with".
 
 A word is found through its anchor, three of its bytes that few words have.  Each
-text is read once for the anchors in it, by a set of bits of 2 MB; only words whose
-anchor a text has are tested against it.  No word meets a text without one.
+text is read once for the anchors in it, by a set of bits of 8 MB; only words whose
+anchor a text has are tested against it, and only where the anchor is.  No word meets
+a text without one, and texts are not repeated for words.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ BROADCAST_WORDS = 100_000
 GRAM = 3
 #: Bits of the set of anchors, and of the set of prefixes.
 ANCHORS, MARKS = GRAM + 1 << 24, 1 << 26
+#: Bytes of a text that are searched at once.
+PART = 1 << 20
 
 
 def _grams(word: Column) -> Column:
@@ -76,6 +79,60 @@ def anchors_in(text: Column, codes: DataFrame) -> Column:
     return of(text.cast("binary"))
 
 
+def words_in(text: Column, words: list[tuple[int, str]]) -> Column:
+    """Numbers of the ``words`` (anchor, word) that a text contains, each once.
+
+    An anchor has its place in a word, so the word can only be around it: there eight
+    bytes are compared, and of longer words the rest."""
+    raw = [w.encode() for _, w in words]
+    codes, starts = np.unique(np.array([c for c, _ in words], np.int32), return_index=True)
+    number = np.diff(np.append(starts, len(words)))
+    size = np.array([len(w) for w in raw], np.int64)
+    ahead = np.array([w.index((c & 0xFFFFFF).to_bytes(c >> 24, "big")) for w, (c, _) in zip(raw, words)], np.int64)
+    head = np.array([int.from_bytes(w[:8], "little") for w in raw], np.uint64)
+    whole = np.array([(1 << 8 * min(len(w), 8)) - 1 for w in raw], np.uint64)
+    longest, lengths = int(size.max()), np.unique(codes >> 24).tolist()
+    mixed = lambda code: (code.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(12)
+    slots = np.zeros(1 << 20, bool)  # few places have an anchor's slot without the anchor
+    slots[mixed(codes)] = True
+
+    def found_in(x: bytes) -> np.ndarray:
+        b = np.frombuffer(x + bytes(8), np.uint8)
+        n, wide, hits = len(x), b.astype(np.uint64), []
+        for k in (1, 2, 4):  # the eight bytes from each place on
+            wide[:-k] |= wide[k:] << np.uint64(8 * k)
+        for k in lengths:
+            if n >= k:
+                code = sum((b[i : n - k + 1 + i].astype(np.int32) << 8 * (k - 1 - i) for i in range(k)), np.full(n - k + 1, k << 24, np.int32))
+                here = np.flatnonzero(slots[mixed(code)])
+                at = np.searchsorted(codes, code[here]).clip(max=len(codes) - 1)
+                same = codes[at] == code[here]
+                hits.append((here[same], at[same]))
+        here, anchor = map(np.concatenate, zip(*hits)) if hits else (np.empty(0, np.int64), np.empty(0, np.int64))
+        each = number[anchor]
+        begin = np.cumsum(each) - each
+        word = np.arange(each.sum()) - np.repeat(begin - starts[anchor], each)
+        at = np.repeat(here, each) - ahead[word]
+        fits = (at >= 0) & (at + size[word] <= n)
+        word, at = word[fits], at[fits]
+        word, at = (v[wide[at] & whole[word] == head[word]] for v in (word, at))
+        long = size[word] > 8
+        same = [x.startswith(raw[w], p) for w, p in zip(word[long].tolist(), at[long].tolist())]
+        return np.unique(np.concatenate((word[~long], word[long][np.array(same, bool)])))
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            found = []
+            for x in batch.to_pylist():
+                x = x or b""
+                parts = [found_in(x[i : i + PART + longest - 1]) for i in range(0, len(x), PART)]
+                found.append(np.unique(np.concatenate(parts)).astype(np.int32) if parts else np.empty(0, np.int32))
+            yield pa.array(found, pa.list_(pa.int32()))
+
+    return of(text.cast("binary"))
+
+
 def containing(texts: DataFrame, words: DataFrame, key: str, text: str = "text") -> DataFrame:
     """key, word: a row for each row of ``texts`` and distinct word of ``words``
     (word) that it contains, case and all.
@@ -85,14 +142,18 @@ def containing(texts: DataFrame, words: DataFrame, key: str, text: str = "text")
     must have the same text.  Other columns are not read.
     """
     known = anchors(words)
-    shared = known.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
+    few = known.limit(BROADCAST_WORDS + 1).collect()
     slim = texts.select(F.col(key).alias("_fm_key"), F.col(text).alias("_fm_text"))
-    rows = slim.withColumn("code", F.explode(anchors_in(F.col("_fm_text"), known.select("code"))))
-    holds = F.contains(F.col("_fm_text"), F.col("word"))
-    if shared:
-        return rows.join(F.broadcast(known), "code").where(holds).select(F.col("_fm_key").alias(key), "word")
-    pairs = rows.select("_fm_key", "code").join(known, "code").select("_fm_key", "word").distinct()
-    return pairs.join(slim, "_fm_key").where(holds).select(F.col("_fm_key").alias(key), "word")
+    if not few:
+        return slim.select(F.col("_fm_key").alias(key), F.lit(None).cast("string").alias("word")).where(F.lit(False))
+    if len(few) <= BROADCAST_WORDS:
+        by_anchor = sorted((r["code"], r["word"]) for r in few)
+        numbers = texts.sparkSession.createDataFrame([(i, w) for i, (_, w) in enumerate(by_anchor)], "_fm_word int, word string")
+        found = slim.select("_fm_key", F.explode(words_in(F.col("_fm_text"), by_anchor)).alias("_fm_word"))
+        return found.join(F.broadcast(numbers), "_fm_word").select(F.col("_fm_key").alias(key), "word")
+    rows = slim.select("_fm_key", F.explode(anchors_in(F.col("_fm_text"), known.select("code"))).alias("code"))
+    pairs = rows.join(known, "code").select("_fm_key", "word").distinct()
+    return pairs.join(slim, "_fm_key").where(F.contains(F.col("_fm_text"), F.col("word"))).select(F.col("_fm_key").alias(key), "word")
 
 
 def prefixed(texts: DataFrame, words: DataFrame, text: str) -> DataFrame:

@@ -22,6 +22,18 @@ def test_containing(spark, monkeypatch, most):
     assert substrings.containing(spark.createDataFrame(texts, "id long, text string"), none, "id").count() == 0
 
 
+def test_containing_does_not_repeat_texts(spark, monkeypatch):
+    """Words of over eight bytes, over the ends of parts and of texts; no row holds a
+    text for each word."""
+    monkeypatch.setattr(substrings, "PART", 16)
+    rng = random.Random(4)
+    texts = [(i, "".join(rng.choices("ab é\x00", k=rng.randint(0, 80)))) for i in range(200)]
+    words = sorted({"".join(rng.choices("ab é\x00", k=rng.randint(1, 14))) for _ in range(300)} | {t[9:30] for _, t in texts} | {t[-12:] for _, t in texts})
+    found = substrings.containing(spark.createDataFrame(texts, "id long, text string"), spark.createDataFrame([(w,) for w in words], "word string"), "id")
+    assert sorted(map(tuple, found.collect())) == sorted((i, w) for i, t in texts for w in words if w and w in t)
+    assert "Contains" not in (plan := found._jdf.queryExecution().optimizedPlan().toString()) and "contains(" not in plan
+
+
 @pytest.mark.parametrize("contains", [False, True])
 def test_many_sources_as_few(spark, monkeypatch, contains):
     rng = random.Random(2)
