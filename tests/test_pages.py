@@ -153,3 +153,32 @@ def test_random_markup_never_fails():
 def test_languages(code, text):
     profiles = {c: language.profile(w) for c, w in language.SAMPLES.items()}
     assert language.detect(text, profiles) == code
+
+
+def test_languages_as_by_plain_counting():
+    """Ranks and distances by a loop over words, on odd texts."""
+    import random
+    import time
+    from collections import Counter
+
+    def ranked(text):
+        counts = Counter()
+        for word in text.lower().split():
+            w = f" {''.join(c for c in word if c.isalpha())} "
+            if len(w) > 2:
+                counts.update(w[i : i + n] for n in (2, 3) for i in range(len(w) - n + 1))
+        return {g: i for i, g in enumerate(sorted(counts, key=lambda g: (-counts[g], g))[: language.SIZE])}
+
+    rng = random.Random(9)
+    profiles = {c: language.profile(w) for c, w in language.SAMPLES.items()}
+    assert profiles == {c: ranked(w) for c, w in language.SAMPLES.items()}
+    texts = ["".join(rng.choices("abé ß日İΣ\x00\u2003𐐀1-'.\n", k=rng.randint(0, 400))) for _ in range(200)] + [" ".join(rng.choices(" ".join(language.SAMPLES.values()).split(), k=1500)) for _ in range(20)]
+    for t in texts:
+        assert language.profile(t) == ranked(t)
+        own = ranked(t.strip()[: language.MOST])
+        far = {c: sum(abs(r - p[g]) if g in p else language.SIZE for g, r in own.items()) for c, p in profiles.items()}
+        assert language.detect(t, profiles) == ("en" if len(t.strip()) < language.LEAST or not own else min(far, key=lambda c: (far[c], c)))
+
+    kept, long = language._sorted(profiles), texts[-20:] * 3
+    timed = lambda f: (start := time.process_time(), [f(t[: language.MOST]) for t in long], time.process_time() - start)[2]
+    assert min(timed(lambda t: language._closest(t, kept)) for _ in range(3)) < 0.7 * min(timed(ranked) for _ in range(3))
