@@ -3,13 +3,17 @@
 Learning is an aggregation: words by language, then their runs of letters.  The
 model is a table (gram, lang, weight) of at most ``per_language`` runs of each
 language, so it can be kept as Parquet and broadcast whatever it was learned from.
-Scoring is a join of a text's runs with the model and a sum by text.
+Scoring folds a text's runs where it lies, joins those that the model has with it,
+and sums by text.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +27,8 @@ MOST_LANGUAGES = 200
 #: Texts under this many characters are not judged.
 LEAST, FALLBACK = 50, "en"
 MODEL = "gram string, lang string, weight long"
+#: Letters that are counted at once; a multiple of WORD, so that words are cut alike.
+PART = WORD << 12
 
 
 def words(text: Column) -> Column:
@@ -66,13 +72,75 @@ def learn(texts: DataFrame, text: str = "text", lang: str = "lang", per_language
     return texts.sparkSession.createDataFrame([(r["gram"], c, weight(r["n"].get(c, 0), c)) for r in rows for c in codes], MODEL)
 
 
+def _code(gram: str) -> int:
+    """21 bits for each letter."""
+    return sum(ord(c) << 21 * i for i, c in enumerate(reversed(gram)))
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text of letters and spaces in parts of at most PART, between words; words
+    that are longer still are cut where ``words`` does."""
+    while len(text) > PART:
+        at = text.rfind(" ", 0, PART) + 1 or PART
+        yield text[:at]
+        text = text[at:]
+    yield text
+
+
+def _counted(texts: list[tuple[int, str]], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (number, letters and spaces) the number, the places of runs among ``codes``,
+    and how often each occurs."""
+    c = np.frombuffer(f" {' '.join(t for _, t in texts)} ".encode("utf-32-le"), np.uint32).astype(np.int64)
+    of = np.repeat(np.array([i for i, _ in texts]), [len(t) + 1 for _, t in texts])
+    of = np.append(of[:1], of)
+    letter, place = c != 32, np.arange(len(c))
+    inside = place - np.maximum.accumulate(np.where(letter, 0, place)) - 1
+    if (ends := np.flatnonzero(letter & (inside > 0) & (inside % WORD == 0))).size:
+        c, of, letter = np.insert(c, ends, 32), np.insert(of, ends, of[ends]), np.insert(letter, ends, False)
+    at = np.flatnonzero(letter)
+    runs = np.concatenate((c[at], c[at - 1] << 42 | c[at] << 21 | c[at + 1]))
+    gram = np.searchsorted(codes, runs).clip(max=len(codes) - 1)
+    known = codes[gram] == runs
+    both, n = np.unique((np.concatenate((of[at], of[at])) * len(codes) + gram)[known], return_counts=True)
+    return both // len(codes), both % len(codes), n
+
+
+def known_runs(text: Column, grams: list[str]) -> Column:
+    """Of a text array<struct<gram, n>>: numbers of those of ``grams`` that it has, and
+    how often; the same one more than once where a text is counted in parts."""
+    number = {_code(g): i for i, g in enumerate(grams) if len(g) in SIZES}
+    codes = np.array(sorted(number), np.int64)
+    numbers = np.array([number[c] for c in codes.tolist()], np.int32)
+
+    @F.arrow_udf("array<struct<gram: int, n: long>>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            held, size, found = [], 0, []
+            for i, text in enumerate(batch):
+                for part in _parts(text.as_py() or "") if len(codes) else ():
+                    held.append((i, part))
+                    size += len(part)
+                    if size >= PART:
+                        found.append(_counted(held, codes))
+                        held, size = [], 0
+            if held:
+                found.append(_counted(held, codes))
+            row, gram, n = map(np.concatenate, zip(*found)) if found else (np.empty(0, np.int64),) * 3
+            starts = np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32)
+            yield pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays([pa.array(numbers[gram], pa.int32()), pa.array(n, pa.int64())], ["gram", "n"]))
+
+    letters = F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")
+    return of(letters)
+
+
 def detect(texts: DataFrame, model: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text", found: str = "found") -> DataFrame:
     """The keys and the language that scores highest, ties by code.
 
     Texts under LEAST characters, null ones, those without a run of the model, and
     all texts where the model is empty, are FALLBACK.  Whole texts are read.  Rows
-    that share their keys count as one text and give one row.  Sums are made where
-    a text lies, so a text shuffles one row for each task that reads it."""
+    that share their keys count as one text and give one row.  Runs are counted and
+    sums made where a text lies, so a text is joined with each run of the model once
+    at most, and shuffles one row for each task that reads it."""
     codes = [r[0] for r in model.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
     if len(codes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
@@ -80,9 +148,12 @@ def detect(texts: DataFrame, model: DataFrame, keys: tuple[str, ...] = ("doc_id"
         return texts.select(*keys).distinct().withColumn(found, F.lit(FALLBACK))
     wide = model.groupBy("gram").pivot("lang", codes).agg(F.first("weight"))
     wide = wide.select(F.col("gram").alias("_gram"), *(F.col(f"`{c}`").alias(f"_w{i}") for i, c in enumerate(codes)))
-    own = texts.select(*keys, F.coalesce(F.char_length(text), F.lit(0)).alias("_size"), F.explode_outer(words(F.col(text))).alias("_word"))
-    runs = own.select(*keys, "_size", F.explode_outer(grams(F.col("_word"))).alias("_gram"))
-    sums = runs.join(F.broadcast(wide), "_gram", "left").groupBy(*keys).agg(F.max("_size").alias("_size"), *(F.sum(f"_w{i}").alias(f"_w{i}") for i in range(len(codes))))
+    grams = [r[0] for r in model.where("gram is not null").select("gram").distinct().orderBy("gram").collect()]
+    numbers = texts.sparkSession.createDataFrame(list(enumerate(grams)), "_run int, _gram string")
+    wide = wide.join(F.broadcast(numbers), "_gram").drop("_gram")
+    own = texts.select(*keys, F.coalesce(F.char_length(text), F.lit(0)).alias("_size"), known_runs(F.col(text), grams).alias("_runs"))
+    runs = own.select(*keys, "_size", F.inline_outer("_runs").alias("_run", "_n"))
+    sums = runs.join(F.broadcast(wide), "_run", "left").groupBy(*keys).agg(F.max("_size").alias("_size"), *(F.sum(F.col(f"_w{i}") * F.col("_n")).alias(f"_w{i}") for i in range(len(codes))))
     scores = F.array(*(F.col(f"_w{i}") for i in range(len(codes))))
     best = F.element_at(F.array(*map(F.lit, codes)), F.array_position(scores, F.array_max(scores)).cast("int"))
     return sums.select(*keys, F.when((F.col("_size") >= LEAST) & F.col("_w0").isNotNull(), best).otherwise(FALLBACK).alias(found))

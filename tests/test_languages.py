@@ -87,3 +87,16 @@ def test_plan_broadcasts_the_model(spark, model):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = languages.detect(d, model)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_runs_fold_where_the_text_lies(spark, model, monkeypatch):
+    """A text has a row for each run of the model that it has, not for each place; the
+    counts are those of the expressions that the model is learned by."""
+    monkeypatch.setattr(languages, "PART", 64)
+    texts = [*SAMPLES.values(), "", None, "ab" * 100, "x" * 33 + " y", "é1é" * 20, " a  b ", "𐐀𐐁𐐂 " * 5, ("Wort " * 30 + "z" * 70) * 3]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    grams = [r[0] for r in model.select("gram").distinct().orderBy("gram").collect()] + ["x", " y ", "zzz"]
+    rows = d.select("doc_id", languages.known_runs(F.col("text"), grams).alias("r")).select("doc_id", F.inline("r")).groupBy("doc_id", "gram").agg(F.sum("n").alias("n")).collect()
+    plain = d.select("doc_id", F.explode(languages.words(F.col("text"))).alias("w")).select("doc_id", F.explode(languages.grams(F.col("w"))).alias("gram"))
+    want = plain.where(F.col("gram").isin(grams)).groupBy("doc_id", "gram").agg(F.count("*").alias("n")).collect()
+    assert {(r["doc_id"], grams[r["gram"]]): r["n"] for r in rows} == {(r["doc_id"], r["gram"]): r["n"] for r in want}
