@@ -182,3 +182,36 @@ def test_languages_as_by_plain_counting():
     kept, long = language._sorted(profiles), texts[-20:] * 3
     timed = lambda f: (start := time.process_time(), [f(t[: language.MOST]) for t in long], time.process_time() - start)[2]
     assert min(timed(lambda t: language._closest(t, kept)) for _ in range(3)) < 0.7 * min(timed(ranked) for _ in range(3))
+
+
+def test_pages_are_read_a_few_at_a_time(spark, monkeypatch):
+    """A tree goes with its page, batches are small, and rows stay in order."""
+    import gc
+    import weakref
+    from datetime import UTC, datetime
+
+    from pyspark.sql import functions as F
+
+    from feedmill import dom
+    from feedmill.functions import page
+
+    class Tied(dom.Node):
+        __slots__ = ("__weakref__",)
+
+    monkeypatch.setattr(dom, "Node", Tied)
+    gc.disable()
+    try:
+        root = dom.parse("<div><p>a<b>c</b></p></div>")
+        seen = weakref.ref(next(root.find_all("b")))
+        dom.free(root)
+        del root
+        assert seen() is None
+    finally:
+        gc.enable()
+    monkeypatch.undo()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    rows = spark.range(3 * page.AT_ONCE + 7).coalesce(1).select("id", F.concat(F.lit('<a href="/x">number '), F.col("id").cast("string"), F.lit("</a>")).alias("html"), F.lit("https://a.de/").alias("url"))
+    got = page.with_page(rows, datetime(2024, 1, 31, tzinfo=UTC), parts=("links",)).selectExpr("id", "page.links[0].text").collect()
+    assert len(got) == 3 * page.AT_ONCE + 7 and all(t == f"number {i}" for i, t in got)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= page.BATCH
+    assert page.with_page(rows.where("false"), datetime(2024, 1, 31, tzinfo=UTC), parts=("links",)).count() == 0
