@@ -87,8 +87,9 @@ def feed_entries(feeds: DataFrame, mode: str = "both", least_title: int = 8) ->
     """source_url, pos, title, url, description, published of the entries that
     have a link and a title.  ``mode``: where dates come from, the feed's
     fields, the URL, or the URL where the fields have none; ``each`` gives own and
-    by_url instead of published."""
-    rows = first_valid(feeds).select("source_url", F.explode("feed.entries").alias("e")).select("source_url", "e.*")
+    by_url instead of published.  Entries are dealt to all tasks once they are rows,
+    so those of one large feed are not judged by the task that read it."""
+    rows = first_valid(feeds).select("source_url", F.explode("feed.entries").alias("e")).select("source_url", "e.*").repartition("source_url", "pos")
     own = F.coalesce(*[_said(F.col(c)) for c in ("published", "updated", "created")])
     by_url = urls.dated(F.col("url")).cast("timestamp")
     when = {"feed_fields": [own.alias("published")], "url_pattern": [by_url.alias("published")], "both": [F.coalesce(own, by_url).alias("published")], "each": [own.alias("own"), by_url.alias("by_url")]}[mode]

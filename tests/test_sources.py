@@ -185,3 +185,13 @@ def test_null_fields_are_left_out(spark):
 
     d = spark.createDataFrame([("a", None, "body")], "id string, author string, content string")
     assert d.select(output_json(F.struct("*"))).first()[0] == '{"id":"a"}'
+
+
+def test_entries_of_one_feed_are_dealt_to_all_tasks(spark):
+    from feedmill.sources.feeds import feed_entries
+
+    xml = "<rss>" + "".join(f"<item><title>Article {i:05}</title><link>https://a.de/{i}</link></item>" for i in range(50)) + "</rss>"
+    feeds = spark.createDataFrame([("https://a.de", 0, 200, xml.encode())], "source_url string, feed_ord int, http_status int, xml binary")
+    found = feed_entries(feeds)
+    assert "RepartitionByExpression" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["pos"], r["url"]) for r in found.collect()) == [(i, f"https://a.de/{i}") for i in range(50)]
