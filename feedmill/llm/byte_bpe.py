@@ -31,15 +31,16 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-#: Distinct words whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+#: Distinct words whose ids a worker remembers; beyond that it keeps those that were
+#: met again since it last did so.
+REMEMBERED = 400_000
 #: Distinct words, and their bytes, in one recursive query; a longer word is alone.
-AT_ONCE, ROWS = 60_000, 1_000_000
+AT_ONCE, ROWS = 60_000, 300_000
 #: Words of more bytes take several contractions in a step, see IN_RUNS; and words of
 #: so many that rows of them would not fit, which the library codes.
 SHORT, LONG = 64, 16_384
 #: Characters of text that are handled at once, and matches of one longer text.
-CHUNK, MATCHES = 2_000_000, 400_000
+CHUNK, MATCHES = 1_000_000, 200_000
 
 _TOKENS = """
 WITH RECURSIVE token(word, pos, next_pos, id, next_id, merged, alone) USING KEY (word, pos) AS (
@@ -124,12 +125,27 @@ class Coder:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.again = np.zeros(0, bool)
         self.db.execute("CREATE OR REPLACE TABLE known (word INTEGER, n INTEGER, ids VARCHAR, chars VARCHAR)")
 
+    def keep_met(self) -> None:
+        """Forget the words that weren't met again, and all if these are few."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > REMEMBERED // 2:
+            return self.forget()
+        moved = np.full(len(self.again), -1)
+        moved[kept] = np.arange(len(kept))
+        self.number = {w: i for w, i in zip(self.number, moved.tolist()) if i >= 0}  # in the order of numbers
+        self.again = np.zeros(len(kept), bool)
+        self.db.register("moved", pa.table({"was": kept.astype(np.int32), "word": np.arange(len(kept), dtype=np.int32)}))
+        self.db.execute("CREATE OR REPLACE TABLE known AS SELECT m.word, k.n, k.ids, k.chars FROM known k JOIN moved m ON m.was = k.word")
+        self.db.unregister("moved")
+
     def learn(self, words: list[str]) -> None:
         """Encode words that aren't known yet."""
         first = len(self.number)
         self.number.update(zip(words, range(first, first + len(words))))
+        self.again = np.append(self.again, np.zeros(len(words), bool))
         raw = [w.encode() for w in words]
         whole = [(first + i, self.ranks[w], w.decode("latin-1")) for i, w in enumerate(raw) if w in self.ranks]
         if whole:
@@ -199,9 +215,12 @@ class Coder:
         counts = np.array([len(x) for x in found], np.int64)
         flat = pa.array([w for x in found for w in x], pa.string()).dictionary_encode()
         words = flat.dictionary.to_pylist()
-        if len(self.number) + len(words) > REMEMBERED:
-            self.forget()
-        if fresh := [w for w in words if w not in self.number]:
+        fresh = [w for w in words if w not in self.number]
+        if len(self.number) + len(fresh) > REMEMBERED:
+            self.keep_met()
+            fresh = [w for w in words if w not in self.number]
+        self.again[[self.number[w] for w in words if w in self.number]] = True
+        if fresh:
             self.learn(fresh)
         n, ids, decoded = [0] * len(found), [""] * len(found), [b""] * len(found)
         if words:
@@ -259,6 +278,7 @@ def release() -> None:
     if held is not None and held.__dict__.pop("coder", None) is not None:
         held.__dict__["mark"] = None
         gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def coded(text: Column, ranks: dict[bytes, int], pattern: str, with_ids: bool = False) -> Column:
@@ -276,6 +296,7 @@ def coded(text: Column, ranks: dict[bytes, int], pattern: str, with_ids: bool =
                 if decoded != (text or "").encode():
                     raise RuntimeError("decoding does not give the text back")
                 out.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(), *([ids, decoded.decode()] if with_ids else [])))
+            pa.default_memory_pool().release_unused()
             out = list(zip(*out)) or [[]] * (3 + 2 * with_ids)
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 3 + 2 * with_ids]
             kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]

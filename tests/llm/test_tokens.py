@@ -241,3 +241,28 @@ def test_texts_in_parts(library, monkeypatch):
     for text, (n, ids, decoded) in zip(texts, coder.texts(texts)):
         want = library.encode_ordinary(text or "")
         assert (n, ids, decoded) == (len(want), " ".join(map(str, want)), (text or "").encode())
+
+
+def test_words_met_again_stay(monkeypatch):
+    """Where a worker's memory is full, words that were met again stay in it, those
+    met once go, and ids stay the library's; if most were met again, all go."""
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 12)
+    coder = byte_bpe.Coder(byte_bpe.read_ranks(RANKS), P.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+
+    def same(*texts):
+        for text, (n, ids, decoded) in zip(texts, coder.texts(list(texts))):
+            want = library.encode_ordinary(text)
+            assert (n, ids, decoded) == (len(want), " ".join(map(str, want)), text.encode())
+
+    same(" ouredth and ththeing one qzxwvk")
+    same(" ththeing and")
+    same(*(f" word{'x' * i} é{'y' * i}" for i in range(4)))
+    assert set(coder.number) >= {" ththeing", " and"} and not {" ouredth", " qzxwvk"} & set(coder.number)
+    assert len(coder.number) <= 12 and coder.db.sql("SELECT count(*), count(DISTINCT word), max(word) FROM known").fetchall()[0] == (len(coder.number), len(coder.number), len(coder.number) - 1)
+    same(" ththeing ouredth and qzxwvk")
+    for _ in range(2):
+        same(" ".join(["", *coder.number]).replace("  ", " "))
+    same(" " + " ".join(f"new{'z' * i}" for i in range(9)))
+    assert " and" not in coder.number
+    same(" ththeing ouredth and qzxwvk", "")
