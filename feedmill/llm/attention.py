@@ -13,6 +13,7 @@ windows lie side by side and score all their ids.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -229,15 +230,32 @@ def gradients(w: Weights, bias: np.ndarray, log_class: np.ndarray, log_member: n
     return float(loss) / n, [*(np.ascontiguousarray(out[:, i * WIDTH : (i + 1) * WIDTH]) for i in range(3)), g_near, g_class, g_member]
 
 
-def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float = 0.02, batch: int = 96, seed: int = 1) -> tuple[Weights, float]:
-    """One pass of Adam over the windows in a shuffled order."""
+def batches_of(runs: Iterable[tuple[np.ndarray, np.ndarray]], batch: int, most: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows of each run in a shuffled order; what is left of one goes on with
+    the next.  A batch has ``batch`` windows, and as many more after each ten, up to
+    ``most``."""
+    rng, number, held = np.random.default_rng(seed), 0, None
+    for x, y in runs:
+        order, at = rng.permutation(len(x)), 0
+        x, y = x[order], y[order]
+        if held is not None:
+            x, y = np.concatenate((held[0], x)), np.concatenate((held[1], y))
+        while len(x) - at >= (size := min(max(batch, most), batch * (1 + number // 10)) if most else batch):
+            yield x[at : at + size], y[at : at + size]
+            at, number = at + size, number + 1
+        held = x[at:].copy(), y[at:].copy()
+    if held is not None and len(held[0]):
+        yield held
+
+
+def train_runs(w: Weights, log_class: np.ndarray, log_member: np.ndarray, runs: Iterable[tuple[np.ndarray, np.ndarray]], rate: float = 0.02, batch: int = 96, most: int = 0, seed: int = 1) -> tuple[Weights, float]:
+    """One pass of Adam over the windows of all runs, one run in memory at a time."""
     values = [a.copy() for a in w.arrays()]
     first, second = [np.zeros_like(a) for a in values], [np.zeros_like(a) for a in values]
-    order, losses = np.random.default_rng(seed).permutation(len(x)), []
-    for t, at in enumerate(range(0, len(order), batch), 1):
-        some = order[at : at + batch]
+    losses = []
+    for t, (x, y) in enumerate(batches_of(runs, batch, most, seed), 1):
         now = Weights(*values)
-        loss, grads = gradients(now, distance_bias(now.near, WINDOW - y.shape[1]), log_class, log_member, x[some], y[some])
+        loss, grads = gradients(now, distance_bias(now.near, WINDOW - y.shape[1]), log_class, log_member, x, y)
         losses.append(loss)
         step = rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
         for a, g, m, s in zip(values, grads, first, second):
@@ -245,3 +263,8 @@ def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarr
             s += 0.01 * (g * g - s)
             a -= FLOAT(step) * m / (np.sqrt(s) + FLOAT(1e-6))
     return Weights(*values), float(np.mean(losses or [0.0]))
+
+
+def train(w: Weights, log_class: np.ndarray, log_member: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float = 0.02, batch: int = 96, seed: int = 1) -> tuple[Weights, float]:
+    """One pass of Adam over the windows in a shuffled order."""
+    return train_runs(w, log_class, log_member, [(x, y)], rate, batch, seed=seed)

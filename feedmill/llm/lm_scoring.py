@@ -4,7 +4,8 @@ Texts are cut to subword ids by a public rank file, once for each distinct word
 of a block, and kept packed in the shared folder.  Counts of single ids and of
 pairs come from all texts to learn from.  The attention model starts from these
 and is trained on all of them, each in one of a few rounds: in a round each partition
-trains a copy on its share, and the copies' mean starts the next.  Beside it
+of the kept ids trains a copy on its texts of the round, block by block where they
+lie, and the copies' mean starts the next.  Beside it
 stands a smoothed count of whole words over the corpus.
 """
 
@@ -26,8 +27,8 @@ from .wordindex import _pack, _unpack, sums_by_document
 
 #: Each text to learn from trains the attention model in one of ROUNDS.
 ROUNDS = 3
-#: Ids that one partition trains on in a round, about.
-SHARE = 500_000
+#: Windows in a training batch, at first and at most.
+BATCH, LARGEST = 96, 512
 #: Copies that are added up at once.
 FAN = 16
 #: Windows that are scored at once.
@@ -130,37 +131,46 @@ def _pair_sums(batches):
         yield _row({"body": _pack(np.diff(k, prepend=0).astype(np.uint32), np.bincount(row, np.concatenate(counts)))}, BLOCK)
 
 
-def _dealt(place: np.ndarray, when: int, parts: int):
-    """The texts to learn from in round ``when``, by a hash of doc_id and text:
-    their partition and their ids."""
+def _dealt(place: np.ndarray, when: int):
+    """Of each block the texts to learn from in round ``when``, by a hash of doc_id
+    and text: their ids."""
 
     def rows(batches):
         for ids_of, tags, flags, lengths, ids in _blocks(batches):
-            texts = _split(ids, lengths)
-            kinds: dict[int, list[np.ndarray]] = {}
-            for i, (doc, tag, flag) in enumerate(zip(ids_of, tags, flags)):
-                lot = crc32(f"{doc}/{tag}".encode())
-                if flag and lot % ROUNDS == when:
-                    kinds.setdefault(lot // ROUNDS % parts, []).append(np.append(place[texts[i]], 0).astype(np.uint16))
-            for pid, some in kinds.items():
-                yield _row({"pid": pid, "body": _pack(some)}, {"pid": pa.int32()} | BLOCK)
+            lots = np.array([crc32(f"{doc}/{tag}".encode()) % ROUNDS for doc, tag in zip(ids_of, tags)], np.int64)
+            mine = np.array(flags, bool) & (lots == when)
+            if mine.any():
+                some = _split(place[ids[np.repeat(mine, lengths)]].astype(np.uint16), lengths[mine])
+                yield _row({"body": _pack([np.append(x, np.uint16(0)) for x in some])}, BLOCK)
 
     return rows
 
 
 def _trained(weights: A.Weights, tables, when: int):
     def rows(batches):
-        some = [x for (part,) in _blocks(batches) for x in part]
-        if some:
-            log_class, log_member = _tables(tables)
-            x, y, _ = A.windows(some, 0)
-            w, _ = A.train(weights, log_class, log_member, x, y, rate=0.02 / 2**when, seed=when)
-            n = int((y >= 0).sum())
+        n = 0
+
+        def runs():
+            nonlocal n
+            for (part,) in _blocks(batches):
+                x, y, _ = A.windows(part, 0)
+                n += int((y >= 0).sum())
+                yield x, y
+
+        log_class, log_member = _tables(tables)
+        w, _ = A.train_runs(weights, log_class, log_member, runs(), 0.02 / 2**when, BATCH, LARGEST, when)
+        if n:
             yield _row({"body": _pack([n, *(a.astype(np.float64) * n for a in w.arrays())])}, BLOCK)
 
     return rows
 
 
+def _in_place(place: np.ndarray, weights: A.Weights, tables, when: int):
+    """A copy of the weights, trained on a partition's texts of the round."""
+    dealt, trained = _dealt(place, when), _trained(weights, tables, when)
+    return lambda batches: trained(dealt(batches))
+
+
 def _mean(batches):
     total = None
     for (part,) in _blocks(batches):
@@ -224,17 +234,15 @@ def attention_scores(blocks: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     for (body,) in summed.toLocalIterator():  # at most VOCABULARY^2 counts
         steps, n = _unpack(bytes(body))
         np.put(pairs, np.cumsum(steps.astype(np.int64)), n)
-    learned = int(pairs.sum())
     log_class, log_member = A.bigram_tables(pairs)
     del pairs
     tables = spark.sparkContext.broadcast((log_class, log_member.astype(np.float16)))
     del log_class, log_member
 
-    parts = max(1, round(learned / ROUNDS / SHARE))
+    parts = max(1, blocks.rdd.getNumPartitions())
     weights = A.Weights.fresh()
     for when in range(ROUNDS):
-        shares = blocks.mapInArrow(_dealt(place, when, parts), "pid int, body binary").repartitionById(parts, "pid").select("body")
-        copies, left = shares.mapInArrow(_trained(weights, tables, when), "body binary"), parts
+        copies, left = blocks.mapInArrow(_in_place(place, weights, tables, when), "body binary"), parts
         while left > FAN:  # the driver gets a few sums, however many copies there are
             left = ceil(left / FAN)
             copies = copies.repartition(left).mapInArrow(_mean, "body binary")

@@ -217,6 +217,34 @@ def test_all_texts_train_the_attention(documents, monkeypatch, tmp_path):
     assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == 250 * 5001  # these words are one id each
 
 
+def test_attention_trains_where_the_ids_lie(spark, documents, monkeypatch):
+    """A round takes no texts and no shares of them through a shuffle, and a copy of
+    the weights comes from each partition, not from each so many ids."""
+    dealt, plans = [], []
+    monkeypatch.setattr(lm_scoring, "_in_place", lambda place, weights, tables, when, make=lm_scoring._in_place: dealt.append(when) or make(place, weights, tables, when))
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "collect", lambda self, collect=kind.collect: plans.append(self._jdf.queryExecution().executedPlan().toString()) or collect(self))
+    rows = [(i, "the of and in " * 300) for i in range(20)]
+    out = lm_scoring.score(documents(rows), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, F.lit(True))
+    rounds = [p for p in plans if "MapInArrow <lambda>" in p]
+    assert dealt == list(range(lm_scoring.ROUNDS)) and len(rounds) == lm_scoring.ROUNDS
+    assert not any("Exchange" in p for p in rounds) and out.count() == 20
+
+
+def test_batches_cover_all_runs():
+    """Every window is in one batch, whatever the runs' sizes; batches grow to their
+    largest and only the last one is short."""
+    sizes = [0, 1, 700, 3, 96, 5000]
+    starts = np.cumsum([0, *sizes])
+    runs = [(np.arange(a, b)[:, None], np.arange(a, b)[:, None]) for a, b in zip(starts, starts[1:])]
+    got = list(attention.batches_of(runs, 8, 64, 1))
+    assert all((x == y).all() for x, y in got)
+    assert sorted(np.concatenate([x.ravel() for x, _ in got]).tolist()) == list(range(sum(sizes)))
+    assert [len(x) for x, _ in got][:-1] == [min(64, 8 * (1 + i // 10)) for i in range(len(got) - 1)]
+    assert {len(x) for x, _ in list(attention.batches_of(runs, 8, 0, 1))[:-1]} == {8}
+    assert not list(attention.batches_of([], 8, 64, 1))
+
+
 def test_long_words_by_recursion(library):
     """Both recursions give what the library gives, also where a token of lower
     rank comes up beside what was just contracted."""
