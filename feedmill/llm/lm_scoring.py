@@ -27,6 +27,8 @@ from .wordindex import _pack, _unpack, sums_by_document
 
 #: Each text to learn from trains the attention model in one of ROUNDS.
 ROUNDS = 3
+#: Ids whose windows are in memory at once in training, about.
+SHARE = 500_000
 #: Windows in a training batch, at first and at most.
 BATCH, LARGEST = 96, 512
 #: Copies that are added up at once.
@@ -153,10 +155,13 @@ def _trained(weights: A.Weights, tables, when: int):
         def runs():
             nonlocal n
             for (part,) in _blocks(batches):
-                x, y, _ = A.windows(part, 0)
-                n += int((y >= 0).sum())
-                yield x, y
+                lots = np.cumsum([len(x) for x in part]) // SHARE
+                for some in np.split(np.arange(len(part)), np.flatnonzero(np.diff(lots)) + 1):
+                    x, y, _ = A.windows([part[i] for i in some], 0)
+                    n += int((y >= 0).sum())
+                    yield x, y
 
+        pa.default_memory_pool().release_unused()  # what cutting texts to words left
         log_class, log_member = _tables(tables)
         w, _ = A.train_runs(weights, log_class, log_member, runs(), 0.02 / 2**when, BATCH, LARGEST, when)
         if n:

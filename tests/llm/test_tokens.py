@@ -231,6 +231,23 @@ def test_attention_trains_where_the_ids_lie(spark, documents, monkeypatch):
     assert not any("Exchange" in p for p in rounds) and out.count() == 20
 
 
+def test_training_holds_windows_of_a_share(monkeypatch):
+    """A block's windows are made for so many ids at a time, and all of them are."""
+    monkeypatch.setattr(lm_scoring, "SHARE", 100)
+    sizes = []
+    make = attention.windows
+    monkeypatch.setattr(attention, "windows", lambda seqs, context: sizes.append(sum(map(len, seqs))) or make(seqs, context))
+    monkeypatch.setattr(attention, "train_runs", lambda w, c, m, runs, *rest: (w, float(sum((y >= 0).sum() for _, y in runs))))
+
+    class Held:
+        value = np.zeros(1), np.zeros(1)
+
+    part = [np.ones(30, np.uint16) for _ in range(50)]
+    body = lm_scoring._row({"body": lm_scoring._pack(part)}, lm_scoring.BLOCK)
+    (out,) = lm_scoring._trained(attention.Weights.fresh(), Held, 0)([body, body])
+    assert lm_scoring._unpack(out.column("body")[0].as_py())[0][0] == 3000 == sum(sizes) and max(sizes) <= 130
+
+
 def test_batches_cover_all_runs():
     """Every window is in one batch, whatever the runs' sizes; batches grow to their
     largest and only the last one is short."""
